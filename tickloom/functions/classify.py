@@ -32,7 +32,7 @@ def session_bridge(time="open_time"):
 
 
 def session_market_live(time="open_time"):
-    return _by_hour(time, [(7, 16, "London"), (13, 20, "New York")], "Other")
+    return _by_hour(time, [(7, 16, "London"), (13, 20, "NY")], "Other")
 
 
 def session_market_history(time="open_time"):
