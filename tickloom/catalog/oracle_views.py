@@ -28,6 +28,11 @@ def pct(value, price, digits):
     return f"round(({value} - {price}) / {price} * 100e0, {digits})"
 
 
+def half_up(x, digits):
+    """Round half up on the printed digits, as Spark rounds doubles."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 CTES = {
     "ticks": "SELECT concat('S', CAST(user_id % 5 AS VARCHAR)) AS symbol, ts, value AS price, event_id AS tick_id, "
              "event_type AS source FROM events",

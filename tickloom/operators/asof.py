@@ -5,13 +5,13 @@ sides are cut into (key, time block); inside a block the newest right row is fou
 with a window, and the newest row of all earlier blocks is carried over block
 summaries, whose number depends on the time range only.
 """
-from functools import reduce
+import math
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickloom.constants import PATTERN_LIMITS, TF_SECONDS
-from tickloom.operators.sequence import SERIES, rolling, rows_back, tf_seconds
+from tickloom.constants import PATTERN_LIMITS
+from tickloom.operators.sequence import SERIES, block_window, literal_map, rolling, tf_seconds
 
 DAY = 86400
 
@@ -50,10 +50,18 @@ def asof_join(left, right, keys, left_time, right_time, payload, tie=None, direc
     return joined.select("_l.*", *[F.col("_hit")[c].alias(c) for c in payload if c not in left_cols])
 
 
-def last_bars(bars, n, fields, name="candles"):
-    """Every bar with the array of its last ``n`` bars, oldest first."""
-    item = F.struct(*fields)
-    return rolling(bars, {name: F.collect_list(item).over(rows_back(n))}, halo=n - 1)
+def last_bars(bars, limits, fields, name="candles"):
+    """Every bar with the array of its last N bars, oldest first; N per timeframe.
+
+    One window serves all timeframes although N differs: ordering by row index times
+    (L / N), with L a common multiple of all N, makes "the last N rows" the same
+    range, L - 1, everywhere.
+    """
+    common = math.lcm(*limits.values())
+    stretch = literal_map({t: common // n for t, n in limits.items()})[F.col("timeframe")]
+    frame = block_window(order=F.col("_rn") * stretch).rangeBetween(-(common - 1), 0)
+    chosen = bars.where(F.col("timeframe").isin(*limits))
+    return rolling(chosen, {name: F.collect_list(F.struct(*fields)).over(frame)}, halo=max(limits.values()) - 1)
 
 
 def context_at(points, bars, fields, limits=PATTERN_LIMITS, visible="open"):
@@ -70,9 +78,7 @@ def context_at(points, bars, fields, limits=PATTERN_LIMITS, visible="open"):
         (F.col("open_time") if visible == "open" else
          F.timestamp_seconds(F.unix_seconds("open_time") + tf_seconds())).alias("_known"))
     keyed = asof_join(wanted, known, SERIES, "at", "_known", ["ref_time"])
-    arrays = reduce(lambda a, b: a.unionByName(b), [
-        last_bars(bars.where(F.col("timeframe").isin(*[t for t in limits if limits[t] == n])), n, fields)
-        .select(*SERIES, F.col("open_time").alias("ref_time"), "candles") for n in sorted(set(limits.values()))])
+    arrays = last_bars(bars, limits, fields).select(*SERIES, F.col("open_time").alias("ref_time"), "candles")
     return keyed.join(arrays, [*SERIES, "ref_time"], "left")
 
 
@@ -94,7 +100,11 @@ def top_n(df, n, keys=SERIES, time="open_time", newest=True):
 
 
 def last_per_timeframe(bars, limits):
-    """Last N bars per series with N from a table of limits by timeframe."""
-    out = [top_n(bars.where(F.col("timeframe").isin(*[t for t in limits if limits[t] == n])), n)
-           for n in sorted(set(limits.values()))]
-    return reduce(lambda a, b: a.unionByName(b), out)
+    """Last N bars per series with N from a table of limits by timeframe.
+
+    The largest N is a constant, so it becomes the group limit below the shuffle.
+    """
+    w = Window.partitionBy(*SERIES).orderBy(F.desc("open_time"))
+    rows = bars.where(F.col("timeframe").isin(*limits)).withColumn("_k", F.row_number().over(w))
+    return rows.where(F.col("_k") <= max(limits.values())).where(
+        F.col("_k") <= literal_map(limits)[F.col("timeframe")]).drop("_k")

@@ -8,7 +8,25 @@ from tickloom.operators.indicators import ratio
 from tickloom.operators.sequence import (BLOCK_ROWS, SERIES, block_window, drop_halo, full, row_blocks, rows_back,
                                          tf_seconds, time_block, with_row_index)
 
-O, H, L, C, V = (F.col(x) for x in ("open_price", "high_price", "low_price", "close_price", "volume"))
+
+def O():
+    return F.col("open_price")
+
+
+def H():
+    return F.col("high_price")
+
+
+def L():
+    return F.col("low_price")
+
+
+def C():
+    return F.col("close_price")
+
+
+def V():
+    return F.col("volume")
 
 
 def _mean(x, n):
@@ -23,19 +41,19 @@ def _simple_rsi():
 
 # name -> expression over a frame of row blocks carrying _delta, _gain, _loss, _log_return
 EXPRESSIONS = {
-    "price_change": lambda: ratio(C - O, O),
-    "high_low_ratio": lambda: ratio(H - L, L),
-    "body_size": lambda: ratio(F.abs(C - O), O),
-    "upper_shadow": lambda: ratio(H - F.greatest(O, C), O),
-    "lower_shadow": lambda: ratio(F.least(O, C) - L, O),
-    "sma_5_ratio": lambda: ratio(C, _mean("close_price", 5)) - 1,
-    "sma_10_ratio": lambda: ratio(C, _mean("close_price", 10)) - 1,
-    "sma_20_ratio": lambda: ratio(C, _mean("close_price", 20)) - 1,
-    "sma_50_ratio": lambda: ratio(C, _mean("close_price", 50)) - 1,
+    "price_change": lambda: ratio(C() - O(), O()),
+    "high_low_ratio": lambda: ratio(H() - L(), L()),
+    "body_size": lambda: ratio(F.abs(C() - O()), O()),
+    "upper_shadow": lambda: ratio(H() - F.greatest(O(), C()), O()),
+    "lower_shadow": lambda: ratio(F.least(O(), C()) - L(), O()),
+    "sma_5_ratio": lambda: ratio(C(), _mean("close_price", 5)) - 1,
+    "sma_10_ratio": lambda: ratio(C(), _mean("close_price", 10)) - 1,
+    "sma_20_ratio": lambda: ratio(C(), _mean("close_price", 20)) - 1,
+    "sma_50_ratio": lambda: ratio(C(), _mean("close_price", 50)) - 1,
     "bb_position": lambda: ratio(
-        C - (_mean("close_price", 20) - 2 * full(F.stddev_samp("close_price"), "close_price", rows_back(20), 20)),
+        C() - (_mean("close_price", 20) - 2 * full(F.stddev_samp("close_price"), "close_price", rows_back(20), 20)),
         4 * full(F.stddev_samp("close_price"), "close_price", rows_back(20), 20)),
-    "volume_ratio": lambda: ratio(V, _mean("volume", 20)),
+    "volume_ratio": lambda: ratio(V(), _mean("volume", 20)),
     "rsi_simple": _simple_rsi,
     "realized_vol_20": lambda: full(F.stddev_samp("_log_return"), "_log_return", rows_back(20), 20),
 }
@@ -45,11 +63,11 @@ def bar_features(bars, columns=None):
     """Bars plus the named feature columns (default: all), in one block shuffle."""
     columns = columns or list(EXPRESSIONS)
     prev = F.lag("close_price").over(block_window())
-    df = row_blocks(with_row_index(bars), 64).withColumn("_delta", C - prev)
+    df = row_blocks(with_row_index(bars), 64).withColumn("_delta", C() - prev)
     df = df.withColumns({
         "_gain": F.when(F.col("_delta") > 0, F.col("_delta")).when(F.col("_delta").isNotNull(), 0.0),
         "_loss": F.when(F.col("_delta") < 0, -F.col("_delta")).when(F.col("_delta").isNotNull(), 0.0),
-        "_log_return": F.when((C > 0) & (C - F.col("_delta") > 0), F.log(F.try_divide(C, prev)))})
+        "_log_return": F.when((C() > 0) & (C() - F.col("_delta") > 0), F.log(F.try_divide(C(), prev)))})
     df = df.withColumns({c: EXPRESSIONS[c]() for c in columns})
     return drop_halo(df.drop("_delta", "_gain", "_loss", "_log_return"))
 
