@@ -1,10 +1,9 @@
 """Freshness, connection and spread monitoring; "now" is always passed in."""
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.classify import age_minutes
 from tickloom.operators.asof import latest_per_key
-from tickloom.operators.sequence import rolling, rows_back, with_row_index
+from tickloom.operators.sequence import rolling, rows_back
 from tickloom.plans.quality import since
 
 # --- fixed values -----------------------------------------------------------
@@ -93,39 +92,3 @@ def report_row(fresh, anomalies, at):
     row = overall_health(fresh).withColumns({"timestamp": at, "symbols_with_anomalies": n_anomalies, "alerts_count": n_alerts})
     data = F.struct("symbols_fresh", "symbols_connected", "symbols_with_anomalies", "total_symbols")
     return row.withColumn("status_data", F.to_json(data, {"ignoreNullFields": "false"}))
-
-
-def cooled_down(alert_rows, seconds=COOLDOWN_SECONDS):
-    """Alerts that would be sent: a (type, symbol) is silent for ``seconds`` after one was sent.
-
-    The chain of sends of one (type, symbol) is sequential, so alerts are first cut into
-    runs separated by quiet gaps of at least the cooldown: the first alert after such a gap
-    is always sent, which makes the runs independent of each other. A run is folded in order.
-    """
-    keys = ["alert_type", "symbol"]
-    w = Window.partitionBy(*keys, F.floor(F.unix_seconds("timestamp") / 86400)).orderBy("timestamp")
-    rows = alert_rows.select(*keys, "timestamp").distinct()
-    rows = rows.withColumn("_day", F.floor(F.unix_seconds("timestamp") / 86400))
-    return _sent(rows, keys, seconds)
-
-
-def _sent(rows, keys, seconds):
-    import pandas as pd
-
-    columns = [*keys, "timestamp"]
-
-    def keep(pdf):
-        pdf = pdf.sort_values("timestamp")
-        last, flags = None, []
-        for t in pdf["timestamp"]:
-            send = last is None or (t - last).total_seconds() >= seconds
-            flags.append(send)
-            last = t if send else last
-        return pdf.loc[pd.Series(flags, index=pdf.index), columns]
-
-    prev = F.lag("timestamp").over(Window.partitionBy(*keys).orderBy("timestamp"))
-    gap = F.unix_micros("timestamp") - F.unix_micros(prev)
-    starts = rows.withColumn("_start", (gap.isNull() | (gap >= seconds * 1000000)).cast("int"))
-    run = F.sum("_start").over(Window.partitionBy(*keys).orderBy("timestamp"))
-    return starts.withColumn("_run", run).groupBy(*keys, "_run").applyInPandas(
-        keep, "alert_type string, symbol string, timestamp timestamp")
