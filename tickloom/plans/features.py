@@ -103,10 +103,11 @@ def feature_table(bars, sentiment=None):
 
 
 def multi_timeframe(bars, indicators, column="rsi", timeframes=("M5", "M15", "H1"), base="M1"):
-    """The column's value of each named timeframe at every base bar."""
-    out = bars.where(F.col("timeframe") == base).select("symbol", "open_time")
-    for tf in timeframes:
-        side = indicators.where(F.col("timeframe") == tf).select(
-            "symbol", F.col("open_time").alias("_at"), F.col(column).alias(f"{column}_{tf.lower()}"))
-        out = asof_join(out, side, ["symbol"], "open_time", "_at", [f"{column}_{tf.lower()}"])
-    return out
+    """The column's value of each named timeframe at every base bar: one as-of join keyed
+    by (symbol, timeframe), then a pivot of the few timeframes."""
+    points = bars.where(F.col("timeframe") == base).select("symbol", "open_time").withColumn(
+        "timeframe", F.explode(F.array(*[F.lit(t) for t in timeframes])))
+    side = indicators.where(F.col("timeframe").isin(*timeframes)).select(*SERIES, F.col("open_time").alias("_at"), column)
+    found = asof_join(points, side, SERIES, "open_time", "_at", [column])
+    return found.groupBy("symbol", "open_time").agg(*[
+        F.max(F.when(F.col("timeframe") == t, F.col(column))).alias(f"{column}_{t.lower()}") for t in timeframes])

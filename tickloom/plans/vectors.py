@@ -19,18 +19,29 @@ def _fields(features):
     return [F.col(named.get(c, c)).cast("double").alias(c) for c in cols]
 
 
-def _normalise(value, feature, mode, candles):
-    """One value of a candle made comparable across symbols and volatility levels."""
-    last = F.element_at(candles, -1)
+def _normalise(value, feature, mode):
+    """One value of a candle made comparable across symbols and volatility levels.
+    ``_last`` is the newest candle of the row, ``_stats`` its means and deviations."""
+    last = F.col("_last")
     if mode == "pct":
         base = last["close"] if feature in PRICES else last[feature]
         return (F.try_divide(value, base) - 1) * 100
     if mode == "atr":
         return F.try_divide(value - last["close"], last["atr"]) if feature in PRICES else value
-    n = F.size(candles)
-    mean = F.aggregate(candles, F.lit(0.0), lambda a, c: a + F.coalesce(c[feature], F.lit(0.0))) / n
-    spread = F.sqrt(F.aggregate(candles, F.lit(0.0), lambda a, c: a + F.pow(F.coalesce(c[feature], mean) - mean, F.lit(2.0))) / n)
-    return F.try_divide(value - mean, spread)
+    return F.try_divide(value - F.col("_stats")[f"{feature}_mean"], F.col("_stats")[f"{feature}_std"])
+
+
+def _window_stats(features):
+    """Mean and population deviation of each feature over the non-null candles of a row."""
+    out = []
+    for f in features:
+        known = F.filter(F.transform("candles", lambda c: c[f]), lambda x: x.isNotNull())
+        pair = F.aggregate(known, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
+                           lambda a, x: F.struct((a["s"] + x).alias("s"), (a["q"] + x * x).alias("q")))
+        n = F.size(known)
+        mean = F.try_divide(pair["s"], n)
+        out += [mean.alias(f"{f}_mean"), F.sqrt(F.greatest(F.try_divide(pair["q"], n) - mean * mean, F.lit(0.0))).alias(f"{f}_std")]
+    return F.struct(*out)
 
 
 def _clipped(x):
@@ -44,9 +55,10 @@ def snapshot_vectors(points, bars, features=("close",), mode="pct", limits=PATTE
     timeframe is padded on the left to its limit, so the length is constant.
     """
     rows = context_at(points, bars, _fields(features), limits, visible)
-    candles = F.col("candles")
-    values = F.flatten(F.transform(candles, lambda c: F.array(*[
-        _clipped(_normalise(c[f], f, mode, candles)) for f in features])))
+    rows = rows.withColumn("_last", F.try_element_at("candles", F.lit(-1)))
+    if mode == "zscore":
+        rows = rows.withColumn("_stats", _window_stats(features))
+    values = F.flatten(F.transform("candles", lambda c: F.array(*[_clipped(_normalise(c[f], f, mode)) for f in features])))
     values = F.coalesce(values, F.array().cast("array<double>"))
     size = literal_map({t: n * len(features) for t, n in limits.items()})[F.col("timeframe")]
     padded = F.concat(F.array_repeat(F.lit(0.0), (size - F.size("_v")).cast("int")), F.col("_v"))
