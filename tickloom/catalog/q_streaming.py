@@ -97,9 +97,7 @@ AND open_time + INTERVAL 1 HOUR <= (SELECT max(open_time) FROM m1 m WHERE m.symb
 (SELECT max(epoch_us(ts)) // 1000 * 1000 - 60000000 FROM events))""")
 def t06(v):
     """Outcomes appear one hour after their snapshot, from the closed-bar table."""
-    path, out = closed_table(v, 60, "M1"), shared_dir(v.spark, "outcomes")
-    source.finish(source.per_batch(bar_stream(v, path), cycles.due_outcomes(path, out)))
-    return cycles.settled(v.spark.read.parquet(out))
+    return run_to_frame(v, cycles.delayed_outcomes(bar_stream(v, closed_table(v, 60, "M1"))))
 
 
 @query("t07_freshness_scores", """SELECT symbol, max(open_time) AS latest, round((epoch_us((SELECT max(open_time) FROM m1)) - epoch_us(max(open_time))) / 60e6, 4) AS minutes_old,

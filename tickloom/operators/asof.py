@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from tickloom.constants import PATTERN_LIMITS
 from tickloom.operators.sequence import SERIES, block_window, literal_map, rolling, tf_seconds
 
-DAY = 86400
+BLOCK = 4 * 3600  # span of the (key, time) blocks
 
 
 def asof_join(left, right, keys, left_time, right_time, payload, tie=None, direction="backward", strict=False,
-              width=DAY):
+              width=BLOCK):
     """Left rows with the ``payload`` columns of the nearest right row per key.
 
     backward: newest right row with time <= the left time (< when ``strict``);

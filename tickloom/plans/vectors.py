@@ -8,6 +8,7 @@ from tickloom.constants import DOCUMENT_TIMEFRAMES, PATTERN_LIMITS
 from tickloom.operators import outcome
 from tickloom.operators.asof import context_at
 from tickloom.operators.sequence import literal_map
+from tickloom.session import materialize
 
 CLIP = 4.0
 PRICES = ("open", "high", "low", "close")
@@ -166,8 +167,8 @@ def knn_join(queries, vectors, k=5, exclude_self=False, n_pivots=64, block=20000
     """
     kk = k + 1 if exclude_self else k
     by_vector = Window.partitionBy("vector").orderBy("vec_id")
-    data = (vectors.select("vec_id", "vector").withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= kk)
-            .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("uid")))
+    data = materialize(vectors.select("vec_id", "vector").withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= kk)
+            .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("uid")), "distinct")
     asked = queries.select("vector").groupBy("vector").agg(F.min(F.xxhash64("vector")).alias("uid"))
     pivots = np.array([r[0] for r in data.orderBy(F.xxhash64("uid"), "uid").limit(n_pivots).select("vector").collect()],
                       dtype="float64")
@@ -182,7 +183,8 @@ def knn_join(queries, vectors, k=5, exclude_self=False, n_pivots=64, block=20000
                 cell = d.argmin(axis=1)
                 yield batch.assign(cell=cell.astype("int32"), to_pivot=d[np.arange(len(d)), cell])
 
-    cells = data.mapInPandas(assign, "vector array<double>, ids array<long>, uid long, cell int, to_pivot double")
+    cells = materialize(data.mapInPandas(assign, "vector array<double>, ids array<long>, uid long, cell int, to_pivot double"),
+                        "cells")
     near = Window.partitionBy("cell").orderBy("to_pivot")
     members = cells.select("cell", "to_pivot").withColumn("_n", F.row_number().over(near)).where(F.col("_n") <= kk)
     lists = members.groupBy("cell").agg(F.collect_list("to_pivot").alias("nearest"))
@@ -207,7 +209,7 @@ def knn_join(queries, vectors, k=5, exclude_self=False, n_pivots=64, block=20000
             yield pd.DataFrame({"vector": batch["vector"].iloc[row].to_list(), "uid": batch["uid"].to_numpy()[row],
                                 "cell": cell.astype("int32")})
 
-    asks = asked.mapInPandas(visits, "vector array<double>, uid long, cell int")
+    asks = materialize(asked.mapInPandas(visits, "vector array<double>, uid long, cell int"), "visits")
     split = sizes.select("cell", "parts").join(
         asks.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("qparts")), "cell")
     left = asks.join(split, "cell").select(

@@ -44,9 +44,9 @@ def shared_dir(spark, name):
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df):
-    """Reliable checkpoint of ``df`` in the shared folder (never a local one)."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, "lineage"))
-    return df.checkpoint()
+def materialize(df, name="table"):
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives the
+    loss of executors and saves recomputing a frame that several branches use."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.constants import INDICATOR_COLUMNS
 from tickloom.functions.classify import any_null
-from tickloom.session import checkpoint
+from tickloom.session import materialize
 
 SNAPSHOT_KEY = ["symbol", "snapshot_time"]
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -103,10 +103,9 @@ def add_columns(table, fields):
 # --- writers -----------------------------------------------------------------------
 
 def overwrite_partitions(df, path, by=("timeframe", "symbol"), per_file=5000000):
-    """Replace the partitions present in ``df``. The result is checkpointed first because
-    it may be computed from the very table; rows of one partition are spread over several
-    files by time so a hot series is not written by one task."""
-    df = checkpoint(df)
+    """Replace the partitions present in ``df``. The result is stored first because it may
+    be computed from the very table."""
+    df = materialize(df, "staged")
     (df.sortWithinPartitions(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", per_file).partitionBy(*by).parquet(path))
 

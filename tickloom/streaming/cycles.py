@@ -1,50 +1,62 @@
-"""Periodic jobs as micro-batch handlers: outcomes, exporters, health, alerts, trades."""
+"""Periodic jobs: outcomes, exporters, health, alerts, trades.
+
+Handlers write each batch to its own folder, so a retried batch replaces itself.
+"""
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tickloom.operators import outcome
 from tickloom.plans import documents, monitor
-from tickloom.sources.sinks import append_log, write_json
+from tickloom.sources.sinks import write_json
 
+HOUR = 3600
 ALERT = "alert_type string, symbol string, severity string, timestamp timestamp"
 
 
-def due_outcomes(path, out, seconds=3600, min_bars=1):
-    """Handler on the stream of closed M1 bars: snapshots whose full hour has now passed.
+OUTCOME = ("symbol string, snapshot_time timestamp, close_price double, fwd_high double, fwd_low double, fwd_bars long")
 
-    A snapshot is due once a bar at least ``seconds`` later is closed. The handler works on
-    the table's rows from the hour before the batch on, so its cost follows the batch.
-    """
-    def handle(batch, batch_id):
-        spark = batch.sparkSession
-        span = batch.groupBy("symbol").agg(F.min("open_time").alias("_from"), F.max("open_time").alias("_to"))
-        table = spark.read.parquet(path).join(span, "symbol")
-        t = F.unix_seconds("open_time")
-        # bars that were due before this batch are done; the ones due now lie in (from - hour, to - hour]
-        recent = table.where((t > F.unix_seconds("_from") - 2 * seconds) & (F.col("open_time") <= F.col("_to")))
-        stats = outcome.forward_stats(recent, seconds)
-        first = F.when(F.lit(batch_id == 0), F.lit(True)).otherwise(t > F.unix_seconds("_from") - 2 * seconds)
-        gain, loss = outcome.gain_loss()
-        due = stats.where((t + seconds <= F.unix_seconds("_to")) & first & (F.col("fwd_bars") >= min_bars))
-        rows = due.select("symbol", F.col("open_time").alias("snapshot_time"), gain.alias("max_gain_pct_1h"),
-                          loss.alias("max_loss_pct_1h"), F.col("fwd_bars").alias("later_bars"))
-        # a snapshot can be due in two batches when its hour straddles them; keep it once
-        append_log(rows.withColumn("batch", F.lit(batch_id)), out)
-    return handle
 
+def delayed_outcomes(m1, seconds=HOUR):
+    """Outcome inputs of each M1 snapshot once a bar at least ``seconds`` later is closed.
 
-def settled(outcomes):
-    """One row per snapshot of the outcome log: the one of the newest batch."""
-    rows = F.max_by(F.struct("max_gain_pct_1h", "max_loss_pct_1h", "later_bars"), "batch").alias("_r")
-    return outcomes.groupBy("symbol", "snapshot_time").agg(rows).select("symbol", "snapshot_time", "_r.*")
+    The state of a symbol holds the snapshots of the last hour that are still open (at most
+    one per minute) with their highest high, lowest low and bar count so far.
+    """
+    fields = ("t", "close", "high", "low", "n")
+
+    def update(key, frames, state):
+        pending = [list(p) for p in zip(*state.get)] if state.exists else []
+        bars = pd.concat(list(frames)).sort_values("open_time")
+        done = []
+        for bar in bars.itertuples(index=False):
+            now = bar.open_time.value // 1000000000
+            still = []
+            for p in pending:
+                if now <= p[0] + seconds:
+                    p[2], p[3], p[4] = max(p[2], bar.high_price), min(p[3], bar.low_price), p[4] + 1
+                (done if now >= p[0] + seconds else still).append(p)
+            pending = [*still, [now, bar.close_price, float("-inf"), float("inf"), 0]]
+        state.update(tuple([p[i] for p in pending] for i in range(len(fields))))
+        met = [p for p in done if p[4]]
+        yield pd.DataFrame({
+            "symbol": key[0], "snapshot_time": pd.to_datetime([p[0] for p in met], unit="s"),
+            "close_price": [p[1] for p in met], "fwd_high": [p[2] for p in met], "fwd_low": [p[3] for p in met],
+            "fwd_bars": [p[4] for p in met]})
+
+    schema = "t array<long>, close array<double>, high array<double>, low array<double>, n array<long>"
+    rows = m1.select("symbol", "open_time", "high_price", "low_price", "close_price").groupBy("symbol").applyInPandasWithState(
+        update, OUTCOME, schema, "append", GroupStateTimeout.NoTimeout)
+    gain, loss = outcome.gain_loss()
+    return rows.select("symbol", "snapshot_time", gain.alias("max_gain_pct_1h"), loss.alias("max_loss_pct_1h"),
+                       F.col("fwd_bars").alias("later_bars"))
 
 
 def exporters(load, path):
     """Handler running all live exporters; ``load()`` returns the current source frames."""
     def handle(batch, batch_id):
-        rows = documents.live_snapshots(**load())
-        rows.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(path)
+        if not batch.isEmpty():
+            documents.live_snapshots(**load()).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return handle
 
 
@@ -55,7 +67,8 @@ def health_cycle(path, now=None):
             return
         at = now if now is not None else batch.agg(F.max("open_time")).scalar()
         fresh = monitor.freshness(batch.select("symbol").distinct(), batch, at)
-        append_log(monitor.report_row(fresh, monitor.spread_anomalies(batch, at), at), path)
+        row = monitor.report_row(fresh, monitor.spread_anomalies(batch, at), at)
+        row.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return handle
 
 
