@@ -77,7 +77,7 @@ def p11(v):
 @query("p12_volatility_live", "SELECT symbol, open_time, CASE WHEN coalesce(atr, 0e0) > 1.5e0 THEN 'high' ELSE 'low' END AS volatility FROM ind WHERE timeframe = 'M1'")
 def p12(v):
     from tickloom.operators.indicators import stored_indicators
-    return stored_indicators(v.m1).select("symbol", "open_time", classify.volatility_live("atr").alias("volatility"))
+    return stored_indicators(v.m1, ["atr"]).select("symbol", "open_time", classify.volatility_live("atr").alias("volatility"))
 
 
 @query("p13_volatility_score", f"SELECT {KEYSQL}, coalesce(CASE WHEN open_price <> 0 AND high_price <> 0 AND low_price <> 0 THEN "

@@ -15,17 +15,17 @@ KEYS = ["symbol", "timeframe", "open_time"]
 KEYSQL = "symbol, timeframe, open_time"
 
 
-def stored(name, *cols, parts=False):
+def stored(name, *cols):
     """An entry showing some stored indicator columns of all bars."""
     @query(name, f"SELECT {KEYSQL}, {rs(*cols)} FROM ind")
     def _(v):
-        return stored_indicators(v.bars, keep_parts=parts).select(*KEYS, *[r(c) for c in cols])
+        return stored_indicators(v.bars, list(cols)).select(*KEYS, *[r(c) for c in cols])
 
 
-stored("i01_true_range", "true_range", parts=True)
+stored("i01_true_range", "true_range")
 stored("i02_atr", "atr")
-stored("i03_directional_movement", "plus_dm", "minus_dm", parts=True)
-stored("i04_directional_index", "plus_di", "minus_di", parts=True)
+stored("i03_directional_movement", "plus_dm", "minus_dm")
+stored("i04_directional_index", "plus_di", "minus_di")
 stored("i05_adx", "adx")
 stored("i06_bollinger", "bb_middle", "bb_upper", "bb_lower")
 stored("i07_cci", "cci")
@@ -51,7 +51,7 @@ def w05(v):
 
 @query("e01_ewm_rows", f"SELECT {KEYSQL}, {rs('ema', 'atr', 'adx')} FROM ind WHERE timeframe IN ('M1', 'H1')")
 def e01(v):
-    return stored_indicators(v.bars_of("M1", "H1")).select(*KEYS, r("ema"), r("atr"), r("adx"))
+    return stored_indicators(v.bars_of("M1", "H1"), ["ema", "atr", "adx"]).select(*KEYS, r("ema"), r("atr"), r("adx"))
 
 
 @query("w03_rolling_full_frame", f"SELECT {KEYSQL}, " + ", ".join(

@@ -7,9 +7,10 @@ over the same (symbol, timeframe, block) window.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tickloom.constants import INDICATOR_COLUMNS
 from tickloom.operators.ewm import HORIZON, ewm_columns, span_alpha
 from tickloom.operators.sequence import (BLOCK_ROWS, SERIES, block_window, drop_halo, full, prefix_over_blocks,
-                                         row_blocks, rows_back, tf_seconds, time_block)
+                                         row_blocks, rows_back, tf_seconds, time_block, with_row_index)
 
 WILDER = 1.0 / 14
 
@@ -45,9 +46,7 @@ def index_with_obv(bars):
     over = Window.partitionBy(*SERIES).orderBy("_tb")
     step = F.coalesce(F.signum(F.col("_first") - F.lag("_last").over(over)) * F.col("_first_v"), F.lit(0.0))
     edges = edges.withColumn("_step", step).withColumn("_moved", F.col("_moved") + F.col("_step"))
-    carry = prefix_over_blocks(edges.select(*SERIES, "_tb", "_n", "_moved", "_step"), [*SERIES], "_tb",
-                               {"_n": "_before", "_moved": "_carry"})
-    carry = carry.join(edges.select(*SERIES, "_tb", "_step"), [*SERIES, "_tb"])
+    carry = prefix_over_blocks(edges, SERIES, "_tb", {"_n": "_before", "_moved": "_carry"}, keep=["_step"])
     return (rows.join(carry, [*SERIES, "_tb"])
             .withColumn("_rn", F.col("_before") + F.col("_pos") - 1)
             .withColumn("obv", F.col("_carry") + F.col("_step") + F.col("_obv"))
@@ -69,47 +68,96 @@ def directional_moves(w=None):
     return (F.when((up > 0) & (up > down), up).otherwise(0.0), F.when((down > 0) & (down > up), down).otherwise(0.0))
 
 
-def stored_indicators(bars, keep_parts=False):
-    """Bars plus the sixteen indicator columns (and, on request, their parts)."""
-    df = row_blocks(index_with_obv(bars), HORIZON)
+# what each column is computed from; only the needed ones enter the plan
+NEEDS = {
+    "plus_di": ["plus_dm", "_pdm", "atr"], "minus_di": ["minus_dm", "_mdm", "atr"], "atr": ["true_range"], "_pdm": ["plus_dm"],
+    "_mdm": ["minus_dm"], "dx": ["plus_di", "minus_di"], "adx": ["dx"], "_gain": ["gain"], "_loss": ["loss"], "rsi": ["_gain", "_loss"],
+    "bb_upper": ["bb_middle", "_std"], "bb_lower": ["bb_middle", "_std"], "stochastic_k": ["_low14", "_high14"],
+    "willr": ["_low14", "_high14"], "stochastic_d": ["stochastic_k"], "_tps": ["tp"], "_tpm": ["_tps"], "cci": ["tp", "_tpm", "_tps"],
+    "macd": ["_fast", "_slow"], "macd_signal": ["macd"], "macd_hist": ["macd", "macd_signal"]}
+MEANS = {"atr": ("true_range", WILDER), "_pdm": ("plus_dm", WILDER), "_mdm": ("minus_dm", WILDER), "_gain": ("gain", WILDER),
+         "_loss": ("loss", WILDER), "ema": ("close_price", span_alpha(20)), "_fast": ("close_price", span_alpha(12)),
+         "_slow": ("close_price", span_alpha(26))}
+SECOND_MEANS = {"adx": ("dx", WILDER), "macd_signal": ("macd", span_alpha(9))}
+
+
+def _closure(columns):
+    need, todo = set(), list(columns)
+    while todo:
+        c = todo.pop()
+        if c not in need:
+            need.add(c)
+            todo += NEEDS.get(c, [])
+    return need
+
+
+def _first_stage():
+    """Columns over the bars themselves."""
     w = block_window()
-    w3, w14, w20 = rows_back(3), rows_back(14), rows_back(20)
+    w14, w20 = rows_back(14), rows_back(20)
     c, h, l = F.col("close_price"), F.col("high_price"), F.col("low_price")
     plus, minus = directional_moves(w)
     delta = c - F.lag("close_price").over(w)
-    low14, high14 = full(F.min("low_price"), "low_price", w14, 14), full(F.max("high_price"), "high_price", w14, 14)
-    mid = full(F.avg("close_price"), "close_price", w20, 20)
-    std = full(F.stddev_samp("close_price"), "close_price", w20, 20)
-    df = df.withColumns({
-        "true_range": true_range(w), "plus_dm": plus, "minus_dm": minus,
-        "gain": F.greatest(delta, F.when(delta.isNotNull(), 0.0)),
-        "loss": F.greatest(-delta, F.when(delta.isNotNull(), 0.0)),
-        "tp": (h + l + c) / 3.0, "bb_middle": mid, "_std": std, "_low14": low14, "_high14": high14,
-        "sma": full(F.avg("close_price"), "close_price", w14, 14)})
-    df = df.withColumns({
-        "bb_upper": F.col("bb_middle") + 2 * F.col("_std"), "bb_lower": F.col("bb_middle") - 2 * F.col("_std"),
-        "stochastic_k": ratio(100 * (c - F.col("_low14")), F.col("_high14") - F.col("_low14")),
-        "willr": ratio(-100 * (F.col("_high14") - c), F.col("_high14") - F.col("_low14")),
-        "_tps": F.when(~F.col("_halo") & (F.count("tp").over(w20) == 20), F.collect_list("tp").over(w20))})
-    df = df.withColumns({"_tpm": F.aggregate("_tps", F.lit(0.0), lambda a, x: a + x) / 20})
+    zero = F.when(delta.isNotNull(), 0.0)
+    return {"true_range": true_range(w), "plus_dm": plus, "minus_dm": minus, "gain": F.greatest(delta, zero),
+            "loss": F.greatest(-delta, zero), "tp": (h + l + c) / 3.0,
+            "bb_middle": full(F.avg("close_price"), "close_price", w20, 20),
+            "_std": full(F.stddev_samp("close_price"), "close_price", w20, 20),
+            "_low14": full(F.min("low_price"), "low_price", w14, 14),
+            "_high14": full(F.max("high_price"), "high_price", w14, 14),
+            "sma": full(F.avg("close_price"), "close_price", w14, 14)}
+
+
+def _second_stage():
+    w20 = rows_back(20)
+    c = F.col("close_price")
+    width = F.col("_high14") - F.col("_low14")
+    return {"bb_upper": F.col("bb_middle") + 2 * F.col("_std"), "bb_lower": F.col("bb_middle") - 2 * F.col("_std"),
+            "stochastic_k": ratio(100 * (c - F.col("_low14")), width), "willr": ratio(-100 * (F.col("_high14") - c), width),
+            "_tps": F.when(~F.col("_halo") & (F.count("tp").over(w20) == 20), F.collect_list("tp").over(w20))}
+
+
+def _third_stage():
+    return {"_tpm": F.aggregate("_tps", F.lit(0.0), lambda a, x: a + x) / 20,
+            "stochastic_d": full(F.avg("stochastic_k"), "stochastic_k", rows_back(3), 3)}
+
+
+def _cci():
     mad = F.aggregate("_tps", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("_tpm"))) / 20
-    df = df.withColumns({"stochastic_d": full(F.avg("stochastic_k"), "stochastic_k", w3, 3),
-                         "cci": ratio(F.col("tp") - F.col("_tpm"), 0.015 * mad)}).drop("_tps")
-    df = ewm_columns(df, {
-        "atr": ("true_range", WILDER), "_pdm": ("plus_dm", WILDER), "_mdm": ("minus_dm", WILDER),
-        "_gain": ("gain", WILDER), "_loss": ("loss", WILDER), "ema": ("close_price", span_alpha(20)),
-        "_fast": ("close_price", span_alpha(12)), "_slow": ("close_price", span_alpha(26))})
-    df = df.withColumns({
-        "plus_di": ratio(100 * F.col("_pdm"), "atr"), "minus_di": ratio(100 * F.col("_mdm"), "atr"),
-        "macd": F.col("_fast") - F.col("_slow"),
-        "rsi": 100 - ratio(F.lit(100.0), 1 + ratio("_gain", nullif("_loss")))})
-    df = df.withColumn("dx", ratio(100 * F.abs(F.col("plus_di") - F.col("minus_di")),
-                                   F.col("plus_di") + F.col("minus_di")))
-    df = ewm_columns(df, {"adx": ("dx", WILDER), "macd_signal": ("macd", span_alpha(9))})
-    df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-    parts = ["true_range", "plus_dm", "minus_dm", "plus_di", "minus_di", "dx", "gain", "loss", "tp"]
-    drop = [c for c in df.columns if c.startswith("_") and c not in ("_halo", "_blk", "_rn")]
-    return drop_halo(df.drop(*drop, *([] if keep_parts else parts)))
+    return {"cci": ratio(F.col("tp") - F.col("_tpm"), 0.015 * mad)}
+
+
+def _after_means():
+    return {"plus_di": ratio(100 * F.col("_pdm"), "atr"), "minus_di": ratio(100 * F.col("_mdm"), "atr"),
+            "macd": F.col("_fast") - F.col("_slow"),
+            "rsi": 100 - ratio(F.lit(100.0), 1 + ratio("_gain", nullif("_loss")))}
+
+
+def _direction_index():
+    p, m = F.col("plus_di"), F.col("minus_di")
+    return {"dx": ratio(100 * F.abs(p - m), p + m)}
+
+
+def stored_indicators(bars, columns=INDICATOR_COLUMNS):
+    """Bars plus the chosen indicator columns (the sixteen stored ones by default; also
+    true_range, plus_dm, minus_dm, plus_di, minus_di, dx, gain, loss, tp)."""
+    need = _closure(columns)
+    if "obv" in need:
+        indexed = index_with_obv(bars)
+    else:
+        indexed = with_row_index(bars)
+    df = row_blocks(indexed, HORIZON if need & {*MEANS, *SECOND_MEANS} else 32)
+    pick = lambda stage: {n: x for n, x in stage.items() if n in need}
+    for step in (_first_stage, _second_stage, _third_stage, _cci, MEANS, _after_means, _direction_index, SECOND_MEANS):
+        if callable(step):
+            found = pick(step())
+            df = df.withColumns(found) if found else df
+        else:
+            found = pick(step)
+            df = ewm_columns(df, found) if found else df
+    if "macd_hist" in need:
+        df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    return drop_halo(df.select(*bars.columns, *[c for c in columns if c not in bars.columns], "_halo"))
 
 
 def on_balance_volume(bars):

@@ -1,8 +1,9 @@
 """One-hour outcomes and trailing range statistics over M1 bars."""
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.rangejoin import range_join
-from tickloom.operators.sequence import block_window, drop_halo, full, ranged, range_blocks, rolling
+from tickloom.operators.sequence import block_window, ranged, rolling
 
 HOUR = 3600
 
@@ -78,7 +79,7 @@ def day_volume(m1):
     """Volume in (t-24h, t]; 0 becomes null. Two growing frames instead of a sliding
     one: linear in the rows of a block, exact for whole-number volumes."""
     w = block_window(order="_t")
-    upto = lambda end: F.coalesce(F.sum("volume").over(w.rangeBetween(-(2 ** 62), end)), F.lit(0))
+    upto = lambda end: F.coalesce(F.sum("volume").over(w.rangeBetween(Window.unboundedPreceding, end)), F.lit(0))
     total = upto(0) - upto(-24 * HOUR)
     return ranged(m1, {"volume_24h": F.when(total != 0, total)}, back=24 * HOUR, width=4 * 86400)
 

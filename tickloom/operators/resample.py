@@ -41,10 +41,10 @@ def roll_up(bars, timeframes, extra=()):
 
 
 def all_timeframes(ticks, extra_tick=(), extra_bar=()):
-    """Bars of all seven timeframes: M1 from ticks, the others rolled up from M1."""
+    """Bars of all seven timeframes from one scan of the ticks: M1 bars first, then every
+    timeframe (M1 included) in one combining aggregation over the far fewer M1 bars."""
     m1 = resample(ticks, 60, "M1", extra=extra_tick)
-    higher = roll_up(m1, [t for t in TF_SECONDS if t != "M1"], extra=extra_bar)
-    return m1.unionByName(higher)
+    return roll_up(m1, list(TF_SECONDS), extra=extra_bar)
 
 
 def fill_gaps(bars, seconds):

@@ -40,14 +40,14 @@ def time_block(time_col, seconds):
     return F.floor(epoch(time_col) / seconds).cast("long")
 
 
-def prefix_over_blocks(summary, keys, block, columns):
+def prefix_over_blocks(summary, keys, block, columns, keep=()):
     """Exclusive prefix sums of ``columns`` over the blocks of each key.
 
     ``summary`` has one row per block; the blocks of a key number (time range /
     block span), which does not grow with the number of rows.
     """
     w = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(*keys, block, *[
+    return summary.select(*keys, block, *keep, *[
         F.coalesce(F.sum(src).over(w), F.lit(0)).alias(dst) for src, dst in columns.items()])
 
 

@@ -5,6 +5,7 @@ row per requested (symbol, at) and is computed for all of them in one plan.
 """
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.constants import (COMPACT_LIMITS, DOCUMENT_TIMEFRAMES, FULL_LIMITS, INDICATOR_COLUMNS, KEY_INDICATORS,
@@ -159,7 +160,7 @@ def market_state_history(m1, m5):
                      "high_price", "low_price", F.col("close_price").alias("current_price")).unionByName(
         m5.select("symbol", "open_time", F.lit(False).alias("_point"), close.alias("_x")), allowMissingColumns=True)
     w = block_window(["symbol"], "_t")
-    upto = lambda end: F.coalesce(F.sum("volume").over(w.rangeBetween(-(2 ** 62), end)), F.lit(0))
+    upto = lambda end: F.coalesce(F.sum("volume").over(w.rangeBetween(Window.unboundedPreceding, end)), F.lit(0))
     w4 = w.rangeBetween(-(4 * 3600 - 1), 0)
     out = ranged(rows, {
         "volume_24h": F.nullif(upto(0) - upto(-86400), F.lit(0)).cast("double"),

@@ -154,7 +154,7 @@ def knn_search(queries, vectors, k=5, max_values=4000000):
     return _ranked(vectors.select("vec_id", "vector").mapInPandas(scan, RESULT), k)
 
 
-def knn_join(queries, vectors, k=5, exclude_self=False, n_pivots=64, block=20000):
+def knn_join(queries, vectors, k=5, exclude_self=False, n_pivots=None, block=20000):
     """Exact k nearest vectors of very many queries.
 
     1. Equal vectors are merged (k of their ids suffice), so copies cost nothing.
@@ -170,6 +170,7 @@ def knn_join(queries, vectors, k=5, exclude_self=False, n_pivots=64, block=20000
     data = materialize(vectors.select("vec_id", "vector").withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= kk)
             .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("uid")), "distinct")
     asked = queries.select("vector").groupBy("vector").agg(F.min(F.xxhash64("vector")).alias("uid"))
+    n_pivots = n_pivots or max(4, min(256, int(data.count() ** 0.5) // 4))
     pivots = np.array([r[0] for r in data.orderBy(F.xxhash64("uid"), "uid").limit(n_pivots).select("vector").collect()],
                       dtype="float64")
     if not len(pivots):
