@@ -4,6 +4,8 @@ All row-frame work of one bar frame shares a single block shuffle: rolling
 frames, the true range family and the exponentially weighted means are columns
 over the same (symbol, timeframe, block) window.
 """
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -73,7 +75,7 @@ NEEDS = {
     "plus_di": ["plus_dm", "_pdm", "atr"], "minus_di": ["minus_dm", "_mdm", "atr"], "atr": ["true_range"], "_pdm": ["plus_dm"],
     "_mdm": ["minus_dm"], "dx": ["plus_di", "minus_di"], "adx": ["dx"], "_gain": ["gain"], "_loss": ["loss"], "rsi": ["_gain", "_loss"],
     "bb_upper": ["bb_middle", "_std"], "bb_lower": ["bb_middle", "_std"], "stochastic_k": ["_low14", "_high14"],
-    "willr": ["_low14", "_high14"], "stochastic_d": ["stochastic_k"], "_tps": ["tp"], "_tpm": ["_tps"], "cci": ["tp", "_tpm", "_tps"],
+    "willr": ["_low14", "_high14"], "stochastic_d": ["stochastic_k"], "_tpm": ["tp"], "cci": ["tp", "_tpm"],
     "macd": ["_fast", "_slow"], "macd_signal": ["macd"], "macd_hist": ["macd", "macd_signal"]}
 MEANS = {"atr": ("true_range", WILDER), "_pdm": ("plus_dm", WILDER), "_mdm": ("minus_dm", WILDER), "_gain": ("gain", WILDER),
          "_loss": ("loss", WILDER), "ema": ("close_price", span_alpha(20)), "_fast": ("close_price", span_alpha(12)),
@@ -114,17 +116,19 @@ def _second_stage():
     width = F.col("_high14") - F.col("_low14")
     return {"bb_upper": F.col("bb_middle") + 2 * F.col("_std"), "bb_lower": F.col("bb_middle") - 2 * F.col("_std"),
             "stochastic_k": ratio(100 * (c - F.col("_low14")), width), "willr": ratio(-100 * (F.col("_high14") - c), width),
-            "_tps": F.when(~F.col("_halo") & (F.count("tp").over(w20) == 20), F.collect_list("tp").over(w20))}
+            "_tpm": full(F.avg("tp"), "tp", w20, 20)}
 
 
 def _third_stage():
-    return {"_tpm": F.aggregate("_tps", F.lit(0.0), lambda a, x: a + x) / 20,
-            "stochastic_d": full(F.avg("stochastic_k"), "stochastic_k", rows_back(3), 3)}
+    return {"stochastic_d": full(F.avg("stochastic_k"), "stochastic_k", rows_back(3), 3)}
 
 
 def _cci():
-    mad = F.aggregate("_tps", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("_tpm"))) / 20
-    return {"cci": ratio(F.col("tp") - F.col("_tpm"), 0.015 * mad)}
+    """Mean absolute deviation around the frame's mean: the twenty values by lag, so the sum
+    is one generated expression instead of a collected list per row."""
+    w = block_window()
+    deviations = [F.abs((F.lag("tp", i).over(w) if i else F.col("tp")) - F.col("_tpm")) for i in range(19, -1, -1)]
+    return {"cci": ratio(F.col("tp") - F.col("_tpm"), 0.015 * (reduce(lambda a, b: a + b, deviations) / 20))}
 
 
 def _after_means():

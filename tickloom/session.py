@@ -14,6 +14,8 @@ def build_session(app="tickloom", master=None, **conf):
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # window chains are heavy on CPU per byte: do not merge their partitions down to one task
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         "spark.ui.enabled": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
