@@ -94,9 +94,15 @@ def _good_name(path):
 
 
 def rejected_files(spark, path, required=REQUIRED_COLUMNS):
-    """File names left out, with the reason: bad name or missing columns (header line)."""
-    heads = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.csv").text(path)
-             .select(F.input_file_name().alias("_file"), F.split(F.split("value", "\r?\n")[0], ",").alias("_head")))
+    """File names left out, with the reason: bad name or missing columns (header line).
+
+    The header is the first line of a file's first block; it is found with a map-side
+    combining aggregate, so large files are never held whole.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_n"))
+    heads = lines.groupBy("_file").agg(F.min_by("value", "_n").alias("_first")).select(
+        "_file", F.transform(F.split("_first", ","), lambda c: F.trim(c)).alias("_head"))
     lost = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("_head"))
     return (heads.select(F.regexp_extract("_file", r"([^/]+)$", 1).alias("file_name"),
                          F.when(~_good_name(F.col("_file")), "name").when(F.size(lost) > 0, "columns").alias("reason"),

@@ -9,6 +9,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tickloom.operators import outcome
 from tickloom.plans import documents, monitor
 from tickloom.sources.sinks import write_json
+from tickloom.streaming import order
 
 HOUR = 3600
 ALERT = "alert_type string, symbol string, severity string, timestamp timestamp"
@@ -17,36 +18,37 @@ ALERT = "alert_type string, symbol string, severity string, timestamp timestamp"
 OUTCOME = ("symbol string, snapshot_time timestamp, close_price double, fwd_high double, fwd_low double, fwd_bars long")
 
 
-def delayed_outcomes(m1, seconds=HOUR):
-    """Outcome inputs of each M1 snapshot once a bar at least ``seconds`` later is closed.
+def delayed_outcomes(m1, seconds=HOUR, delay="0 seconds"):
+    """Outcomes of each M1 snapshot once a bar at least ``seconds`` later is closed.
 
     The state of a symbol holds the snapshots of the last hour that are still open (at most
     one per minute) with their highest high, lowest low and bar count so far.
     """
     fields = ("t", "close", "high", "low", "n")
+    span = seconds * 1000000
 
     def update(key, frames, state):
-        pending = [list(p) for p in zip(*state.get)] if state.exists else []
-        bars = pd.concat(list(frames)).sort_values("open_time")
+        values = state.get if state.exists else ([],) * (len(fields) + order.FIELDS)
+        pending = [list(p) for p in zip(*values[:len(fields)])]
+        ready, waiting = order.take_ready(order.load(values[len(fields):]), frames, state)
         done = []
-        for bar in bars.itertuples(index=False):
-            now = bar.open_time.value // 1000000000
+        for now, high, low, close, _ in ready:
             still = []
             for p in pending:
-                if now <= p[0] + seconds:
-                    p[2], p[3], p[4] = max(p[2], bar.high_price), min(p[3], bar.low_price), p[4] + 1
-                (done if now >= p[0] + seconds else still).append(p)
-            pending = [*still, [now, bar.close_price, float("-inf"), float("inf"), 0]]
-        state.update(tuple([p[i] for p in pending] for i in range(len(fields))))
+                if now <= p[0] + span:
+                    p[2], p[3], p[4] = max(p[2], high), min(p[3], low), p[4] + 1
+                (done if now >= p[0] + span else still).append(p)
+            pending = [*still, [now, close, float("-inf"), float("inf"), 0]]
+        state.update((*([p[i] for p in pending] for i in range(len(fields))), *order.store(waiting)))
         met = [p for p in done if p[4]]
         yield pd.DataFrame({
-            "symbol": key[0], "snapshot_time": pd.to_datetime([p[0] for p in met], unit="s"),
+            "symbol": key[0], "snapshot_time": pd.to_datetime([p[0] for p in met], unit="us"),
             "close_price": [p[1] for p in met], "fwd_high": [p[2] for p in met], "fwd_low": [p[3] for p in met],
             "fwd_bars": [p[4] for p in met]})
 
-    schema = "t array<long>, close array<double>, high array<double>, low array<double>, n array<long>"
-    rows = m1.select("symbol", "open_time", "high_price", "low_price", "close_price").groupBy("symbol").applyInPandasWithState(
-        update, OUTCOME, schema, "append", GroupStateTimeout.NoTimeout)
+    schema = f"t array<long>, close array<double>, high array<double>, low array<double>, n array<long>, {order.PENDING}"
+    bars = m1.withWatermark("open_time", delay).select("symbol", "open_time", "high_price", "low_price", "close_price", "volume")
+    rows = bars.groupBy("symbol").applyInPandasWithState(update, OUTCOME, schema, "append", GroupStateTimeout.EventTimeTimeout)
     gain, loss = outcome.gain_loss()
     return rows.select("symbol", "snapshot_time", gain.alias("max_gain_pct_1h"), loss.alias("max_loss_pct_1h"),
                        F.col("fwd_bars").alias("later_bars"))

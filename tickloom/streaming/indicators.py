@@ -1,17 +1,18 @@
 """Indicators of newly closed bars, updated from a small state per series.
 
-The feed is the closed-bar table: bars arrive in time order batch by batch, so the
-state (means, running totals, the last twenty bars) is all a series needs. Bars that
-are not newer than the last one seen are ignored; series with fewer than ``minimum``
-bars stay silent, as the batch loop does.
+The state (means, running totals, the last twenty bars) is all a series needs; bars are
+taken in time order behind a watermark. A bar not newer than the last one taken is a
+repeat and ignored; series with fewer than ``minimum`` bars stay silent, as the batch loop does.
 """
 import pandas as pd
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tickloom.streaming import order
+
 RESULT = ("symbol string, timeframe string, open_time timestamp, n long, atr double, adx double, ema double, macd double, "
           "macd_signal double, rsi double, obv double, sma double, bb_middle double, stochastic_k double, willr double")
 MEANS = ["atr", "pdm", "mdm", "gain", "loss", "ema", "fast", "slow", "adx", "macd_signal"]
-STATE = ("n long, last_us long, obv double, dx_seen boolean, highs array<double>, lows array<double>, closes array<double>, "
+STATE = ("n long, last_us long, obv double, highs array<double>, lows array<double>, closes array<double>, "
          + ", ".join(f"{m} double" for m in MEANS))
 ALPHA = {"atr": 1 / 14, "pdm": 1 / 14, "mdm": 1 / 14, "gain": 1 / 14, "loss": 1 / 14, "adx": 1 / 14, "ema": 2 / 21,
          "fast": 2 / 13, "slow": 2 / 27, "macd_signal": 2 / 10}
@@ -25,7 +26,7 @@ def _mean(s, name, x):
 
 
 def _step(s, bar):
-    h, l, c, v = bar.high_price, bar.low_price, bar.close_price, bar.volume
+    _, h, l, c, v = bar
     first = s["n"] == 0
     ph, pl, pc = (None, None, None) if first else (s["highs"][-1], s["lows"][-1], s["closes"][-1])
     tr = h - l if first else max(h - l, abs(h - pc), abs(l - pc))
@@ -56,31 +57,34 @@ def _step(s, bar):
             "willr": -100 * (high - c) / (high - low) if wide else None}
 
 
-def live_indicators(bars, minimum=150):
-    """Indicator rows of a stream of closed bars."""
+def live_indicators(bars, minimum=150, delay="0 seconds"):
+    """Indicator rows of a stream of closed bars. ``delay`` is how far behind the newest bar
+    the feed may still deliver (0 where every batch holds whole commits of the bar table)."""
     names = [x.split()[0] for x in STATE.split(", ")]
+    columns = [x.split()[0] for x in RESULT.split(", ")]
 
     def update(key, frames, state):
         if state.exists:
-            s = dict(zip(names, state.get))
+            values = state.get
+            s, waiting = dict(zip(names, values)), order.load(values[len(names):])
             for name in ("highs", "lows", "closes"):
                 s[name] = list(s[name])
         else:
-            s = dict.fromkeys(names)
-            s.update(n=0, last_us=-1, obv=0.0, dx_seen=False, highs=[], lows=[], closes=[])
-        new = pd.concat(list(frames)).sort_values("open_time")
+            s, waiting = dict.fromkeys(names), []
+            s.update(n=0, last_us=-1, obv=0.0, highs=[], lows=[], closes=[])
+        ready, waiting = order.take_ready(waiting, frames, state)
         out = []
-        for bar in new.itertuples(index=False):
-            us = bar.open_time.value // 1000
-            if us <= s["last_us"]:
+        for bar in ready:
+            if bar[0] <= s["last_us"]:
                 continue
             row = _step(s, bar)
-            s["last_us"] = us
+            s["last_us"] = bar[0]
             if row["n"] >= minimum:
-                out.append({"symbol": key[0], "timeframe": key[1], "open_time": bar.open_time, **row})
-        state.update(tuple(s[n] for n in names))
-        columns = [x.split()[0] for x in RESULT.split(", ")]
+                out.append({"symbol": key[0], "timeframe": key[1], "open_time": pd.Timestamp(bar[0], unit="us"), **row})
+        state.update((*(s[n] for n in names), *order.store(waiting)))
         yield pd.DataFrame(out, columns=columns)
 
-    return bars.select("symbol", "timeframe", "open_time", "high_price", "low_price", "close_price", "volume").groupBy(
-        "symbol", "timeframe").applyInPandasWithState(update, RESULT, STATE, "append", GroupStateTimeout.NoTimeout)
+    rows = bars.withWatermark("open_time", delay).select("symbol", "timeframe", "open_time", "high_price", "low_price",
+                                                         "close_price", "volume")
+    return rows.groupBy("symbol", "timeframe").applyInPandasWithState(
+        update, RESULT, f"{STATE}, {order.PENDING}", "append", GroupStateTimeout.EventTimeTimeout)
