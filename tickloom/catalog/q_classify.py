@@ -5,7 +5,8 @@ from tickloom.catalog.base import query, r, rs
 from tickloom.catalog.oracle_views import SERIES as OVER
 from tickloom.catalog.oracle_views import half_up, session
 from tickloom.catalog.q_quality import NOW, SPREAD_A
-from tickloom.constants import INDICATOR_COLUMNS
+from tickloom.catalog.q_joins import limits_sql
+from tickloom.constants import INDICATOR_COLUMNS, PATTERN_LIMITS
 from tickloom.functions import classify, scalar
 from tickloom.operators import outcome
 from tickloom.operators.resample import floor_time
@@ -239,12 +240,13 @@ def f07(v):
                            scalar.json_has_key("props", "zz").alias("has_zz"))
 
 
-@query("f08_json_arrays", "SELECT symbol, timeframe, count(*) AS elements, least(count(*), 60) AS array_length FROM (SELECT *, row_number() OVER "
-       f"(PARTITION BY symbol, timeframe ORDER BY open_time DESC) AS rk FROM bars) WHERE rk <= 60 GROUP BY 1, 2")
+@query("f08_json_arrays", f"""SELECT symbol, timeframe, count(*) AS elements, count(*) AS array_length FROM (SELECT b.symbol, b.timeframe, l.lim,
+row_number() OVER (PARTITION BY b.symbol, b.timeframe ORDER BY b.open_time DESC) AS rk FROM bars b JOIN {limits_sql(PATTERN_LIMITS).replace('lims(', 'l(')}
+ON l.timeframe = b.timeframe) WHERE rk <= lim GROUP BY 1, 2""")
 def f08(v):
-    """Length of a JSON array and its elements exploded again (arrays of at most 60)."""
-    from tickloom.operators.asof import top_n
-    text = top_n(v.bars, 60).groupBy("symbol", "timeframe").agg(F.to_json(F.collect_list("close_price")).alias("j"))
+    """Lengths of the candle arrays of the pattern documents, as JSON, and their elements exploded again."""
+    from tickloom.operators.asof import last_per_timeframe
+    text = last_per_timeframe(v.bars, PATTERN_LIMITS).groupBy("symbol", "timeframe").agg(F.to_json(F.collect_list("close_price")).alias("j"))
     rows = text.select("symbol", "timeframe", F.json_array_length("j").cast("long").alias("array_length"),
                        F.explode(F.from_json("j", "array<double>")).alias("x"))
     return rows.groupBy("symbol", "timeframe", "array_length").agg(F.count("x").alias("elements"))
