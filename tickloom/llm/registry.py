@@ -1,7 +1,13 @@
 """The registered queries of this subpackage and their SQL."""
-from tickloom.llm import language
+from tickloom.llm import contamination, language, personal, simhash, tokens
 
 QUERIES = {
+    "op2_personal_data": personal.op2_personal_data,
+    "op4_tokens": tokens.op4_tokens,
     "op8_language_id": language.op8_language_id,
+    "op9_decontamination": contamination.op9_decontamination,
+    "op10_simhash": simhash.op10_simhash,
+}
+ORACLES = {
+    "op9_decontamination": contamination.OP9_SQL,
 }
-ORACLES = {}
