@@ -17,8 +17,9 @@ from tickloom.llm.common import content_key, read, stage, words_of
 WIDTH = 5
 #: Share of an item's shingles, in percent.
 THRESHOLD = 80
-#: Sketch rows (24 bytes each) up to which the sketch goes to every task; beyond, it is joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Rows (of 24 bytes) up to which the sketch, or the candidate pairs, go to every task; beyond, they are joined
+#: by shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def _word_hashes(words):
@@ -38,7 +39,7 @@ def _shingles(words, width):
 
 
 def sketch_items(items, item_id="item_id", text="text"):
-    """One row per item with at least one word: words, width, n shingles, shingles, sketch hashes.
+    """One row per item with at least one word: item (its number), words, width, n shingles, shingles, sketch hashes.
 
     An item of fewer than five words is one shingle of all its words. Repeated rows count once.
     """
@@ -56,21 +57,22 @@ def sketch_items(items, item_id="item_id", text="text"):
     hashes = F.lit(None).cast("array<bigint>")
     for width in range(1, WIDTH + 1):
         hashes = F.when(F.col("width") == width, F.array_distinct(_shingle_hashes(F.col("h"), width))).otherwise(hashes)
-    return rows.withColumn("sketch", F.slice(F.array_sort(hashes), 1, F.col("k"))).drop("largest", "k", "part", "h")
+    return rows.withColumn("sketch", F.slice(F.array_sort(hashes), 1, F.col("k"))).drop("largest", "k", "part", "h").withColumn(
+        "item", F.monotonically_increasing_id())
 
 
 def candidates(docs, items, text="text"):
-    """Distinct (text key, item) pairs whose text holds a shingle hash of the item's sketch."""
-    sketch = stage(items.select("item_id", "words", "width", F.explode("sketch").alias("h")), "sketch")
+    """Distinct (text key, number of the item) pairs whose text holds a shingle hash of the item's sketch."""
+    sketch = stage(items.select("item", "width", F.explode("sketch").alias("h")), "sketch")
     size = {r["width"]: r["n"] for r in sketch.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most five rows
     found = None
     for width, n in sorted(size.items()):
-        part = sketch.where(F.col("width") == width).select("item_id", "words", "h")
+        part = sketch.where(F.col("width") == width).select("item", "h")
         part = F.broadcast(part) if n <= BROADCAST_ROWS else part
         spread = docs.select(*content_key(F.col(text)), words_of(F.col(text)).alias("__w"))
         spread = spread.select("__k1", "__k2", _word_hashes(F.col("__w")).alias("__h"))
         spread = spread.select("__k1", "__k2", F.explode(_shingle_hashes(F.col("__h"), width)).alias("h"))
-        hit = spread.join(part, "h").select("__k1", "__k2", "item_id", F.col("words").alias("__item"))
+        hit = spread.join(part, "h").select("__k1", "__k2", "item")
         found = hit if found is None else found.union(hit)
     return None if found is None else found.distinct()
 
@@ -89,9 +91,10 @@ def contained(docs, items, doc_id="doc_id", text="text"):
             "doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (
                 ("item_id", rows.schema["item_id"].dataType), ("n_shingles", "int"), ("n_found", "int"), ("containment", "double"))])
     found = stage(found, "candidates")
+    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"), *content_key(F.col(text)))
-    pairs = texts.join(found, ["__k1", "__k2"]).select("doc_id", "item_id", "__item", words_of(F.col("__text")).alias("__w"))
-    pairs = pairs.join(rows.select("item_id", F.col("words").alias("__item"), "width", "shingles", "n"), ["item_id", "__item"])
+    pairs = texts.join(found, ["__k1", "__k2"]).select("doc_id", "item", words_of(F.col("__text")).alias("__w"))
+    pairs = pairs.join(rows.select("item", "item_id", "width", "shingles", "n"), "item")
     own = F.lit(None).cast("array<string>")
     for width in range(1, WIDTH + 1):
         own = F.when((F.col("width") == width) & (F.size("__w") >= width), _shingles(F.col("__w"), width)).otherwise(own)

@@ -79,6 +79,9 @@ def _keys(number, block):
 def clusters(fps):
     """(fp, root) of every fingerprint in ``fps`` that is linked to another one; root is the smallest."""
     fps = fps.select("fp").where("fp is not null").distinct()
+    # many small partitions: each row becomes some two hundred
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = fps.repartition(tasks, "fp")
     ball = fps.select("fp", _variants(F.col("fp"), [0] + [1 << k for k in range(64)]).alias("v"))
     near = ball.withColumn("low", F.min("fp").over(Window.partitionBy("v"))).where("fp <> low").select(
         F.col("fp").alias("a"), F.col("low").alias("b"))
@@ -90,6 +93,7 @@ def clusters(fps):
     named = fps.join(first.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"))
     w = Window.partitionBy("key")
+    named = named.repartition(tasks, "fp")
     met = (named.select("fp", "root", F.explode(F.concat(*keys)).alias("key"))
            .withColumn("low", F.min("root").over(w)).withColumn("high", F.max("root").over(w))
            .where("low <> high").select("key", "fp", "root"))
