@@ -24,7 +24,9 @@ STEPS = [(a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
 LETTERS = 64
 #: At most so many labelled documents of each class are learned from, longer ones than so many characters not.
 MAX_DOCS, MAX_CHARS = 3000, 20_000
-LANDMARKS, ROUNDS, COST = 96, 4, 4.0
+LANDMARKS, ROUNDS, COST = 192, 6, 10.0
+#: Clean words that join the negative ones in each round.
+NEGATIVES = 3000
 THRESHOLD = 0.7
 # Characters that stand in for letters.
 STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
@@ -92,15 +94,21 @@ def _kernel(words, landmarks, alphabet):
     at = np.minimum(np.searchsorted(known, code), max(0, len(known) - 1))
     at = np.where(known[at] == code, at, len(known)) if len(known) else np.zeros(len(code), np.int64)
     out = np.zeros((len(words), len(landmarks)))
-    np.add.at(out, owner, table[at] * weight[:, None])
+    order = np.argsort(owner, kind="stable")
+    owner, at, weight = owner[order], at[order], weight[order]
+    hit = np.flatnonzero(at < len(known))
+    if len(hit):
+        owner = owner[hit]
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        out[owner[first]] = np.add.reduceat(table[at[hit]] * weight[hit][:, None], first, axis=0)
     norm = np.sqrt(np.maximum(_mass([len(w) for w in words]), 1e-12))[:, None] * np.sqrt(np.maximum(_mass([len(w) for w in landmarks]), 1e-12))
     return out / norm
 
 
 def _svm(x, y, cost):
-    """Linear machine with squared hinge loss (both classes of equal weight), by Newton steps; the last weight is the bias."""
+    """Linear machine with squared hinge loss (bad examples weigh five times as much), by Newton steps; the last weight is the bias."""
     x = np.c_[x, np.ones(len(x))]
-    weight = np.where(y > 0, cost / max(1, (y > 0).sum()), cost / max(1, (y < 0).sum())) * 100
+    weight = np.where(y > 0, cost, cost / 5)
     w = np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-3
@@ -114,48 +122,77 @@ def _svm(x, y, cost):
     return w
 
 
+def _alphabet(words):
+    """Small numbers for the letters of some words; 0 for all others."""
+    letters = sorted({c for u in words for c in u if ord(c) < 0x2FFF})[:LETTERS - 1]
+    out = np.zeros(0x3000, np.uint8)
+    for k, c in enumerate(letters):
+        out[ord(c)] = k + 1
+    return out
+
+
+def _speaking(bad, good, n_bad, n_good):
+    """Words that occur in significantly more contexts of bad sentences, strongest first (likelihood ratio).
+
+    The bar rises with the number of words tried, so that hardly any passes it by chance.
+    """
+    found, bar = {}, 2 * np.log(max(10, len(bad)))
+    part = lambda k, of, q: k * np.log(k / (of * q)) if k else 0.0
+    for u, n in bad.items():
+        m = good.get(u, 0)
+        if n * n_good < 8 * m * n_bad:
+            continue
+        p = (n + m) / (n_bad + n_good)
+        g = 2 * (part(n, n_bad, p) + part(m, n_good, p) + part(n_bad - n, n_bad, 1 - p) + part(n_good - m, n_good, 1 - p))
+        if g > bar:
+            found[u] = g
+    return sorted(found, key=lambda u: (-found[u], u))
+
+
 def train(documents):
-    """Model from (label, sentences) pairs; a sentence is a list of units. None without both classes."""
-    fit, rest = documents[::2], documents[1::2]
-    bad, good = [s for y, s in fit if y], [s for y, s in fit if not y]
-    if not bad or not good:
-        return None
-    in_bad, in_good = {}, {}
-    for docs, count in ((bad, in_bad), (good, in_good)):
-        for sentences in docs:
-            for u in {u for s in sentences for u in s if len(u) > 2}:
-                count[u] = count.get(u, 0) + 1
-    # a word speaks against a text if it is much more frequent in the bad ones
-    odds = {u: (np.log((n + 0.5) / (len(bad) + 1)) - np.log((in_good.get(u, 0) + 0.5) / (len(good) + 1))) * np.log1p(n)
-            for u, n in in_bad.items() if n * (len(good) + 1) > 4 * (in_good.get(u, 0) + 0.5) * (len(bad) + 1)}
-    ranked = sorted(odds, key=lambda u: (-odds[u], u))
-    common = sorted(in_good, key=lambda u: (-in_good[u], u))
-    landmarks = list(dict.fromkeys(ranked[:LANDMARKS // 2] + common[:: max(1, len(common) * 2 // LANDMARKS)][:LANDMARKS // 2]))
-    if not ranked:
+    """Model from (label, sentences) pairs; a sentence is a list of units. None where nothing can be learned.
+
+    A word counts once per word before it, so that copies and near copies of a text speak once.
+    """
+    fit, rest = [d for k, d in enumerate(documents) if k % 3], documents[::3]
+    pairs = {1: set(), 0: set()}
+    for y, doc in fit:
+        for s in doc:
+            pairs[y].update((before, u) for before, u in zip(["", *s], s) if len(u) > 2)
+    counts = {y: {} for y in pairs}
+    for y, some in pairs.items():
+        for _, u in some:
+            counts[y][u] = counts[y].get(u, 0) + 1
+    seeds = _speaking(counts[1], counts[0], len(pairs[1]), len(pairs[0]))
+    if not seeds or not counts[0]:
         return None
-    letters = sorted({c for u in landmarks for c in u if ord(c) < 0x2FFF})[:LETTERS - 1]
-    alphabet = np.zeros(0x3000, np.uint8)
-    for k, c in enumerate(letters):
-        alphabet[ord(c)] = k + 1
+    common = sorted(counts[0], key=lambda u: (-counts[0][u], u))
+    third = LANDMARKS // 3
+    landmarks = list(dict.fromkeys(seeds[:third] + common[:: max(1, len(common) // third)][:third]))
+    alphabet = _alphabet(landmarks)
+    # clean words that look most like the seeds
+    like = np.concatenate([_kernel(common[k:k + 20_000], seeds[:third], alphabet).max(axis=1) for k in range(0, len(common), 20_000)])
+    known = set(seeds)
+    near = [common[k] for k in np.argsort(-like, kind="stable")[:third + len(seeds)] if common[k] not in known][:third]
+    landmarks = list(dict.fromkeys(landmarks + near))
+    alphabet = _alphabet(landmarks)
     among = _kernel(landmarks, landmarks, alphabet)
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     keep = values > 1e-4 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
 
-    words = sorted({u for _, s in fit for x in s for u in x if len(u) > 2})
-    number = {u: k for k, u in enumerate(words)}
-    value = np.array([odds.get(u, -1.0) for u in words])
-    # labelled sentences: of a bad document the one with the strongest word, of a good document all
-    worst = lambda s: max((number[u] for u in s if len(u) > 2), key=lambda k: value[k], default=-1)
+    words = sorted(counts[0] | counts[1])
     features = np.concatenate([_kernel(words[k:k + 20_000], landmarks, alphabet) @ whiten for k in range(0, len(words), 20_000)])
-    w = None
+    clean = np.array([u in counts[0] for u in words])
+    sure = np.isin(words, seeds)
+    clean &= ~sure
+    # bad sentences are represented by their seeds, clean ones by common words at first; each round adds the worst
+    value, pool = np.array([counts[0].get(u, 0) for u in words], float), np.zeros(len(words), bool)
+    pos = np.flatnonzero(sure)
     for _ in range(ROUNDS):
-        pos = [max((worst(x) for x in s), key=lambda k: value[k] if k >= 0 else -1e9, default=-1) for s in bad]
-        neg = {worst(x) for s in good for x in s}
-        pos, neg = np.array([k for k in pos if k >= 0 and words[k] in odds]), np.array(sorted(neg - {-1}))
-        if not len(pos) or not len(neg):
-            return None
-        neg = neg[np.argsort(-value[neg], kind="stable")[:30_000]]
+        free = np.flatnonzero(clean & ~pool)
+        pool[free[np.argsort(-value[free], kind="stable")[:NEGATIVES]]] = True
+        neg = np.flatnonzero(pool)
         w = _svm(features[np.r_[pos, neg]], np.r_[np.ones(len(pos)), -np.ones(len(neg))], COST)
         value = features @ w[:-1] + w[-1]
     fold = whiten @ w[:-1] / np.sqrt(np.maximum(_mass([len(u) for u in landmarks]), 1e-12))
@@ -197,7 +234,10 @@ def fit(docs, labels, text="text", doc_id="doc_id", label="toxic"):
     some = known.where("__y = 1").orderBy("__o", "__id").limit(MAX_DOCS).union(known.where("__y = 0").orderBy("__o", "__id").limit(MAX_DOCS))
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("t")).where(F.length("t") <= MAX_CHARS).join(some, "__id")
     # a bounded number of bounded texts, in an order that does not depend on the plan
-    got = sorted({(r["__o"], r["__y"], r["t"]) for r in rows.select("__o", "__y", "t").limit(4 * MAX_DOCS).collect()})
+    got = {}
+    for r in sorted(rows.select("__o", "__y", "t").limit(4 * MAX_DOCS).collect()):
+        got.setdefault(r["t"], (r["__o"], r["__y"], r["t"]))  # of equal texts the first
+    got = sorted(got.values())
     return train([(y, [[unit(x) for x in tokens(s)] for s in ENDS.split(t)]) for _, y, t in got])
 
 
