@@ -152,7 +152,7 @@ def write(docs, folder, path=None, end_id=0, text="text", doc_id="doc_id"):
     path = path or default_tokenizer()
     ordered = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).repartitionByRange("doc_id")
     ordered = ordered.sortWithinPartitions("doc_id", "text")
-    rows = ordered.select("doc_id", *split_columns(F.col("text"), special_tokens(path)))
+    rows = split_columns(ordered, "text", special_tokens(path), ["doc_id"])
 
     def run(batches):
         tokenizer = load(path)

@@ -7,6 +7,8 @@ numbers and joins the ids to them by position. So a word travels once per block,
 neither the vocabulary nor the texts are ever gathered anywhere. Both passes need the same batches, so ``docs``
 must be a stored table (a file scan), whose tasks always read the same rows in the same order.
 """
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -19,7 +21,7 @@ from tickloom.llm.bytebpe import batch_words, default_tokenizer, load, special_t
 from tickloom.llm.common import append, read
 
 #: Word numbers in one row of a block, cut between documents.
-ROW_WORDS = 1 << 20
+ROW_WORDS = 1 << 19
 
 
 def _numbered(batch, tokenizer):
@@ -52,15 +54,36 @@ def _lists(cuts, values):
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), values)
 
 
-def encode(docs, path=None, text="text", doc_id="doc_id", buckets=None):
+@lru_cache(maxsize=2)
+def _pieces(path):
+    """The bytes of every id, in order, and nothing for any other."""
+    return pa.array([*load(path).pieces, b""], pa.binary())
+
+
+def _texts(column, pieces):
+    """The texts of lists of ids: each id takes its piece, the pieces of a list lie end to end."""
+    codes = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = np.where((codes >= 0) & (codes < len(pieces) - 1), codes, len(pieces) - 1)
+    got = pieces.take(pa.array(codes))
+    ends = np.frombuffer(got.buffers()[1], np.int32)[: len(got) + 1] if len(got) else np.zeros(1, np.int32)
+    raw = memoryview(got.buffers()[2]) if len(got) else b""
+    n = np.nan_to_num(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64)
+    cuts = ends[np.r_[0, np.cumsum(n)]].tolist()
+    return [str(raw[a:b], "utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+
+
+def encode(docs, path=None, text="text", doc_id="doc_id", buckets=None, decoded=False):
     """(doc_id, ids) of every row of the stored table ``docs``; a null or empty text has no ids.
 
+    With ``decoded`` the text that the ids stand for comes as a third column, made by the join of ``decode`` in
+    the task that has the ids at hand.
+
     Special tokens written out in a text are encoded as such; none are added.
     """
     path = path or default_tokenizer()
     buckets = buckets or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema[doc_id].dataType
-    rows = docs.select(F.col(doc_id).alias("doc_id"), *split_columns(F.col(text), special_tokens(path)))
+    rows = split_columns(docs, text, special_tokens(path), [F.col(doc_id).alias("doc_id")])
 
     def send_words(batches):
         for n, b in enumerate(batches):
@@ -113,11 +136,18 @@ def encode(docs, path=None, text="text", doc_id="doc_id", buckets=None):
             index = _unpack(numbers.column("numbers")[k].as_py())
             per_word = lens[index]
             word_ends = np.cumsum(per_word)
-            place = np.arange(word_ends[-1] if len(index) else 0) - np.repeat(word_ends - per_word - starts[index], per_word)
+            place = np.arange(word_ends[-1] if len(index) else 0)
+            place -= np.repeat(word_ends - per_word - starts[index], per_word)
             words = numbers.column("words")[k].values.to_numpy(zero_copy_only=False)
             cuts = np.r_[0, word_ends][np.r_[0, np.cumsum(words)]]
-            out.append(pa.table([numbers.column("doc_id")[k].values, _lists(cuts, pa.array(ids[place], pa.int32()))], names=["doc_id", "ids"]))
-        schema = pa.schema([("doc_id", numbers.schema.field("doc_id").type.value_type), ("ids", pa.list_(pa.int32()))])
+            lists = _lists(cuts, pa.array(ids[place], pa.int32()))
+            del place, index, per_word
+            columns = [numbers.column("doc_id")[k].values, lists]
+            if decoded:
+                columns.append(pa.array(_texts(lists, _pieces(path)), pa.string()))
+            out.append(pa.table(columns, names=result.names))
+        fields = [("doc_id", numbers.schema.field("doc_id").type.value_type), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
+        schema = pa.schema(fields[:len(result)])
         return pa.concat_tables([t.cast(schema) for t in out]) if out else schema.empty_table()
 
     words = rows.mapInArrow(send_words, "block long, bucket long, number array<int>, word array<string>")
@@ -127,6 +157,8 @@ def encode(docs, path=None, text="text", doc_id="doc_id", buckets=None):
                          T.StructField("numbers", T.BinaryType())])
     numbers = rows.mapInArrow(send_numbers, sent)
     result = T.StructType([T.StructField("doc_id", id_type), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decoded:
+        result = result.add("decoded", T.StringType())
     return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(put_back, result)
 
 
@@ -139,28 +171,24 @@ def decode(encoded, path=None, ids="ids", keep=None):
     path = path or default_tokenizer()
 
     def run(batch):
-        pieces = pa.array([*load(path).pieces, b""], pa.binary())
-        column = batch.column(ids)
-        values = column.flatten()
-        codes = values.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-        codes = np.where((codes >= 0) & (codes < len(pieces) - 1), codes, len(pieces) - 1)
-        got = pieces.take(pa.array(codes))
-        ends = np.frombuffer(got.buffers()[1], np.int32)[: len(got) + 1] if len(got) else np.zeros(1, np.int32)
-        raw = bytes(got.buffers()[2]) if len(got) else b""
-        n = np.nan_to_num(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64)
-        cuts = ends[np.r_[0, np.cumsum(n)]].tolist()
-        return [pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])], pa.string())]
+        column, texts = batch.column(ids), []
+        ends = np.cumsum(np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)))
+        at = 0
+        while at < len(column):  # some documents at a time
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + ROW_WORDS, "right")))
+            texts += _texts(column.slice(at, to - at), _pieces(path))
+            at = to
+        return [pa.array(texts, pa.string())]
 
     return append(encoded, run, [T.StructField("decoded", T.StringType())], keep)
 
 
 def digests(docs, path=None):
     """Pipeline stage and query: size and digest of the ids and digest of the decoded text of every document."""
-    encoded = encode(docs.select("doc_id", "text"), path)
-    said = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
-    out = decode(said, path, keep=["doc_id", "n_tokens", "ids_sha256"])
-    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = encode(docs.select("doc_id", "text"), path, decoded=True)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_tokens(spark, sf_dir):
