@@ -5,7 +5,8 @@ Items are partitioned by their number of shingles; an item of n shingles is sket
 ``n - ceil(THRESHOLD * n / 100) + 1`` smallest shingle hashes (bottom-k MinHash). A document that holds the
 item lacks fewer shingles than the sketch has, so it holds at least one of the sketch: the search over whole
 documents of any length loses nothing. Each partition takes the sketch size of its largest item. Candidate
-pairs are then verified by comparing the shingles themselves.
+pairs are then verified by comparing the shingles themselves, in the documents that hold candidates; texts are not shuffled
+while the pairs are few enough to go to every task.
 
 Only DataFrame functions are used.
 """
