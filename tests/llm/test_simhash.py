@@ -25,7 +25,7 @@ def grouped(prints):
 
     for a in prints:
         for b in prints:
-            if a < b and (a ^ b).bit_count() <= 3:
+            if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3:
                 root[max(top(a), top(b))] = min(top(a), top(b))
     return {p: top(p) for p in prints}
 

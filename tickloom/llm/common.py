@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tickloom.session import materialize, shared_dir
 
-__all__ = ["append", "content_key", "read", "shared_dir", "stage", "words_of"]
+__all__ = ["append", "content_key", "read", "shared_dir", "small", "stage", "words_of"]
 
 
 def read(spark, sf_dir, table):
@@ -18,6 +18,16 @@ def stage(df, name):
     return materialize(df, name)
 
 
+#: Rows up to which ``small`` lets a table of a few narrow columns go to every task.
+SMALL_ROWS = 1_000_000
+
+
+def small(stored, rows=SMALL_ROWS):
+    """A stored table of narrow rows, marked for broadcast if a count shows at most ``rows``; a larger one is left to a
+    shuffle join with the same result."""
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def append(df, fn, fields, keep=None):
     """``df[keep]`` with the columns ``fields`` that ``fn`` makes of each Arrow batch.
 

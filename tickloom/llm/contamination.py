@@ -13,7 +13,7 @@ Only DataFrame functions are used.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import content_key, read, stage, words_of
+from tickloom.llm.common import content_key, read, small, stage, words_of
 
 WIDTH = 5
 #: Share of an item's shingles, in percent.
@@ -92,7 +92,7 @@ def contained(docs, items, doc_id="doc_id", text="text"):
             "doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (
                 ("item_id", rows.schema["item_id"].dataType), ("n_shingles", "int"), ("n_found", "int"), ("containment", "double"))])
     found = stage(found, "candidates")
-    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    found = small(found, BROADCAST_ROWS)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"), *content_key(F.col(text)))
     pairs = texts.join(found, ["__k1", "__k2"]).select("doc_id", "item", words_of(F.col("__text")).alias("__w"))
     pairs = pairs.join(rows.select("item", "item_id", "width", "shingles", "n"), "item")
@@ -108,7 +108,7 @@ def contained(docs, items, doc_id="doc_id", text="text"):
 def clean_documents(docs, items):
     """Pipeline stage: the documents that contain no item, with their own columns."""
     hits = contained(docs.select(F.struct("doc_id", *content_key(F.col("text"))).alias("doc_id"), "text"), items)
-    hits = hits.select("doc_id.*").distinct().toDF("__id", "__h1", "__h2")
+    hits = small(stage(hits.select("doc_id.*").distinct().toDF("__id", "__h1", "__h2"), "contaminated"))
     k1, k2 = content_key(F.col("text"))
     marked = docs.withColumns({"__k1": k1, "__k2": k2})
     same = (F.col("__k1") == F.col("__h1")) & (F.col("__k2") == F.col("__h2")) & F.col("doc_id").eqNullSafe(F.col("__id"))

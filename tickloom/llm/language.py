@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import append, read
+from tickloom.llm.common import append, read, stage
 
 BUCKETS = 1 << 15
 ORDERS = (2, 3)
@@ -102,6 +102,7 @@ def fit(docs, text="text", lang="lang", buckets=BUCKETS, orders=ORDERS, alpha=0.
 
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     table = rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    table = stage(table, "ngrams")
     names = sorted(r[0] for r in table.where("bucket < 0").select("lang").limit(MAX_LANGUAGES + 1).collect())
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")

@@ -20,7 +20,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import append, read, stage
+from tickloom.llm.common import append, read, small, stage
 from tickloom.llm.graph import components
 
 RADIUS = 3
@@ -128,16 +128,20 @@ def one_per_group(docs):
     Rows that repeat that doc_id count as copies: the one with the smallest text hash stays. Documents
     without a word have nothing to compare and stay. Columns are those of ``docs``.
     """
-    key = [F.col("doc_id"), F.xxhash64("text").alias("__h")]
     some = F.coalesce(F.col("text"), F.lit("")).rlike("[^ \\t-\\r]")
-    found = near_duplicates(docs.where(some).select(*key, "text"), keep=["doc_id", "__h"])
-    best = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__h")).alias("b"))
-    best = best.select(F.col("b.doc_id").alias("__id"), F.col("b.__h").alias("__hash"))
-    wide = docs.withColumns({"__hash": F.xxhash64("text"), "__row": F.monotonically_increasing_id()})
-    kept = wide.where(some).join(best, F.col("doc_id").eqNullSafe(F.col("__id")) & (wide["__hash"] == best["__hash"]), "left_semi")
-    repeats = Window.partitionBy("doc_id", "__hash").orderBy("__row")
-    kept = kept.withColumn("__n", F.row_number().over(repeats)).where("__n = 1")
-    return kept.select(*docs.columns).unionByName(docs.where(~some))
+    found = near_duplicates(docs.where(some).select("doc_id", F.xxhash64("text").alias("__h"), "text"), keep=["doc_id", "__h"])
+    rows = found.groupBy("component_id", "doc_id", "__h").agg(F.count(F.lit(1)).alias("n"))
+    rows = stage(rows.withColumn("o", F.struct(F.col("doc_id").isNull(), "doc_id", "__h")), "members")
+    first = rows.groupBy("component_id").agg(F.min("o").alias("first")).withColumnRenamed("component_id", "__c")
+    rows = rows.join(first, F.col("component_id").eqNullSafe(F.col("__c")))
+    # what does not simply stay: the other members, and of a first one that is repeated all rows but one
+    odd = rows.where("o <> first or n > 1").select(F.col("doc_id").alias("__id"), F.col("__h").alias("__hash"), (F.col("o") == F.col("first")).alias("__first"))
+    odd = small(stage(odd, "dropped"))
+    wide = docs.withColumn("__h", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash"))
+    plain = wide.where(some).join(odd, same, "left_anti").select(*docs.columns)
+    repeated = wide.where(some).join(odd.where("__first"), same, "left_semi").dropDuplicates(["doc_id", "__h"]).select(*docs.columns)
+    return plain.unionByName(repeated).unionByName(docs.where(~some))
 
 
 def op10_simhash(spark, sf_dir):
