@@ -33,6 +33,9 @@ def half_up(x, digits):
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
+ORDER_TYPE = "CASE WHEN event_id % 2 = 0 THEN 'BUY' ELSE 'SELL' END"
+COMMENT = "CASE WHEN event_id % 5 > 0 THEN concat('note ', event_id % 3) END"
+
 CTES = {
     "ticks": "SELECT concat('S', CAST(user_id % 5 AS VARCHAR)) AS symbol, ts, value AS price, event_id AS tick_id, "
              "event_type AS source FROM events",
@@ -74,18 +77,20 @@ CTES = {
     "ind": f"SELECT *, CASE WHEN ndx > 0 THEN {ewm('dx', WILDER, 'ndx')} END AS adx FROM ind5",
     "account_state": "SELECT CAST(user_id AS VARCHAR) AS account_id, concat('S', CAST(user_id % 5 AS VARCHAR)) AS symbol, "
                      "ts AS timestamp, value * 100 AS balance, value * 100 + value AS equity, value * 10 AS margin, "
-                     "value * 91 AS free_margin, value - 50 AS profit, 'USD' AS currency FROM events WHERE event_type = 'signup'",
+                     "value * 91 AS free_margin, value - 50 AS profit, 'USD' AS currency, CAST((user_id % 5 + 1) * 100 AS INTEGER) AS leverage, "
+                     "value + 100 AS margin_level, CAST(nullif(event_id % 4, 0) AS INTEGER) AS total_positions, value * 0.5e0 AS risk_percent FROM events WHERE event_type = 'signup'",
     "open_trades": "SELECT event_id AS trade_id, CAST(user_id AS VARCHAR) AS account_id, "
                    "concat('S', CAST(user_id % 5 AS VARCHAR)) AS symbol, user_id AS magic_number, value AS open_price, "
                    "value * 0.95e0 AS sl, value * 1.05e0 AS tp, ts AS open_time, close_time, "
-                   "CASE WHEN close_time IS NULL THEN 'open' WHEN event_id % 3 = 0 THEN 'pending' ELSE 'closed' END AS status "
+                   "CASE WHEN close_time IS NULL THEN 'open' WHEN event_id % 3 = 0 THEN 'pending' ELSE 'closed' END AS status, "
+                   f"{ORDER_TYPE} AS order_type, (event_id % 10 + 1) * 0.25e0 AS lot_size, {COMMENT} AS comment "
                    "FROM (SELECT *, min(CASE WHEN event_type = 'error' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts "
                    "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS close_time FROM events "
                    "WHERE event_type IN ('click', 'error')) WHERE event_type = 'click'",
     "closed_trades": "SELECT event_id AS id, concat('S', CAST(user_id % 5 AS VARCHAR)) AS symbol, "
                      "CAST(user_id AS VARCHAR) AS account_id, ts AS time, value AS entry_price, "
                      "value + CAST(event_id % 7 - 3 AS DOUBLE) AS exit_price, CAST(event_id % 7 - 3 AS DOUBLE) AS profit, "
-                     "1e0 AS volume FROM events WHERE event_type = 'purchase'",
+                     f"1e0 AS volume, {ORDER_TYPE} AS type, {COMMENT} AS comment FROM events WHERE event_type = 'purchase'",
     "planned_trades": "SELECT event_id AS id, user_id AS magic_number, ts AS timestamp, "
                       "concat('S', CAST(user_id % 5 AS VARCHAR)) AS symbol, "
                       "CASE WHEN event_id % 11 <> 0 THEN value * 0.9e0 END AS sl, value * 1.1e0 AS tp "

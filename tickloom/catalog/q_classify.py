@@ -88,10 +88,10 @@ def p13(v):
 
 
 @query("p14_regime", "SELECT symbol, timeframe, CASE WHEN sd > 2 THEN 'high' WHEN sd < 0.5e0 THEN 'low' ELSE 'medium' END AS regime FROM "
-       "(SELECT symbol, timeframe, stddev_pop((high_price - low_price) / nullif(low_price, 0e0)) AS sd FROM bars GROUP BY 1, 2)")
+       "(SELECT symbol, timeframe, stddev_pop((high_price - low_price) / nullif(low_price, 0e0) * 100e0) AS sd FROM bars GROUP BY 1, 2)")
 def p14(v):
     from tickloom.operators.indicators import ratio
-    feature = ratio(F.col("high_price") - F.col("low_price"), "low_price")
+    feature = ratio(F.col("high_price") - F.col("low_price"), "low_price") * 100
     return v.bars.groupBy("symbol", "timeframe").agg(F.stddev_pop(feature).alias("sd")).select(
         "symbol", "timeframe", classify.regime("sd").alias("regime"))
 
@@ -264,12 +264,14 @@ def f10(v):
     return v.events.select("event_id", j.alias("j"), F.length(j).cast("long").alias("n"))
 
 
-@query("f11_key_case", "SELECT unnest(['outcome1H', 'nested.maxGain']) AS field")
+@query("f11_key_case", """SELECT key, count(*) AS documents FROM (SELECT CASE WHEN event_id % 3 = 0 THEN concat(event_type, 'Gain') ELSE concat(event_type, '_gain') END AS key FROM events)
+WHERE NOT regexp_full_match(key, '[a-z][a-z0-9_]*') GROUP BY 1""")
 def f11(v):
-    """Names of a nested schema that are not snake_case."""
-    rows = v.m1.select("open_price", F.lit(1).alias("outcome1H"), F.struct(F.col("high_price").alias("maxGain"), "low_price").alias("nested"))
-    bad = scalar.non_snake_case_fields(rows.schema)
-    return rows.groupBy().agg(F.count(F.lit(1)).alias("_n")).select(F.explode(F.array(*[F.lit(b) for b in bad])).alias("field"))
+    """Keys of JSON documents (here named after each event) that are not snake_case."""
+    kind = F.when(F.col("event_id") % 3 == 0, F.concat("event_type", F.lit("Gain"))).otherwise(F.concat("event_type", F.lit("_gain")))
+    text = v.events.select(F.to_json(F.create_map(kind, "value")).alias("j"))
+    keys = text.select(F.explode(F.json_object_keys("j")).alias("key")).where(~F.col("key").rlike("^[a-z][a-z0-9_]*$"))
+    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("documents"))
 
 
 @query("f12_arrays", "SELECT vec_id, list_slice(vector, -5, -1) AS tail, list_reverse(list_slice(vector, 1, 3)) AS head_reversed, list_concat(list_slice(vector, 1, 1), list_slice(vector, -1, -1)) AS ends FROM vectors")
@@ -364,7 +366,7 @@ def a35(v):
     return monitor.connection_health(v.bars, v.now(v.bars), 5, "%view%").select("source_records")
 
 
-TRAIL = f"(SELECT *, avg(spread) OVER ({OVER} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS avg_spread FROM bars WHERE spread > 0"
+TRAIL = f"(SELECT *, avg(spread) OVER (PARTITION BY symbol ORDER BY open_time, timeframe ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS avg_spread FROM bars WHERE spread > 0"
 
 
 @query("w01_trailing_mean", f"SELECT {KEYSQL}, spread, round(avg_spread, 6) + 0e0 AS avg_spread FROM {TRAIL})")
@@ -398,7 +400,8 @@ def s28(v):
     """One monitoring cycle appended to the log and read back."""
     path = shared_dir(v.spark, "log")
     now = v.now(v.bars)
-    row = monitor.report_row(monitor.freshness(watched(v), v.bars, now), monitor.spread_anomalies(v.bars, now), now)
+    row = monitor.report_row(monitor.freshness(watched(v), v.bars, now), monitor.spread_anomalies(v.bars, now),
+                             monitor.connection_health(v.bars, now, n_symbols=5), now)
     sinks.append_log(row, path)
     return v.spark.read.parquet(path).select("overall_health", "symbols_fresh", "total_symbols", "timestamp")
 
@@ -410,12 +413,13 @@ def s29(v):
 
 
 @query("t08_alert_rules", f"""SELECT 'stale_data' AS alert_type, symbol, CASE WHEN age < 10 THEN 'warning' ELSE 'critical' END AS severity FROM ({FRESH}) WHERE NOT coalesce(age <= 5, false)
-UNION ALL SELECT 'connection', symbol, 'critical' FROM ({FRESH}) WHERE NOT coalesce(age <= 2, false)
+UNION ALL SELECT 'connection_issue', 'ALL', 'critical' FROM (SELECT count(DISTINCT symbol) AS n FROM bars WHERE open_time >= {NOW} - INTERVAL 1 HOUR) WHERE n < 8
 UNION ALL SELECT 'spread_anomaly', symbol, 'warning' FROM (SELECT *, coalesce(nullif(avg_spread, 0e0), spread) AS m FROM {TRAIL} AND open_time >= {NOW} - INTERVAL 48 HOUR)
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC, timeframe DESC) = 1) WHERE spread > 3 * m""")
 def t08(v):
     now = v.now(v.bars)
-    out = monitor.alerts(monitor.freshness(watched(v), v.bars, now), monitor.spread_anomalies(v.bars, now, 48 * 3600), now)
+    connection = monitor.connection_health(v.bars, now, n_symbols=10)
+    out = monitor.alerts(monitor.freshness(watched(v), v.bars, now), monitor.spread_anomalies(v.bars, now, 48 * 3600), connection, now)
     return out.select("alert_type", "symbol", "severity")
 
 
@@ -440,14 +444,16 @@ def pairs(v):
 PAIRS = f"(SELECT currency AS base, w AS b, lead(currency) OVER (ORDER BY currency) AS quote, lead(w) OVER (ORDER BY currency) AS q FROM ({SENT}))"
 
 
-@query("a48_composite_sentiment", f"SELECT base, quote, round(b * 0.8e0 - q * 0.6e0, 6) + 0e0 AS composite_sentiment FROM {PAIRS} WHERE quote IS NOT NULL")
+@query("a48_composite_sentiment", f"SELECT currency, round(w, 6) + 0e0 AS composite_sentiment, round(w * 0.8e0, 6) + 0e0 AS base_currency_sentiment, "
+       f"round(w * -0.6e0, 6) + 0e0 AS quote_currency_sentiment, n AS news_volume FROM ({SENT})")
 def a48(v):
-    return sentiment.composite(pairs(v), sentiment.sentiment(v.articles)).select("base", "quote", r("composite_sentiment"))
+    out = sentiment.composite(sentiment.sentiment(v.articles))
+    return out.select("currency", r("composite_sentiment"), r("base_currency_sentiment"), r("quote_currency_sentiment"), "news_volume")
 
 
 @query("a52_policy_divergence", f"SELECT base, quote, round(abs(b - q), 6) + 0e0 AS policy_divergence FROM {PAIRS} WHERE quote IS NOT NULL")
 def a52(v):
-    return sentiment.composite(pairs(v), sentiment.sentiment(v.articles)).select("base", "quote", r("policy_divergence"))
+    return sentiment.divergence(pairs(v), sentiment.sentiment(v.articles)).select("base", "quote", r("policy_divergence"))
 
 
 IMPACT = "CASE WHEN event_type IN ('purchase', 'signup') THEN 'high' WHEN event_type = 'click' THEN 'medium' ELSE 'low' END"

@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from tickloom.catalog.base import query, r, rs
 from tickloom.catalog.oracle_views import session
-from tickloom.catalog.q_joins import (HOUR_POINTS, MARKET_SQL, ONE_SIDED, STOPS, context_sql, hour_points, limits_sql,
-                                      minute_points)
+from tickloom.catalog.q_joins import (HOUR_POINTS, MARKET_SQL, MINUTE_POINTS, ONE_SIDED, STOPS, context_sql, hour_points,
+                                      limits_sql, minute_points)
 from tickloom.catalog.q_quality import SPREAD_A
 from tickloom.constants import COMPACT_LIMITS, DOCUMENT_TIMEFRAMES, FULL_LIMITS, INDICATOR_COLUMNS, PATTERN_LIMITS
 from tickloom.functions.scalar import first_present, json_number, json_text, utc_text
@@ -114,19 +114,20 @@ def k09(v):
     return docs.select("symbol", F.explode("ohlc_last_time").alias("timeframe", "last_time"))
 
 
-@query("d04_account_live", f"""SELECT account_id, {ISO.format(t='timestamp')} AS state_time, balance, equity, margin, free_margin, profit, currency
+@query("d04_account_live", f"""SELECT account_id, {ISO.format(t='timestamp')} AS state_time, balance, equity, margin, free_margin, leverage, profit, currency
 FROM account_state ORDER BY timestamp DESC LIMIT 1""")
 def d04(v):
     return trades.live_account_document(v.account_state).select(
         "account_id", F.col("account.timestamp").alias("state_time"), "account.balance", "account.equity", "account.margin",
-        "account.free_margin", "account.profit", "account.currency")
+        "account.free_margin", "account.leverage", "account.profit", "account.currency")
 
 
-@query("d04_account_history", f"""SELECT p.symbol, p.at, a.balance, a.equity, a.profit AS profit_loss, {ISO.format(t='a.timestamp')} AS state_time
-FROM (SELECT symbol, open_time AS at FROM m1) p ASOF JOIN account_state a ON p.symbol = a.symbol AND p.at >= a.timestamp""")
+@query("d04_account_history", f"""SELECT p.symbol, p.at, a.balance, a.equity, a.margin, a.free_margin, a.margin_level, a.profit AS profit_loss,
+coalesce(a.total_positions, 0) AS total_positions, a.risk_percent, {ISO.format(t='a.timestamp')} AS state_time FROM (SELECT symbol, open_time AS at FROM m1) p ASOF JOIN account_state a ON p.symbol = a.symbol AND p.at >= a.timestamp""")
 def d04_history(v):
     return trades.history_account_documents(minute_points(v), v.account_state).select(
-        "symbol", "at", "account.balance", "account.equity", "account.profit_loss", F.col("account.timestamp").alias("state_time"))
+        "symbol", "at", "account.balance", "account.equity", "account.margin", "account.free_margin", "account.margin_level",
+        "account.profit_loss", "account.total_positions", "account.risk_percent", F.col("account.timestamp").alias("state_time"))
 
 
 @query("d05_open_trades_live", f"""SELECT account_id, count(*) AS n_trades, round(sum(open_price), 4) + 0e0 AS price_sum,
@@ -144,25 +145,59 @@ def d05(v):
 
 
 @query("d05_open_trades_history", f"""SELECT p.symbol, p.at, count(*) AS n_trades, round(sum(o.sl), 4) + 0e0 AS stop_sum,
-arg_min(o.trade_id, o.open_time) AS oldest FROM {HOUR_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at
+arg_min(o.trade_id, o.open_time) AS oldest FROM {MINUTE_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at
 AND (o.close_time IS NULL OR o.close_time > p.at) GROUP BY 1, 2""")
 def d05_history(v):
-    docs = trades.open_trade_documents(hour_points(v), v.open_trades)
+    docs = trades.open_trade_documents(minute_points(v), v.open_trades)
     return docs.select("symbol", "at", F.size("trades").cast("long").alias("n_trades"),
                        F.round(F.aggregate("trades", F.lit(0.0), lambda a, t: a + t["stop_loss"]), 4).alias("stop_sum"),
                        F.element_at("trades", 1)["trade_id"].alias("oldest"))
 
 
 @query("d06_closed_trades_history", f"""SELECT p.symbol, p.at, count(*) AS n_trades, round(sum(c.profit), 4) + 0e0 AS profit,
-arg_max(c.id, c.time) AS newest FROM {HOUR_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at
+arg_max(c.id, c.time) AS newest FROM {MINUTE_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at
 AND c.time > p.at - INTERVAL 24 HOUR GROUP BY 1, 2""")
 def d06(v):
-    docs = trades.closed_trade_documents(hour_points(v), v.closed_trades)
+    docs = trades.closed_trade_documents(minute_points(v), v.closed_trades)
     return docs.select("symbol", "at", F.size("trades").cast("long").alias("n_trades"),
                        F.round(F.aggregate("trades", F.lit(0.0), lambda a, t: a + t["profit"]), 4).alias("profit"),
                        F.element_at("trades", 1)["trade_id"].alias("newest"))
 
 
+def trade_rows(docs, *keys):
+    """The trades of the documents field by field, with their places in the list."""
+    rows = docs.select(*keys, F.posexplode("trades").alias("place", "t"))
+    return rows.select(*keys, "place", *[F.col(f"t.{c}").alias(f"t_{c}") for c in docs.schema["trades"].dataType.elementType.names])
+
+
+def place(order, by):
+    return f"CAST(row_number() OVER (PARTITION BY {by} ORDER BY {order}) - 1 AS INTEGER) AS place"
+
+
+@query("d05_live_trade_fields", f"""SELECT o.account_id, {place('o.open_time, o.trade_id', 'o.account_id')}, o.symbol AS t_symbol, o.magic_number AS t_magic, o.order_type AS t_order_type,
+o.lot_size AS t_lot_size, o.open_price AS t_open_price, o.sl AS t_sl, o.tp AS t_tp, {ISO.format(t='o.open_time')} AS t_open_time, o.status AS t_status,
+o.comment AS t_comment, s.original_sl AS t_original_sl, s.original_tp AS t_original_tp
+FROM open_trades o LEFT JOIN ({STOPS}) s ON o.magic_number = s.magic_number WHERE o.status IN ('open', 'pending')""")
+def d05_live_fields(v):
+    return trade_rows(trades.live_trade_documents(v.open_trades, v.planned_trades), "account_id")
+
+
+@query("d05_history_trade_fields", f"""SELECT p.symbol, p.at, {place('o.open_time, o.trade_id', 'p.symbol, p.at')}, o.trade_id AS t_trade_id, o.symbol AS t_symbol, o.order_type AS t_type,
+o.lot_size AS t_volume, o.open_price AS t_open_price, o.sl AS t_stop_loss, o.tp AS t_take_profit, 0e0 AS t_profit, 0e0 AS t_commission, 0e0 AS t_swap,
+{ISO.format(t='o.open_time')} AS t_open_time, coalesce(o.comment, '') AS t_comment, o.magic_number AS t_magic
+FROM {HOUR_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at AND (o.close_time IS NULL OR o.close_time > p.at)""")
+def d05_history_fields(v):
+    return trade_rows(trades.open_trade_documents(hour_points(v), v.open_trades), "symbol", "at")
+
+
+@query("d06_history_trade_fields", f"""SELECT p.symbol, p.at, {place('c.time DESC, c.id DESC', 'p.symbol, p.at')}, c.id AS t_trade_id, c.symbol AS t_symbol, c.type AS t_type, c.volume AS t_volume,
+c.entry_price AS t_open_price, c.exit_price AS t_close_price, CAST(NULL AS DOUBLE) AS t_stop_loss, CAST(NULL AS DOUBLE) AS t_take_profit, c.profit AS t_profit,
+0e0 AS t_commission, 0e0 AS t_swap, {ISO.format(t='c.time')} AS t_open_time, {ISO.format(t='c.time')} AS t_close_time, coalesce(c.comment, '') AS t_comment, 0 AS t_magic
+FROM {HOUR_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at AND c.time > p.at - INTERVAL 24 HOUR""")
+def d06_history_fields(v):
+    return trade_rows(trades.closed_trade_documents(hour_points(v), v.closed_trades), "symbol", "at")
+
+
 SINCE = "(SELECT symbol, max(open_time) - INTERVAL 1 HOUR AS since FROM m1 GROUP BY 1)"
 
 
@@ -176,6 +211,15 @@ def d06_live(v):
                        F.element_at("trades", 1)["close_time"].alias("newest"))
 
 
+@query("d06_live_trade_fields", f"""SELECT * FROM (SELECT s.symbol, {place('c.time DESC, c.id DESC', 's.symbol')}, c.symbol AS t_symbol, CAST(c.account_id AS INTEGER) AS t_magic, c.type AS t_order_type,
+c.volume AS t_lot_size, c.entry_price AS t_open_price, c.exit_price AS t_close_price, CAST(NULL AS DOUBLE) AS t_sl, CAST(NULL AS DOUBLE) AS t_tp, c.profit AS t_profit,
+CAST(NULL AS VARCHAR) AS t_open_time, {ISO.format(t='c.time')} AS t_close_time, CAST(NULL AS INTEGER) AS t_duration_minutes
+FROM (SELECT symbol, max(open_time) - INTERVAL 240 HOUR AS since FROM m1 GROUP BY 1) s JOIN closed_trades c ON c.symbol = s.symbol AND c.time > s.since) WHERE place < 50""")
+def d06_live_fields(v):
+    since = v.m1.groupBy("symbol").agg(F.timestamp_seconds(F.unix_seconds(F.max("open_time")) - 240 * 3600).alias("since"))
+    return trade_rows(trades.live_closed_documents(v.closed_trades, since), "symbol")
+
+
 @query("k06_recent_closed_trades", """SELECT symbol, id, time, profit FROM (SELECT c.*, row_number() OVER (PARTITION BY c.symbol ORDER BY time DESC, id DESC) AS rk
 FROM closed_trades c JOIN (SELECT symbol, max(open_time) - INTERVAL 240 HOUR AS since FROM m1 GROUP BY 1) s ON c.symbol = s.symbol
 WHERE c.time > s.since) WHERE rk <= 50""")
@@ -189,6 +233,16 @@ def d07(v):
     return d.market_state_history(v.m1, v.bars_of("M5"))
 
 
+@query("d07_market_document", f"""SELECT d.symbol, d.at, {ISO.format(t='d.at')} AS said_at, d.symbol AS said_symbol, d.current_price, d.market_session
+FROM ({MARKET_SQL}) d""")
+def d07_document(v):
+    """Fields of the market document as its JSON text holds them."""
+    rows = d.history_snapshots(minute_points(v), v.bars, v.account_state, v.open_trades, v.closed_trades, parts=["market"])
+    text = lambda path: F.get_json_object("market_state_json", path)
+    return rows.select("symbol", F.col("snapshot_time").alias("at"), text("$.timestamp").alias("said_at"), text("$.symbol").alias("said_symbol"),
+                       json_number("market_state_json", "$.current_price").alias("current_price"), text("$.market_session").alias("market_session"))
+
+
 @query("d07_market_state_live", f"""SELECT symbol, open_time AS at, CASE WHEN coalesce(atr, 0e0) > 1.5e0 THEN 'high' ELSE 'low' END AS volatility,
 {SPREAD_A} AS spread, CASE WHEN hour(open_time) BETWEEN 7 AND 16 THEN 'London' WHEN hour(open_time) BETWEEN 13 AND 20 THEN 'NY' ELSE 'Other' END AS session,
 false AS news_event FROM ind WHERE timeframe = 'M1' QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) = 1""")
@@ -242,15 +296,15 @@ def d11(v):
 @query("d12_history_backfill", f"""SELECT h.symbol, h.at AS snapshot_time,
 a.balance IS NOT NULL AS has_account, coalesce(o.n, 0) > 0 AS has_open, coalesce(c.n, 0) > 0 AS has_closed, a.balance AS balance,
 coalesce(o.n, 0) AS n_open, coalesce(c.n, 0) AS n_closed
-FROM {HOUR_POINTS} h ASOF LEFT JOIN account_state a ON a.symbol = h.symbol AND h.at >= a.timestamp
-LEFT JOIN (SELECT p.symbol, p.at, count(*) AS n FROM {HOUR_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at
+FROM {MINUTE_POINTS} h ASOF LEFT JOIN account_state a ON a.symbol = h.symbol AND h.at >= a.timestamp
+LEFT JOIN (SELECT p.symbol, p.at, count(*) AS n FROM {MINUTE_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at
 AND (o.close_time IS NULL OR o.close_time > p.at) GROUP BY 1, 2) o ON o.symbol = h.symbol AND o.at = h.at
-LEFT JOIN (SELECT p.symbol, p.at, count(*) AS n FROM {HOUR_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at
+LEFT JOIN (SELECT p.symbol, p.at, count(*) AS n FROM {MINUTE_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at
 AND c.time > p.at - INTERVAL 24 HOUR GROUP BY 1, 2) c ON c.symbol = h.symbol AND c.at = h.at""")
 def d12(v):
-    rows = d.history_snapshots(hour_points(v), v.bars, v.account_state, v.open_trades, v.closed_trades,
+    rows = d.history_snapshots(minute_points(v), v.bars, v.account_state, v.open_trades, v.closed_trades,
                                parts=["account", "open_trades", "closed_trades"])
-    n = lambda c: F.coalesce(F.json_array_length(c), F.lit(0)).cast("long")
+    n = lambda c: F.json_array_length(c).cast("long")
     return rows.select("symbol", "snapshot_time", F.col("account_state_json").isNotNull().alias("has_account"),
                        (n("open_trades_json") > 0).alias("has_open"), (n("closed_trades_json") > 0).alias("has_closed"),
                        json_number("account_state_json", "$.balance").alias("balance"), n("open_trades_json").alias("n_open"),
@@ -258,11 +312,11 @@ def d12(v):
 
 
 @query("a42_document_completeness", f"""SELECT count(*) AS total, count(a.balance) AS account_state_json_present,
-count(m.volume_24h) AS market_state_json_present FROM {HOUR_POINTS} h
+count(m.volume_24h) AS market_state_json_present FROM {MINUTE_POINTS} h
 ASOF LEFT JOIN account_state a ON a.symbol = h.symbol AND h.at >= a.timestamp
 LEFT JOIN (SELECT symbol, open_time, 1 AS volume_24h FROM m1) m ON m.symbol = h.symbol AND m.open_time = h.at""")
 def a42(v):
-    rows = d.history_snapshots(hour_points(v), v.bars, v.account_state, v.open_trades, v.closed_trades, parts=["account", "market"])
+    rows = d.history_snapshots(minute_points(v), v.bars, v.account_state, v.open_trades, v.closed_trades, parts=["account", "market"])
     return quality.documents_present(rows, ["account_state_json", "market_state_json"])
 
 

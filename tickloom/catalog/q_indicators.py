@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from tickloom.catalog.base import query, r, rs
 from tickloom.catalog.oracle_views import SERIES as OVER
 from tickloom.catalog.oracle_views import full as sql_full
+from tickloom.constants import TICK_TF_SECONDS
 from tickloom.functions import classify
 from tickloom.operators import outcome, resample
 from tickloom.operators.indicators import on_balance_volume, ratio, stored_indicators
-from tickloom.operators.sequence import SERIES, block_window, full, ranged, rolling, rows_back, running_total
+from tickloom.operators.sequence import SERIES, block_window, full, ranged, rolling, rows_back, running_total, with_row_index
 from tickloom.plans import features
 
 KEYS = ["symbol", "timeframe", "open_time"]
@@ -109,6 +110,26 @@ def a03(v):
     return v.bars.select(*KEYS, "open_price", "high_price", "low_price", "close_price", "volume")
 
 
+TICK_SLOTS = ", ".join(f"('{t}', {s}::BIGINT)" for t, s in TICK_TF_SECONDS.items() if s)
+
+
+@query("a01_tick_tool_timeframes", f"""SELECT concat('S', CAST(user_id % 5 AS VARCHAR)) AS symbol, k.timeframe,
+make_timestamp((epoch_us(ts) // (k.secs * 1000000)) * k.secs * 1000000) AS open_time, arg_min(value, (epoch_us(ts)::HUGEINT * 1000000000 + event_id)) AS open_price,
+max(value) AS high_price, min(value) AS low_price, arg_max(value, (epoch_us(ts)::HUGEINT * 1000000000 + event_id)) AS close_price, count(*) AS volume
+FROM events CROSS JOIN (VALUES {TICK_SLOTS}) k(timeframe, secs) GROUP BY 1, 2, 3""")
+def a01_tick_tool(v):
+    return resample.tick_tool_timeframes(v.ticks).select(*KEYS, "open_price", "high_price", "low_price", "close_price", "volume")
+
+
+@query("w03_tick_tool_index", f"""SELECT timeframe, count(*) AS bars, CAST(sum(n) AS BIGINT) AS index_sum FROM (SELECT timeframe,
+row_number() OVER (PARTITION BY symbol, timeframe ORDER BY slot) - 1 AS n FROM (SELECT DISTINCT user_id % 5 AS symbol, k.timeframe, epoch_us(ts) // (k.secs * 1000000) AS slot
+FROM events CROSS JOIN (VALUES {TICK_SLOTS}) k(timeframe, secs))) GROUP BY 1""")
+def w03_tick_tool(v):
+    """Row frames keep every bar of every timeframe."""
+    rows = with_row_index(resample.tick_tool_timeframes(v.ticks))
+    return rows.groupBy("timeframe").agg(F.count(F.lit(1)).alias("bars"), F.sum("_rn").alias("index_sum"))
+
+
 @query("a02_gap_fill", f"""
 SELECT symbol, unnest(range(open_time, coalesce(nxt, open_time + INTERVAL 30 MINUTE), INTERVAL 30 MINUTE)) AS open_time, {OHLC}
 FROM (SELECT *, lead(open_time) OVER (PARTITION BY symbol, CAST(open_time AS DATE) ORDER BY open_time) AS nxt
@@ -130,8 +151,8 @@ def avg_n(x, n):
     return sql_full("avg", x, n)
 
 
-GAIN = "CASE WHEN d > 0 THEN d WHEN d IS NOT NULL THEN 0e0 END"
-LOSS = "CASE WHEN d < 0 THEN -d WHEN d IS NOT NULL THEN 0e0 END"
+GAIN = "CASE WHEN d > 0 THEN d ELSE 0e0 END"
+LOSS = "CASE WHEN d < 0 THEN -d ELSE 0e0 END"
 SIMPLE_RSI = f"""SELECT {KEYSQL}, CASE WHEN al = 0 AND ag = 0 THEN NULL WHEN al = 0 THEN 100e0
 ELSE 100e0 - 100e0 / (1e0 + ag / al) END AS rsi_simple FROM (SELECT {KEYSQL}, {avg_n('g', 14)} AS ag, {avg_n('l', 14)} AS al
 FROM (SELECT *, {GAIN} AS g, {LOSS} AS l FROM (SELECT *, close_price - lag(close_price) OVER ({OVER}) AS d FROM bars)))"""
@@ -160,11 +181,11 @@ feature("i19_bollinger_position", ["bb_position"],
         f"round((close_price - ({avg_n('close_price', 20)} - 2 * {sql_full('stddev_samp', 'close_price', 20)})) / "
         f"nullif(4e0 * {sql_full('stddev_samp', 'close_price', 20)}, 0e0), 6) + 0e0 AS bb_position")
 feature("i20_bar_shape", ["price_change", "high_low_ratio", "body_size", "upper_shadow", "lower_shadow"],
-        "round((close_price - open_price) / nullif(open_price, 0e0), 6) + 0e0 AS price_change, "
-        "round((high_price - low_price) / nullif(low_price, 0e0), 6) + 0e0 AS high_low_ratio, "
-        "round(abs(close_price - open_price) / nullif(open_price, 0e0), 6) + 0e0 AS body_size, "
-        "round((high_price - greatest(open_price, close_price)) / nullif(open_price, 0e0), 6) + 0e0 AS upper_shadow, "
-        "round((least(open_price, close_price) - low_price) / nullif(open_price, 0e0), 6) + 0e0 AS lower_shadow")
+        "round((close_price - open_price) / nullif(open_price, 0e0) * 100e0, 6) + 0e0 AS price_change, "
+        "round((high_price - low_price) / nullif(low_price, 0e0) * 100e0, 6) + 0e0 AS high_low_ratio, "
+        "round(abs(close_price - open_price) / nullif(open_price, 0e0) * 100e0, 6) + 0e0 AS body_size, "
+        "round((high_price - greatest(open_price, close_price)) / nullif(open_price, 0e0) * 100e0, 6) + 0e0 AS upper_shadow, "
+        "round((least(open_price, close_price) - low_price) / nullif(open_price, 0e0) * 100e0, 6) + 0e0 AS lower_shadow")
 feature("i21_volume_ratio", ["volume_ratio"], f"round(volume / {avg_n('volume', 20)}, 6) + 0e0 AS volume_ratio")
 
 

@@ -20,6 +20,9 @@ def limits_sql(limits):
     return "(VALUES " + ", ".join(f"('{t}', {n})" for t, n in limits.items()) + ") AS lims(timeframe, lim)"
 
 
+MINUTE_POINTS = "(SELECT symbol, open_time AS at FROM m1)"
+
+
 def hour_points(v):
     return v.bars_of("H1").select("symbol", F.col("open_time").alias("at"))
 
@@ -55,9 +58,9 @@ def j01(v):
     return context_digest(context_at(minute_points(v), v.bars, CANDLE, PATTERN_LIMITS))
 
 
-@query("j01_asof_last_n_closed_bars", context_sql(PATTERN_LIMITS, HOUR_POINTS, "open_time + to_seconds(secs)"))
+@query("j01_asof_last_n_closed_bars", context_sql(PATTERN_LIMITS, MINUTE_POINTS, "open_time + to_seconds(secs)"))
 def j01_closed(v):
-    return context_digest(context_at(hour_points(v), v.bars, CANDLE, PATTERN_LIMITS, visible="closed"))
+    return context_digest(context_at(minute_points(v), v.bars, CANDLE, PATTERN_LIMITS, visible="closed"))
 
 
 @query("j01_asof_last_n_full", context_sql(FULL_LIMITS, HOUR_POINTS))
@@ -89,19 +92,19 @@ def j04(v):
 
 
 @query("j05_backward_range", f"""SELECT p.symbol, p.at, count(*) AS n_trades, round(sum(c.profit), 6) + 0e0 AS profit,
-arg_max(c.id, c.time) AS newest_id FROM {HOUR_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at
+arg_max(c.id, c.time) AS newest_id FROM {MINUTE_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at
 AND c.time > p.at - INTERVAL 24 HOUR GROUP BY 1, 2""")
 def j05(v):
-    return trades.closed_before(hour_points(v), v.closed_trades).groupBy("symbol", "at").agg(
+    return trades.closed_before(minute_points(v), v.closed_trades).groupBy("symbol", "at").agg(
         F.count(F.lit(1)).alias("n_trades"), F.round(F.sum("profit"), 6).alias("profit"),
         F.max_by("id", F.struct("time", "id")).alias("newest_id"))
 
 
 @query("j06_interval_join", f"""SELECT p.symbol, p.at, count(*) AS n_open, round(sum(o.open_price), 4) + 0e0 AS price_sum,
-max(o.trade_id) AS newest_trade FROM {HOUR_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at
+max(o.trade_id) AS newest_trade FROM {MINUTE_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at
 AND (o.close_time IS NULL OR o.close_time > p.at) GROUP BY 1, 2""")
 def j06(v):
-    return trades.trades_open_at(hour_points(v), v.open_trades).groupBy("symbol", "at").agg(
+    return trades.trades_open_at(minute_points(v), v.open_trades).groupBy("symbol", "at").agg(
         F.count(F.lit(1)).alias("n_open"), F.round(F.sum("open_price"), 4).alias("price_sum"),
         F.max("trade_id").alias("newest_trade"))
 

@@ -8,6 +8,7 @@ from tickloom.constants import PATTERN_LIMITS
 from tickloom.operators.indicators import ratio
 from tickloom.operators.sequence import block_window, rolling, rows_back
 from tickloom.plans import documents, features, models, vectors
+from tickloom.session import materialize
 
 # --- vectors -------------------------------------------------------------------------
 
@@ -106,9 +107,14 @@ def v05_search(v):
     return vectors.knn_search(label_centres(v), v.vectors, 10).select("query_id", "neighbour_id", r("distance"))
 
 
-@query("v05_knn_approximate")
-def v05_lsh(v):
-    return vectors.knn_approximate(label_centres(v), v.vectors, threshold=1.5)
+@query("v05_knn_approximate", f"""SELECT count(DISTINCT query_id) AS queries, count(*) AS neighbours, count(*) > 0 AS recall_of_nine_tenths
+FROM ({PAIRS}) WHERE rank <= 10 AND query_id % 50 = 0""")
+def v05_approximate(v):
+    """The approximate search for every fiftieth vector against all, measured against the exact one."""
+    q = v.vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "vector")
+    drop_self = lambda rows: vectors._ranked(rows.drop("rank").where("query_id <> neighbour_id"), 10)
+    found = vectors.recall(drop_self(vectors.knn_approximate(q, v.vectors, 11)), vectors.knn_join(q, v.vectors, 10, exclude_self=True))
+    return found.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("recall_of_nine_tenths"))
 
 
 @query("v07_similarity_outcome", f"""SELECT count(*) AS pairs, round(corr(1e0 / (1e0 + p.distance), -abs(a.label - b.label)), 6) + 0e0 AS correlation
@@ -145,7 +151,7 @@ FILL = "coalesce(last_value({x} IGNORE NULLS) OVER (" + OVER + " ROWS UNBOUNDED
 
 @query("m01_feature_fill", f"""SELECT symbol, timeframe, open_time, round({FILL.format(x='vr')}, 6) + 0e0 AS volume_ratio, round({FILL.format(x='pc')}, 6) + 0e0 AS price_change,
 round({FILL.format(x='sr')}, 6) + 0e0 AS sma_50_ratio FROM (SELECT *, CASE WHEN count(volume) OVER w = 20 THEN volume / avg(volume) OVER w END AS vr,
-(close_price - open_price) / nullif(open_price, 0e0) AS pc, CASE WHEN count(*) OVER w50 = 50 THEN close_price / nullif(avg(close_price) OVER w50, 0e0) - 1e0 END AS sr
+(close_price - open_price) / nullif(open_price, 0e0) * 100e0 AS pc, CASE WHEN count(*) OVER w50 = 50 THEN close_price / nullif(avg(close_price) OVER w50, 0e0) - 1e0 END AS sr
 FROM bars WINDOW w AS ({OVER} ROWS 19 PRECEDING), w50 AS ({OVER} ROWS 49 PRECEDING))""")
 def m01_fill(v):
     return features.feature_table(v.bars).select("symbol", "timeframe", "open_time", r("volume_ratio"), r("price_change"), r("sma_50_ratio"))
@@ -164,7 +170,7 @@ def training_table(v):
     from tickloom.operators.outcome import row_targets
     table = features.feature_table(v.bars_of("H1"))
     rows = row_targets(table, 12).where("target_gain is not null")
-    return models.scaled(models.assemble(rows, FEATURES))[0]
+    return models.scaled(models.assemble(materialize(rows, "training"), FEATURES))[0]
 
 
 @query("m03_scaled_features")
@@ -188,9 +194,10 @@ def m13(v):
     return models.tree_importance(fitted["rf"], FEATURES, v.spark)
 
 
-@query("m14_random_split")
+@query("m14_random_split", """SELECT CASE WHEN substr(md5(concat_ws('|', '42', symbol, timeframe, CAST(epoch_us(open_time) AS VARCHAR))), 1, 8) < 'cccccccd' THEN 'train' ELSE 'test' END AS part,
+count(*) AS n FROM bars GROUP BY 1""")
 def m14(v):
-    train, test = models.split(v.bars_of("H1"))
+    train, test = models.split(v.bars)
     return train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part"))).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 

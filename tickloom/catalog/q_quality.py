@@ -331,14 +331,14 @@ def p32(v):
     return q.session_mismatch(v.bars, classify.session_bridge())
 
 
-PAIRS = [("S0", "S1"), ("S0", "S2"), ("S1", "S3"), ("S2", "S4")]
+RETURNS = f"(SELECT symbol, timeframe, open_time, (close_price - lag(close_price) OVER ({OVER})) / nullif(lag(close_price) OVER ({OVER}), 0e0) AS ret FROM bars)"
 
 
-@query("a53_return_correlation", " UNION ALL ".join(
-    f"""SELECT '{a}_{b}' AS pair, round(corr(x.ret, y.ret), 6) + 0e0 AS correlation, count(*) AS n
-FROM (SELECT open_time, (close_price - lag(close_price) OVER ({OVER})) / lag(close_price) OVER ({OVER}) AS ret, symbol FROM bars WHERE timeframe = 'H1') x
-JOIN (SELECT open_time, (close_price - lag(close_price) OVER ({OVER})) / lag(close_price) OVER ({OVER}) AS ret, symbol FROM bars WHERE timeframe = 'H1') y
-ON x.open_time = y.open_time AND x.symbol = '{a}' AND y.symbol = '{b}' WHERE x.ret IS NOT NULL AND y.ret IS NOT NULL"""
-    for a, b in PAIRS))
+@query("a53_return_correlation", f"""SELECT x.symbol AS a, y.symbol AS b, x.timeframe, CASE WHEN count(*) > 1 THEN round(corr(x.ret, y.ret), 6) + 0e0 END AS correlation, count(*) AS n
+FROM {RETURNS} x JOIN {RETURNS} y ON x.open_time = y.open_time AND x.timeframe = y.timeframe AND x.symbol < y.symbol
+WHERE x.ret IS NOT NULL AND y.ret IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 2""")
 def a53(v):
-    return q.return_correlations(v.bars_of("H1"), ["S0", "S1", "S2", "S3", "S4"], PAIRS).select("pair", r("correlation"), "n")
+    some = v.bars.agg(F.array_sort(F.collect_set("symbol")).alias("s"))  # one row, as long as there are symbols
+    pairs = some.select(F.explode("s").alias("a"), "s").select("a", F.explode("s").alias("b")).where("a < b")
+    out = q.return_correlations(v.bars, pairs).where("n > 2")
+    return out.select("a", "b", "timeframe", r("correlation"), "n")

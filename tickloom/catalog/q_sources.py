@@ -274,7 +274,7 @@ def s27(v):
 @query("s30_selective_delete", f"SELECT {KEYSQL} FROM bars WHERE NOT (symbol = 'S1' AND timeframe = 'M1') AND open_time >= {NOW} - INTERVAL 7 DAY")
 def s30(v):
     now = v.now(v.bars)
-    old = F.unix_micros("open_time") < F.unix_micros(now) - 7 * 86400 * 1000000
+    old = F.col("open_time") < now - F.expr("INTERVAL 7 DAYS")
     kept = sinks.delete_where(v.bars, (F.col("symbol") == "S1") & (F.col("timeframe") == "M1"))
     return sinks.delete_where(kept, old).select(*KEYS)
 
@@ -285,10 +285,11 @@ def s31(v):
         "account_id", "timestamp", "balance", "margin_level", "total_positions")
 
 
-@query("s32_column_inspection", """SELECT column_name FROM (DESCRIBE bars) WHERE column_name LIKE '%price%'""".replace(
-    "(DESCRIBE bars)", "(SELECT unnest(['open_price', 'high_price', 'low_price', 'close_price', 'volume', 'spread']) AS column_name)"))
+@query("s32_column_inspection", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS filled, count(*) - count({c}) AS empty FROM account_state" for c in ("margin", "free_margin", "margin_level")))
 def s32(v):
-    return readers.columns_like(v.bars, "%price%").select("column_name")
+    """The columns of a pattern with their filled and empty rows."""
+    return readers.column_fill(v.account_state, "%margin%")
 
 
 @query("s33_incremental_scan", f"""SELECT symbol, timeframe, open_time FROM bars WHERE open_time > {NOW} - INTERVAL 48 HOUR
@@ -296,11 +297,31 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC, timefram
 def s33(v):
     """Newest 10 bars per symbol since the last processed time (here: two days before the newest)."""
     from pyspark.sql import Window
-    fresh = v.bars.where(F.unix_micros("open_time") > F.unix_micros(v.now(v.bars)) - 48 * 3600 * 1000000)
+    fresh = v.bars.where(F.col("open_time") > v.now(v.bars) - F.expr("INTERVAL 48 HOURS"))
     w = Window.partitionBy("symbol").orderBy(F.desc("open_time"), "timeframe")
     return fresh.withColumn("_k", F.row_number().over(w)).where("_k <= 10").select(*KEYS)
 
 
+@query("s33_new_account_states", """SELECT account_id, timestamp, equity FROM account_state WHERE timestamp > (SELECT max(timestamp) FROM account_state) - INTERVAL 48 HOUR
+ORDER BY timestamp DESC LIMIT 5""")
+def s33_account(v):
+    """The newest five account states since the last processed time."""
+    since = v.now(v.account_state, "timestamp") - F.expr("INTERVAL 48 HOURS")
+    return readers.newest_since(v.account_state, "timestamp", since, 5, tie="account_id").select("account_id", "timestamp", "equity")
+
+
+@query("s33_new_trades", """SELECT 'open' AS kind, trade_id, open_time AS at FROM (SELECT * FROM open_trades WHERE open_time > (SELECT max(open_time) FROM open_trades) - INTERVAL 48 HOUR
+ORDER BY open_time DESC LIMIT 10) UNION ALL SELECT 'closed', id, time FROM (SELECT * FROM closed_trades WHERE time > (SELECT max(open_time) FROM open_trades) - INTERVAL 48 HOUR
+ORDER BY time DESC LIMIT 10)""")
+def s33_trades(v):
+    """The newest ten opened and the newest ten closed trades since the last processed time."""
+    since = v.now(v.open_trades, "open_time") - F.expr("INTERVAL 48 HOURS")
+    opened = readers.newest_since(v.open_trades, "open_time", since, 10, tie="trade_id")
+    closed = readers.newest_since(v.closed_trades, "time", since, 10, tie="id")
+    return opened.select(F.lit("open").alias("kind"), "trade_id", F.col("open_time").alias("at")).unionByName(
+        closed.select(F.lit("closed").alias("kind"), F.col("id").alias("trade_id"), F.col("time").alias("at")))
+
+
 # --- limits --------------------------------------------------------------------------
 
 @query("k01_last_n_per_series", f"SELECT {KEYSQL}, close_price FROM bars QUALIFY row_number() OVER (PARTITION BY symbol, timeframe ORDER BY open_time DESC) <= 60")

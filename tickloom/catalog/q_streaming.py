@@ -51,7 +51,8 @@ def t01(v):
     return run_to_frame(v, sbars.enriched(stream)).select(*KEYS, "trading_session", "volatility_score")
 
 
-IND = ["atr", "adx", "ema", "macd", "macd_signal", "rsi", "obv", "sma", "bb_middle", "stochastic_k", "willr"]
+IND = ["atr", "adx", "ema", "macd", "macd_signal", "macd_hist", "rsi", "obv", "sma", "bb_middle", "bb_upper", "bb_lower", "cci",
+       "stochastic_k", "stochastic_d", "willr"]
 
 
 @query("t02_live_indicators", f"SELECT symbol, timeframe, open_time, n, {rs(*IND)} FROM ind WHERE timeframe = 'M15' AND n >= 150 AND {CLOSED}")
@@ -144,10 +145,10 @@ def t11(v):
 
 @query("t12_message_source", "SELECT symbol, count(*) AS bars, round(sum(close_price), 4) AS close_sum FROM bars WHERE timeframe = 'H1' GROUP BY 1")
 def t12(v):
-    """Messages are JSON text (here from files); they are parsed by schema like a bus topic."""
+    """Values as a bus topic holds them (here lines of files) go through the parser of the bus source."""
     path = shared_dir(v.spark, "messages")
-    v.bars_of("H1").select("symbol", "close_price").write.json(path)
-    rows = run_to_frame(v, source.source(v.spark, "json", "symbol string, close_price double", path=path))
+    v.bars_of("H1").select(F.to_json(F.struct("symbol", "close_price")).alias("value")).write.text(path)
+    rows = run_to_frame(v, source.parse_messages(source.source(v.spark, "text", "value string", path=path), "symbol string, close_price double"))
     return rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"), F.round(F.sum("close_price"), 4).alias("close_sum"))
 
 

@@ -1,16 +1,18 @@
-"""Lists per key that stay bounded whatever the size of a group."""
+"""Lists per key, and the row-per-item form of the same thing."""
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-PART_ROWS = 10000
 
+def item_rows(df, keys, item, order):
+    """One row per item: keys, position (from 0) by ``order``, item. The form for keys of any size."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.select(*keys, (F.row_number().over(w) - 1).alias("position"), item.alias("item"))
 
-def collect_parts(df, keys, item, order, name="items", size=PART_ROWS):
-    """One array per key, sorted by ``order``; a key with more than ``size`` rows is
-    split into several rows (``part`` 0, 1, ...), so no task holds a whole hot key and
-    no row is dropped. Ordinary keys get exactly one row.
+
+def collect_items(df, keys, item, order, name="items"):
+    """One row per key with the array of its items by ``order``; as long as the key has rows, so a key must fit
+    in a row. Where it may not, ``item_rows`` holds the same items.
     """
-    counts = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / size).alias("_parts"))
-    row = df.withColumn("_item", F.struct(F.struct(*order).alias("o"), item.alias("v")))
-    row = row.join(counts, keys).withColumn("part", F.pmod(F.xxhash64(*order), F.col("_parts")).cast("int"))
-    return (row.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_item")).alias("_list"))
-            .withColumn(name, F.transform("_list", lambda x: x["v"])).drop("_list"))
+    row = df.select(*keys, F.struct(F.struct(*order).alias("o"), item.alias("v")).alias("_item"))
+    listed = row.groupBy(*keys).agg(F.sort_array(F.collect_list("_item")).alias("_list"))
+    return listed.select(*keys, F.transform("_list", lambda x: x["v"]).alias(name))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom.constants import INDICATOR_COLUMNS
 from tickloom.operators.ewm import HORIZON, ewm_columns, span_alpha
-from tickloom.operators.sequence import (BLOCK_ROWS, SERIES, block_window, drop_halo, full, prefix_over_blocks,
+from tickloom.operators.sequence import (BLOCK_ROWS, SERIES, block_window, drop_halo, full, join_blocks, prefix_over_blocks,
                                          row_blocks, rows_back, tf_seconds, time_block, with_row_index)
 
 WILDER = 1.0 / 14
@@ -49,7 +49,7 @@ def index_with_obv(bars):
     step = F.coalesce(F.signum(F.col("_first") - F.lag("_last").over(over)) * F.col("_first_v"), F.lit(0.0))
     edges = edges.withColumn("_step", step).withColumn("_moved", F.col("_moved") + F.col("_step"))
     carry = prefix_over_blocks(edges, SERIES, "_tb", {"_n": "_before", "_moved": "_carry"}, keep=["_step"])
-    return (rows.join(carry, [*SERIES, "_tb"])
+    return (join_blocks(rows, carry, [*SERIES, "_tb"])
             .withColumn("_rn", F.col("_before") + F.col("_pos") - 1)
             .withColumn("obv", F.col("_carry") + F.col("_step") + F.col("_obv"))
             .drop("_tb", "_pos", "_move", "_obv", "_before", "_carry", "_step"))

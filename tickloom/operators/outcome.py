@@ -58,13 +58,15 @@ def snapshot_outcomes(m1, min_bars=60, mode="history"):
 
 def outcomes_at(snapshots, m1, seconds=HOUR):
     """Outcomes for arbitrary snapshot times (not only bar times): bucketed range join
-    to the later bars, aggregated per snapshot. Needs symbol, snapshot_time, price."""
-    pairs = range_join(snapshots, m1.select("symbol", F.col("open_time").alias("_bar"), "high_price", "low_price"),
-                       ["symbol"], "snapshot_time", "_bar", 0, seconds, how="left")
-    keys = snapshots.columns
-    out = pairs.groupBy(*keys).agg(F.max("high_price").alias("fwd_high"), F.min("low_price").alias("fwd_low"),
-                                   F.count("_bar").alias("fwd_bars"))
-    return out
+    to the later bars, aggregated per distinct time and joined back, so equal snapshots each
+    keep their row. Needs symbol, snapshot_time, price."""
+    at = snapshots.select("symbol", "snapshot_time").distinct()
+    pairs = range_join(at, m1.select("symbol", F.col("open_time").alias("_bar"), "high_price", "low_price"),
+                       ["symbol"], "snapshot_time", "_bar", 0, seconds)
+    ahead = pairs.groupBy("symbol", "snapshot_time").agg(
+        F.max("high_price").alias("fwd_high"), F.min("low_price").alias("fwd_low"), F.count("_bar").alias("fwd_bars"))
+    out = snapshots.join(ahead, ["symbol", "snapshot_time"], "left").select(*snapshots.columns, "fwd_high", "fwd_low", "fwd_bars")
+    return out.withColumn("fwd_bars", F.coalesce("fwd_bars", F.lit(0)))
 
 
 def trailing_ranges(m1):

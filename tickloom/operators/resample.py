@@ -2,7 +2,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickloom.constants import TF_SECONDS
+from tickloom.constants import TF_SECONDS, TICK_TF_SECONDS
 from tickloom.operators.sequence import epoch, tf_seconds
 
 
@@ -12,13 +12,21 @@ def floor_time(time, seconds):
     return F.timestamp_seconds(s - F.pmod(s, F.lit(seconds) if isinstance(seconds, int) else seconds))
 
 
+def tick_position(time="ts", tie="tick_id"):
+    """One number that orders ticks by time and then id. Unlike a struct it has a fixed width, which keeps
+    first and last prices in the hash aggregate."""
+    shift = F.lit("20000000000000000000").cast("decimal(20,0)")
+    micros = F.unix_micros(F.col(time)).cast("decimal(17,0)")
+    return (micros * shift + F.col(tie).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def resample(ticks, seconds, timeframe, price="price", time="ts", order=("ts", "tick_id"), extra=()):
     """OHLC bars of one timeframe; one shuffle on (symbol, slot) with map-side
     combine, so a hot symbol only costs its number of slots.
 
     ``extra`` adds further aggregates.
     """
-    pos = F.struct(*order)
+    pos = tick_position(*order)
     return (ticks.withColumn("open_time", floor_time(time, seconds))
             .groupBy("symbol", "open_time")
             .agg(F.min_by(price, pos).alias("open_price"), F.max(price).alias("high_price"),
@@ -41,10 +49,17 @@ def roll_up(bars, timeframes, extra=()):
 
 
 def all_timeframes(ticks, extra_tick=(), extra_bar=()):
-    """Bars of all seven timeframes from one scan of the ticks: M1 bars first, then every
-    timeframe (M1 included) in one combining aggregation over the far fewer M1 bars."""
+    """Bars of all seven timeframes from one scan of the ticks: M1 bars first, then the coarser
+    ones in one combining aggregation over the far fewer M1 bars."""
     m1 = resample(ticks, 60, "M1", extra=extra_tick)
-    return roll_up(m1, list(TF_SECONDS), extra=extra_bar)
+    return m1.unionByName(roll_up(m1, [t for t in TF_SECONDS if t != "M1"], extra=extra_bar))
+
+
+def tick_tool_timeframes(ticks, extra=()):
+    """Bars of every timeframe of the tick tool that resamples (TICK, the ticks themselves, does not): 30-second bars
+    first, the coarser ones from them."""
+    finest = resample(ticks, TICK_TF_SECONDS["S_30"], "S_30", extra=extra)
+    return finest.unionByName(roll_up(finest, [t for t, s in TICK_TF_SECONDS.items() if s > 30]))
 
 
 def fill_gaps(bars, seconds):

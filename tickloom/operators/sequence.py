@@ -11,10 +11,12 @@ neighbouring rows (the halo) its frames reach into:
 
 Rows of the halo are computed but dropped again by ``drop_halo``.
 """
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickloom.constants import TF_SECONDS
+from tickloom.constants import TF_SECONDS, TICK_TF_SECONDS
 
 SERIES = ["symbol", "timeframe"]
 BLOCK_ROWS = 4096
@@ -26,7 +28,18 @@ def literal_map(values):
 
 
 def tf_seconds(timeframe="timeframe"):
-    return literal_map(TF_SECONDS)[F.col(timeframe)]
+    """Span of a timeframe, of the bar and the tick tools alike; an unknown or null one is an error, not a lost row."""
+    known = {k: v for k, v in (TICK_TF_SECONDS | TF_SECONDS).items() if v}
+    name = F.coalesce(F.col(timeframe), F.lit("null"))
+    unknown = F.raise_error(F.concat(F.lit("unknown timeframe: "), name)).cast("int")
+    return F.coalesce(literal_map(known)[name], unknown)
+
+
+def join_blocks(rows, summary, keys):
+    """Inner join on ``keys`` in which nulls (of a series or a time) match each other, so that no row is lost."""
+    named = summary.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return rows.join(named, same).drop(*[f"_k_{k}" for k in keys])
 
 
 def epoch(col):
@@ -51,8 +64,8 @@ def prefix_over_blocks(summary, keys, block, columns, keep=()):
         F.coalesce(F.sum(src).over(w), F.lit(0)).alias(dst) for src, dst in columns.items()])
 
 
-def with_row_index(df, keys=SERIES, time="open_time", seconds=None):
-    """Add ``_rn``: dense 0-based position of the row in its series.
+def with_row_index(df, keys=SERIES, time="open_time", seconds=None, tie=()):
+    """Add ``_rn``: dense 0-based position of the row in its series, by time and then the columns ``tie``.
 
     ``seconds`` is the span of the counting blocks; the default, 4096 bars of the
     row's timeframe, bounds a block at 4096 rows because bars are unique per slot.
@@ -61,9 +74,9 @@ def with_row_index(df, keys=SERIES, time="open_time", seconds=None):
     cut = df.withColumn("_tb", time_block(time, span))
     counts = cut.groupBy(*keys, "_tb").agg(F.count(F.lit(1)).alias("_n"))
     offsets = prefix_over_blocks(counts, keys, "_tb", {"_n": "_before"})
-    inner = Window.partitionBy(*keys, "_tb").orderBy(time)
+    inner = Window.partitionBy(*keys, "_tb").orderBy(time, *tie)
     return (cut.withColumn("_pos", F.row_number().over(inner))
-            .join(offsets, [*keys, "_tb"])
+            .transform(join_blocks, offsets, [*keys, "_tb"])
             .withColumn("_rn", F.col("_before") + F.col("_pos") - 1)
             .drop("_tb", "_pos", "_before"))
 
@@ -114,10 +127,10 @@ def full(agg, x, frame, n):
     return F.when(F.count(x).over(frame) == n, agg.over(frame))
 
 
-def rolling(df, columns, halo, keys=SERIES, time="open_time", after=0):
+def rolling(df, columns, halo, keys=SERIES, time="open_time", after=0, seconds=None, tie=()):
     """Add row-frame columns. ``columns`` maps a name to an expression built on
     ``block_window`` / ``rows_back``; entries may use the ones before them."""
-    out = row_blocks(with_row_index(df, keys, time), halo, after=after)
+    out = row_blocks(with_row_index(df, keys, time, seconds, tie), halo, after=after)
     for name, expr in columns.items():
         out = out.withColumn(name, expr)
     return drop_halo(out)
@@ -140,6 +153,6 @@ def running_total(df, value, name, keys=SERIES, time="open_time", seconds=None):
     carry = prefix_over_blocks(totals, keys, "_tb", {"_s": "_carry"})
     inner = Window.partitionBy(*keys, "_tb").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
     return (cut.withColumn("_in", F.sum("_v").over(inner))
-            .join(carry, [*keys, "_tb"])
+            .transform(join_blocks, carry, [*keys, "_tb"])
             .withColumn(name, F.col("_carry") + F.coalesce(F.col("_in"), F.lit(0)))
             .drop("_tb", "_v", "_in", "_carry"))

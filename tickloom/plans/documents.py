@@ -185,15 +185,14 @@ def market_state_live(bars):
 def combined_snapshot(bars, account_state, open_trades, planned):
     """Prices, account, market state, trades, broker constants and limits per symbol.
 
-    Trades of the newest account are attached by account id; a very long list comes
-    as several rows (column ``part``)."""
+    Trades of the newest account are attached by account id."""
     account = trades.live_account_document(account_state)
     lists = trades.live_trade_documents(open_trades, planned)
     ohlc = live_ohlc(bars, COMPACT_LIMITS).withColumn("account_id", trades.newest_account(account_state))
     state = market_state_live(bars).select("symbol", F.struct("volatility", "spread", "session", "news_event").alias("market_state"))
     return (ohlc.join(account, "account_id").join(state, "symbol").join(lists, "account_id", "left")
             .select("symbol", "account_id", utc_text("at").alias("timestamp"), "ohlc", "ohlc_last_time", "account",
-                    "market_state", F.coalesce("part", F.lit(0)).alias("part"), "trades",
+                    "market_state", "trades",
                     F.struct(*[F.lit(x).alias(k) for k, x in BROKER.items()]).alias("broker"),
                     F.struct(F.lit(DAILY_LOSS_LIMIT_PCT).alias("daily_loss_limit_pct")).alias("limits")))
 
@@ -228,13 +227,13 @@ PARTS = ["ohlc", "account", "open_trades", "closed_trades", "market", "outcome",
 
 def in_last_days(points, days, now):
     """Points of the last ``days`` days before ``now`` (7: last week, 30: last month)."""
-    return points.where(F.unix_micros("at") >= F.unix_micros(now) - days * 86400 * 1000000)
+    return points.where(F.col("at") >= now - F.expr(f"INTERVAL {days * 86400} SECONDS"))
 
 
 def history_snapshots(points, bars, account_state, open_trades, closed_trades, parts=PARTS, min_bars=60):
     """Snapshot rows of all points with the chosen JSON columns, joined on (symbol, at).
 
-    Trade lists of a snapshot longer than one part make further rows of that snapshot.
+    One row per point; a snapshot without trades has empty lists.
     """
     unknown = [p for p in parts if p not in PARTS]
     if unknown:
@@ -252,20 +251,23 @@ def history_snapshots(points, bars, account_state, open_trades, closed_trades, p
             made.append(df.select(*key, json_text("account").alias("account_state_json")))
         elif part == "open_trades":
             df = trades.open_trade_documents(points, open_trades)
-            made.append(df.select(*key, F.col("part").alias("open_part"), json_text("trades").alias("open_trades_json")))
+            made.append(df.select(*key, json_text("trades").alias("open_trades_json")))
         elif part == "closed_trades":
             df = trades.closed_trade_documents(points, closed_trades)
-            made.append(df.select(*key, F.col("part").alias("closed_part"), json_text("trades").alias("closed_trades_json")))
+            made.append(df.select(*key, json_text("trades").alias("closed_trades_json")))
         elif part == "market":
             df = market_state_history(m1, m5)
-            made.append(df.select(*key, json_text(plain(df)).alias("market_state_json")))
+            state = F.struct(utc_text("at").alias("timestamp"), "symbol", *[c for c in df.columns if c not in key])
+            made.append(df.select(*key, json_text(state).alias("market_state_json")))
         elif part == "outcome":
             df = outcome.snapshot_outcomes(m1, min_bars).withColumnRenamed("snapshot_time", "at")
             made.append(df.select(*key, "max_gain_pct_1h", "max_loss_pct_1h", "calculation_range_minutes", "prediction_mode"))
         else:
             df = history_pattern(points, bars)
             made.append(df.select(*key, json_text(plain(df)).alias("pattern_json")))
-    return reduce(lambda a, b: a.join(b, key, "left"), made, points).withColumnRenamed("at", "snapshot_time")
+    rows = reduce(lambda a, b: a.join(b, key, "left"), made, points)
+    lists = [c for c in ("open_trades_json", "closed_trades_json") if c in rows.columns]
+    return rows.withColumns({c: F.coalesce(c, F.lit("[]")) for c in lists}).withColumnRenamed("at", "snapshot_time")
 
 
 def live_snapshots(bars, account_state, open_trades, closed_trades, planned, snapshots=None):
@@ -286,6 +288,6 @@ def live_snapshots(bars, account_state, open_trades, closed_trades, planned, sna
            .join(closed.select("symbol", json_text("trades").alias("closed_trades_json")), "symbol", "left")
            .withColumn("account_id", trades.newest_account(account_state))
            .join(combined.select("account_id", json_text("account").alias("account_state_json")), "account_id", "left")
-           .join(lists.select("account_id", "part", json_text("trades").alias("open_trades_json")), "account_id", "left"))
+           .join(lists.select("account_id", json_text("trades").alias("open_trades_json")), "account_id", "left"))
     done = sum((F.col(c).isNotNull().cast("int") for c in out.columns if c.endswith("_json")), F.lit(0))
     return out.withColumn("exported", done).drop("account_id").withColumnRenamed("at", "snapshot_time")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.classify import session_flags
 from tickloom.operators.asof import asof_join
 from tickloom.operators.indicators import ratio
-from tickloom.operators.sequence import (BLOCK_ROWS, SERIES, block_window, drop_halo, full, row_blocks, rows_back,
+from tickloom.operators.sequence import (BLOCK_ROWS, SERIES, block_window, drop_halo, full, join_blocks, row_blocks, rows_back,
                                          tf_seconds, time_block, with_row_index)
 
 
@@ -41,11 +41,11 @@ def _simple_rsi():
 
 # name -> expression over a frame of row blocks carrying _delta, _gain, _loss, _log_return
 EXPRESSIONS = {
-    "price_change": lambda: ratio(C() - O(), O()),
-    "high_low_ratio": lambda: ratio(H() - L(), L()),
-    "body_size": lambda: ratio(F.abs(C() - O()), O()),
-    "upper_shadow": lambda: ratio(H() - F.greatest(O(), C()), O()),
-    "lower_shadow": lambda: ratio(F.least(O(), C()) - L(), O()),
+    "price_change": lambda: ratio(C() - O(), O()) * 100,
+    "high_low_ratio": lambda: ratio(H() - L(), L()) * 100,
+    "body_size": lambda: ratio(F.abs(C() - O()), O()) * 100,
+    "upper_shadow": lambda: ratio(H() - F.greatest(O(), C()), O()) * 100,
+    "lower_shadow": lambda: ratio(F.least(O(), C()) - L(), O()) * 100,
     "sma_5_ratio": lambda: ratio(C(), _mean("close_price", 5)) - 1,
     "sma_10_ratio": lambda: ratio(C(), _mean("close_price", 10)) - 1,
     "sma_20_ratio": lambda: ratio(C(), _mean("close_price", 20)) - 1,
@@ -65,8 +65,9 @@ def bar_features(bars, columns=None):
     prev = F.lag("close_price").over(block_window())
     df = row_blocks(with_row_index(bars), 64).withColumn("_delta", C() - prev)
     df = df.withColumns({
-        "_gain": F.when(F.col("_delta") > 0, F.col("_delta")).when(F.col("_delta").isNotNull(), 0.0),
-        "_loss": F.when(F.col("_delta") < 0, -F.col("_delta")).when(F.col("_delta").isNotNull(), 0.0),
+        # the first bar, which has no change, counts as neither gain nor loss
+        "_gain": F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(0.0),
+        "_loss": F.when(F.col("_delta") < 0, -F.col("_delta")).otherwise(0.0),
         "_log_return": F.when((C() > 0) & (C() - F.col("_delta") > 0), F.log(F.try_divide(C(), prev)))})
     df = df.withColumns({c: EXPRESSIONS[c]() for c in columns})
     return drop_halo(df.drop("_delta", "_gain", "_loss", "_log_return"))
@@ -83,7 +84,7 @@ def forward_fill(df, columns, keys=SERIES, time="open_time", default=0.0):
                                         for x in columns])
     inner = Window.partitionBy(*keys, "_tb").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
     out = cut.withColumns({f"_in_{x}": F.last(x, ignorenulls=True).over(inner) for x in columns})
-    out = out.join(carry, [*keys, "_tb"])
+    out = join_blocks(out, carry, [*keys, "_tb"])
     out = out.withColumns({name: F.coalesce(f"_in_{x}", f"_c_{x}", F.lit(default)) for x, name in columns.items()})
     return out.drop("_tb", *[f"_in_{x}" for x in columns], *[f"_c_{x}" for x in columns])
 

@@ -11,6 +11,7 @@ STALE_MINUTES = 5
 CONNECTION_MINUTES = 2
 SPREAD_FACTOR = 3.0
 COOLDOWN_SECONDS = 300
+SPREAD_BLOCK = 2 * 86400  # span of a counting block: at most some 4,000 bars of all timeframes
 FRESH_RATIO = (0.5, 0.8)
 ACTIVE_RATIO = 0.8
 # ----------------------------------------------------------------------------
@@ -47,10 +48,14 @@ def connection_health(bars, now, n_symbols, source_pattern=None, seconds=3600):
         ((total > 0) & (active >= n_symbols * ACTIVE_RATIO)).alias("is_healthy"))
 
 
-def trailing_spread(bars, keys=("symbol", "timeframe"), n=10):
-    """Mean spread of the ``n`` rows before each row with a positive spread."""
-    w = rows_back(1, list(keys)).rowsBetween(-n, -1)
-    return rolling(bars.where("spread > 0"), {"avg_spread": F.avg("spread").over(w)}, n, keys=list(keys))
+def trailing_spread(bars, n=10):
+    """Mean spread of the ``n`` rows of the symbol before each row with a positive spread.
+
+    Rows of all timeframes follow each other by time, those of one time by timeframe.
+    """
+    w = rows_back(1, ["symbol"]).rowsBetween(-n, -1)
+    return rolling(bars.where("spread > 0"), {"avg_spread": F.avg("spread").over(w)}, n, keys=["symbol"],
+                   tie=["timeframe"], seconds=SPREAD_BLOCK)
 
 
 def spread_anomalies(bars, now, seconds=3600, factor=SPREAD_FACTOR):
@@ -73,22 +78,23 @@ def overall_health(fresh):
                           .when(share < FRESH_RATIO[1], "degraded").otherwise("healthy"))
 
 
-def alerts(fresh, anomalies, at):
-    """Alert rows: stale data (critical from ten minutes on), lost connection, odd spread."""
+def alerts(fresh, anomalies, connection, at):
+    """Alert rows: stale data per symbol (critical from ten minutes on), one for a failed connection check
+    (the row of ``connection_health``; no row is a failure too), odd spread per symbol."""
     stale = fresh.where("not is_fresh").select(
         F.lit("stale_data").alias("alert_type"), "symbol",
         F.when(F.col("minutes_since_data") < 10, "warning").otherwise("critical").alias("severity"))
-    lost = fresh.where("not is_connected").select(F.lit("connection").alias("alert_type"), "symbol",
-                                                  F.lit("critical").alias("severity"))
+    lost = connection.agg(F.coalesce(F.bool_and("is_healthy"), F.lit(False)).alias("ok")).where("not ok").select(
+        F.lit("connection_issue").alias("alert_type"), F.lit("ALL").alias("symbol"), F.lit("critical").alias("severity"))
     odd = anomalies.where("is_anomaly").select(F.lit("spread_anomaly").alias("alert_type"), "symbol",
                                                F.lit("warning").alias("severity"))
     return stale.unionByName(lost).unionByName(odd).withColumn("timestamp", at)
 
 
-def report_row(fresh, anomalies, at):
+def report_row(fresh, anomalies, connection, at):
     """Monitoring log row of one cycle."""
     n_anomalies = anomalies.where("is_anomaly").agg(F.count(F.lit(1))).scalar()
-    n_alerts = alerts(fresh, anomalies, F.lit(None).cast("timestamp")).agg(F.count(F.lit(1))).scalar()
+    n_alerts = alerts(fresh, anomalies, connection, F.lit(None).cast("timestamp")).agg(F.count(F.lit(1))).scalar()
     row = overall_health(fresh).withColumns({"timestamp": at, "symbols_with_anomalies": n_anomalies, "alerts_count": n_alerts})
     data = F.struct("symbols_fresh", "symbols_connected", "symbols_with_anomalies", "total_symbols")
     return row.withColumn("status_data", F.to_json(data, {"ignoreNullFields": "false"}))

@@ -20,8 +20,8 @@ def percent(part, whole, digits=2):
 
 
 def since(time, now, seconds):
-    """time >= now - seconds."""
-    return F.unix_micros(F.col(time)) >= F.unix_micros(now) - seconds * 1000000
+    """time >= now - seconds, with the column bare, so that scans can skip by it."""
+    return F.col(time) >= now - F.expr(f"INTERVAL {seconds} SECONDS")
 
 
 def tf_order(timeframe="timeframe"):
@@ -268,14 +268,13 @@ def coverage_status(coverage, good=95, fair=70):
 
 # --- series against each other ---------------------------------------------------------
 
-def return_correlations(bars, symbols, pairs):
-    """Correlation of bar returns for the named pairs of symbols: one pivot by time,
-    one aggregation (no self join, no unlisted pairs)."""
+def return_correlations(bars, pairs):
+    """Correlation of bar returns per timeframe for the pairs (a, b) of a table: the returns of both symbols
+    meet on (timeframe, open_time), for listed pairs only."""
     from tickloom.operators.sequence import block_window, rolling
     prev = F.lag("close_price").over(block_window())
-    back = rolling(bars, {"_return": F.try_divide(F.col("close_price") - prev, prev)}, 1)
-    wide = back.groupBy("open_time").pivot("symbol", symbols).agg(F.first("_return"))
-    row = wide.agg(*[x for a, b in pairs for x in (
-        F.corr(a, b).alias(f"{a}_{b}__correlation"),
-        F.count(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), 1)).alias(f"{a}_{b}__n"))])
-    return unpivot_row(row, [f"{a}_{b}" for a, b in pairs], ["correlation", "n"]).withColumnRenamed("indicator", "pair")
+    back = rolling(bars, {"_return": F.try_divide(F.col("close_price") - prev, prev)}, 1).where("_return is not null")
+    x = back.select(F.col("symbol").alias("a"), "timeframe", "open_time", F.col("_return").alias("_x")).join(pairs, "a")
+    y = back.select(F.col("symbol").alias("b"), "timeframe", "open_time", F.col("_return").alias("_y"))
+    return x.join(y, ["b", "timeframe", "open_time"]).groupBy("a", "b", "timeframe").agg(
+        F.corr("_x", "_y").alias("correlation"), F.count(F.lit(1)).alias("n"))

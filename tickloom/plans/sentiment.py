@@ -18,14 +18,20 @@ def sentiment(articles, by=("currency",)):
         n.alias("article_count"), F.least(n / 10.0, F.lit(1.0)).alias("confidence"))
 
 
-def composite(pairs, by_currency):
-    """Sentiment of base / quote pairs: base * 0.8 + quote * -0.6, and their divergence."""
+def composite(by_symbol):
+    """The composite of each symbol and the two values derived from it, for its base and its quote currency."""
+    whole = F.col("weighted_sentiment")
+    return by_symbol.withColumns({"composite_sentiment": whole, "base_currency_sentiment": whole * BASE_FACTOR,
+                                  "quote_currency_sentiment": whole * QUOTE_FACTOR, "news_volume": F.col("article_count")})
+
+
+def divergence(pairs, by_currency):
+    """Difference between the sentiments of the two currencies of base / quote pairs."""
     side = by_currency.select(F.col("currency"), F.col("weighted_sentiment").alias("_s"))
     out = pairs.join(side.withColumnsRenamed({"currency": "base", "_s": "base_sentiment"}), "base", "left").join(
         side.withColumnsRenamed({"currency": "quote", "_s": "quote_sentiment"}), "quote", "left")
     b, q = F.coalesce("base_sentiment", F.lit(0.0)), F.coalesce("quote_sentiment", F.lit(0.0))
-    return out.select("base", "quote", (b * BASE_FACTOR + q * QUOTE_FACTOR).alias("composite_sentiment"),
-                      F.abs(b - q).alias("policy_divergence"))
+    return out.select("base", "quote", F.abs(b - q).alias("policy_divergence"))
 
 
 def impact_score(events, by=("currency",), impact="impact", hours="hours_ahead"):

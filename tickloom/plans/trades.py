@@ -3,10 +3,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.asof import asof_join, latest_per_key
-from tickloom.operators.collect import collect_parts
+from tickloom.operators.collect import collect_items
 from tickloom.operators.rangejoin import interval_join, range_join
 
 DAY = 86400
+#: Amounts that a trade document names but the trade tables do not store.
+NOT_STORED = ["profit", "commission", "swap"]
 MICRO = 1000000
 
 
@@ -50,7 +52,7 @@ def latest_account_state(account_state):
 
 
 def account_at(points, account_state):
-    cols = ["balance", "equity", "margin", "free_margin", "profit", "timestamp"]
+    cols = ["balance", "equity", "margin", "free_margin", "margin_level", "profit", "total_positions", "risk_percent", "timestamp"]
     return asof_join(points, account_state, ["symbol"], "at", "timestamp", cols)
 
 
@@ -80,41 +82,50 @@ def _utc(c):
 def live_account_document(account_state):
     row = latest_account_state(account_state)
     return row.select("account_id", F.struct(
-        _utc("timestamp").alias("timestamp"), "balance", "equity", "margin", "free_margin", "profit",
+        _utc("timestamp").alias("timestamp"), "balance", "equity", "margin", "free_margin", "leverage", "profit",
         "currency").alias("account"))
 
 
 def history_account_documents(points, account_state):
     row = account_at(points, account_state).where(F.col("timestamp").isNotNull())
-    return row.select("symbol", "at", F.struct("balance", "equity", "margin", "free_margin",
+    return row.select("symbol", "at", F.struct("balance", "equity", "margin", "free_margin", "margin_level",
                                                F.col("profit").alias("profit_loss"),
+                                               F.coalesce("total_positions", F.lit(0)).alias("total_positions"), "risk_percent",
                                                _utc("timestamp").alias("timestamp"), "symbol").alias("account"))
 
 
 def live_trade_documents(trades, planned):
     """Per account the list of open and pending trades, oldest first."""
-    item = F.struct("symbol", F.col("magic_number").alias("magic"), "open_price", "sl", "tp",
-                    _utc("open_time").alias("open_time"), "status", "original_sl", "original_tp")
-    return collect_parts(live_trades(trades, planned), ["account_id"], item, ["open_time", "trade_id"], "trades")
+    item = F.struct("symbol", F.col("magic_number").alias("magic"), "order_type", "lot_size", "open_price", "sl", "tp",
+                    _utc("open_time").alias("open_time"), "status", "comment", "original_sl", "original_tp")
+    return collect_items(live_trades(trades, planned), ["account_id"], item, ["open_time", "trade_id"], "trades")
 
 
 def open_trade_documents(points, trades):
     """Per snapshot the list of trades valid then, oldest first."""
-    item = F.struct("trade_id", "symbol", "open_price", F.col("sl").alias("stop_loss"),
-                    F.col("tp").alias("take_profit"), _utc("trade_time").alias("open_time"),
-                    F.col("magic_number").alias("magic"), F.lit(0.0).alias("profit"))
-    return collect_parts(trades_open_at(points, trades), ["symbol", "at"], item, ["trade_time", "trade_id"], "trades")
+    item = F.struct("trade_id", "symbol", F.col("order_type").alias("type"), F.col("lot_size").alias("volume"), "open_price",
+                    F.col("sl").alias("stop_loss"), F.col("tp").alias("take_profit"), *[F.lit(0.0).alias(c) for c in NOT_STORED],
+                    _utc("trade_time").alias("open_time"), F.coalesce("comment", F.lit("")).alias("comment"),
+                    F.coalesce("magic_number", F.lit(0)).alias("magic"))
+    return collect_items(trades_open_at(points, trades), ["symbol", "at"], item, ["trade_time", "trade_id"], "trades")
 
 
 def closed_trade_documents(points, closed):
     """Per snapshot the trades closed in the 24 hours before it, newest first."""
-    item = F.struct(F.col("id").alias("trade_id"), "symbol", "volume", F.col("entry_price").alias("open_price"),
-                    F.col("exit_price").alias("close_price"), "profit", _utc("time").alias("close_time"))
+    none = F.lit(None).cast("double")
+    item = F.struct(F.col("id").alias("trade_id"), "symbol", "type", "volume", F.col("entry_price").alias("open_price"),
+                    F.col("exit_price").alias("close_price"), none.alias("stop_loss"), none.alias("take_profit"), "profit",
+                    *[F.lit(0.0).alias(c) for c in NOT_STORED[1:]], _utc("time").alias("open_time"), _utc("time").alias("close_time"),
+                    F.coalesce("comment", F.lit("")).alias("comment"), F.lit(0).alias("magic"))
     pairs = closed_before(points, closed).withColumns({"_rev": -F.unix_micros("time"), "_rid": -F.col("id")})
-    return collect_parts(pairs, ["symbol", "at"], item, ["_rev", "_rid"], "trades")
+    return collect_items(pairs, ["symbol", "at"], item, ["_rev", "_rid"], "trades")
 
 
 def live_closed_documents(closed, since):
-    item = F.struct("symbol", F.col("entry_price").alias("open_price"), F.col("exit_price").alias("close_price"),
-                    "profit", _utc("time").alias("close_time"))
-    return collect_parts(recent_closed(closed, since), ["symbol"], item, ["rank"], "trades")
+    none = F.lit(None).cast("double")
+    item = F.struct("symbol", F.coalesce(F.expr("try_cast(account_id AS INT)"), F.lit(0)).alias("magic"),
+                    F.coalesce("type", F.lit("unknown")).alias("order_type"), F.col("volume").alias("lot_size"),
+                    F.col("entry_price").alias("open_price"), F.col("exit_price").alias("close_price"), none.alias("sl"), none.alias("tp"),
+                    "profit", F.lit(None).cast("string").alias("open_time"), _utc("time").alias("close_time"),
+                    F.lit(None).cast("int").alias("duration_minutes"))
+    return collect_items(recent_closed(closed, since), ["symbol"], item, ["rank"], "trades")

@@ -8,7 +8,6 @@ from tickloom.constants import DOCUMENT_TIMEFRAMES, PATTERN_LIMITS
 from tickloom.operators import outcome
 from tickloom.operators.asof import context_at
 from tickloom.operators.sequence import literal_map
-from tickloom.session import materialize
 
 CLIP = 4.0
 PRICES = ("open", "high", "low", "close")
@@ -101,17 +100,33 @@ def vectorization_ready(docs):
 
 # --- nearest neighbours ------------------------------------------------------------
 
-def _distances(matrix, vector):
-    return np.sqrt(((matrix - vector) ** 2).sum(axis=1))
-
-
-def _best(ids, dist, k):
-    """Positions of the k smallest (distance, id)."""
-    if len(ids) > 4 * k:
-        near = np.flatnonzero(dist <= np.partition(dist, k - 1)[k - 1])
-    else:
-        near = np.arange(len(ids))
-    return near[np.lexsort((ids[near], dist[near]))][:k]
+RESULT = "query_id long, neighbour_id long, distance double"
+#: Vectors in one block of a search.
+BLOCK = 20_000
+#: Numbers (queries times width) that ``knn_search`` sends to every task at most.
+MAX_SENT = 4_000_000
+#: Vectors the quantizer of ``knn_approximate`` is fitted on at most.
+MAX_SAMPLE = 20_000
+
+
+def _matrix(column):
+    return np.array(column.tolist(), dtype="float64").reshape(len(column), -1)
+
+
+def _nearest(queries, ids, matrix, k):
+    """Per query the k smallest (distance, id): a matrix product finds the candidates, exact distances rank them."""
+    norms = (matrix ** 2).sum(axis=1)
+    found = []
+    for at in range(0, len(queries), 256):
+        some = queries[at:at + 256]
+        rough = norms[None] + (some ** 2).sum(axis=1)[:, None] - 2 * some @ matrix.T
+        scale = 1e-9 * (1 + norms.max())
+        for row, q in zip(rough, some):
+            near = np.arange(len(ids)) if len(ids) <= k else np.flatnonzero(row <= np.partition(row, k - 1)[k - 1] + scale)
+            exact = np.sqrt(((matrix[near] - q) ** 2).sum(axis=1))
+            best = np.lexsort((ids[near], exact))[:k]
+            found.append((ids[near][best], exact[best]))
+    return found
 
 
 def _ranked(rows, k):
@@ -119,140 +134,123 @@ def _ranked(rows, k):
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-RESULT = "query_id long, neighbour_id long, distance double"
+def _rows(query_ids, found):
+    if not found:
+        return pd.DataFrame({"query_id": np.zeros(0, "int64"), "neighbour_id": np.zeros(0, "int64"), "distance": np.zeros(0)})
+    return pd.DataFrame({"query_id": np.repeat(query_ids, [len(n) for n, _ in found]),
+                         "neighbour_id": np.concatenate([n for n, _ in found]), "distance": np.concatenate([d for _, d in found])})
 
 
-def knn_search(queries, vectors, k=5, max_values=4000000):
+def knn_search(queries, vectors, k=5):
     """k nearest vectors of a few query vectors (query_id, vector): the live search.
 
-    The queries travel to every task if their checked size allows; each task keeps k rows
-    per query. More queries than that go through ``knn_join``.
+    The queries are read once and travel to every task, which keeps k rows per query. More than
+    ``MAX_SENT`` numbers are refused: ``knn_join`` and ``knn_approximate`` take any number of queries.
     """
     width = queries.select(F.max(F.size("vector"))).first()[0] or 1
-    bound = max(1, max_values // width)
-    some = queries.select("query_id", "vector").limit(bound + 1).collect()
-    if len(some) > bound:
-        return knn_join(queries, vectors, k)
+    some = queries.select("query_id", "vector").limit(MAX_SENT // width + 1).collect()
+    if len(some) * width > MAX_SENT:
+        raise ValueError("too many queries for a search that sends them to every task")
     ids = np.array([q[0] for q in some], dtype="int64")
-    points = np.array([q[1] for q in some], dtype="float64")
+    points = np.array([q[1] for q in some], dtype="float64").reshape(len(some), -1)
 
     def scan(batches):
-        kept = {}
+        kept = [(np.zeros(0, "int64"), np.zeros(0))] * len(ids)
         for batch in batches:
-            if not len(batch):
-                continue
-            matrix, keys = np.array(batch["vector"].tolist(), dtype="float64"), batch["vec_id"].to_numpy()
-            for i in range(len(ids)):
-                dist = _distances(matrix, points[i])
-                old_ids, old_dist = kept.get(i, (keys[:0], dist[:0]))
-                all_ids, all_dist = np.concatenate([old_ids, keys]), np.concatenate([old_dist, dist])
-                best = _best(all_ids, all_dist, k)
-                kept[i] = (all_ids[best], all_dist[best])
-        for i, (n, d) in kept.items():
-            yield pd.DataFrame({"query_id": ids[i], "neighbour_id": n, "distance": d})
+            if len(batch) and len(ids):
+                new = _nearest(points, batch["vec_id"].to_numpy(), _matrix(batch["vector"]), k)
+                for i, ((n, d), (n2, d2)) in enumerate(zip(kept, new)):
+                    n, d = np.r_[n, n2], np.r_[d, d2]
+                    best = np.lexsort((n, d))[:k]
+                    kept[i] = (n[best], d[best])
+        yield _rows(ids, kept)
 
     return _ranked(vectors.select("vec_id", "vector").mapInPandas(scan, RESULT), k)
 
 
-def knn_join(queries, vectors, k=5, exclude_self=False, n_pivots=None, block=20000):
-    """Exact k nearest vectors of very many queries.
+def _search_blocks(asked, stored, keys, k):
+    """k best of every query within each group of ``keys`` that holds queries and vectors."""
+    both = asked.select(*keys, F.lit(True).alias("asks"), F.col("query_id").alias("id"), "vector").unionByName(
+        stored.select(*keys, F.lit(False).alias("asks"), F.col("vec_id").alias("id"), "vector"))
+
+    def search(pdf):
+        q, x = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+        if not len(q) or not len(x):
+            return _rows([], [])
+        return _rows(q["id"].to_numpy(), _nearest(_matrix(q["vector"]), x["id"].to_numpy(), _matrix(x["vector"]), k))
+
+    return both.groupBy(*keys).applyInPandas(search, RESULT)
+
+
+def _dealt(df, name, key, n):
+    return df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
+
 
-    1. Equal vectors are merged (k of their ids suffice), so copies cost nothing.
-    2. A bounded set of pivots cuts the space into cells; a cell keeps its radius and the
-       distances of its k members nearest to the pivot.
-    3. From those follows an upper bound of each query's k-th distance, and by the triangle
-       inequality the query only visits cells that can hold something nearer.
-    4. Cells are split into blocks of ``block`` vectors and ``block`` queries, so one dense
-       cell is many tasks; a block emits k rows per query, never its pairs.
+def _copies(df, name, n):
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+
+
+def knn_join(queries, vectors, k=5, exclude_self=False, block=BLOCK):
+    """Exact k nearest vectors of every query: each block of queries meets each block of vectors.
+
+    The work is queries times vectors, whatever the data (in many dimensions no exact index avoids that);
+    a pair of blocks is one matrix product and returns k rows a query, never its pairs. For more than
+    some millions of both use ``knn_approximate``.
     """
     kk = k + 1 if exclude_self else k
-    by_vector = Window.partitionBy("vector").orderBy("vec_id")
-    data = materialize(vectors.select("vec_id", "vector").withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= kk)
-            .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("uid")), "distinct")
-    asked = queries.select("vector").groupBy("vector").agg(F.min(F.xxhash64("vector")).alias("uid"))
-    n_pivots = n_pivots or max(4, min(256, int(data.count() ** 0.5) // 4))
-    pivots = np.array([r[0] for r in data.orderBy(F.xxhash64("uid"), "uid").limit(n_pivots).select("vector").collect()],
-                      dtype="float64")
-    if not len(pivots):
-        return queries.sparkSession.createDataFrame([], RESULT + ", rank int")
-
-    def assign(batches):
-        for batch in batches:
-            if len(batch):
-                matrix = np.array(batch["vector"].tolist(), dtype="float64")
-                d = np.stack([_distances(matrix, p) for p in pivots], axis=1)
-                cell = d.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), to_pivot=d[np.arange(len(d)), cell])
-
-    cells = materialize(data.mapInPandas(assign, "vector array<double>, ids array<long>, uid long, cell int, to_pivot double"),
-                        "cells")
-    near = Window.partitionBy("cell").orderBy("to_pivot")
-    members = cells.select("cell", "to_pivot").withColumn("_n", F.row_number().over(near)).where(F.col("_n") <= kk)
-    lists = members.groupBy("cell").agg(F.collect_list("to_pivot").alias("nearest"))
-    sizes = cells.groupBy("cell").agg(F.max("to_pivot").alias("radius"), F.ceil(F.count(F.lit(1)) / block).alias("parts"))
-    stats = sizes.join(lists, "cell").collect()  # at most n_pivots rows of kk numbers
-    radius = np.full(len(pivots), -np.inf)
-    nearest = np.full((len(pivots), kk), np.inf)
-    for s in stats:
-        radius[s["cell"]] = s["radius"]
-        got = sorted(s["nearest"])[:kk]
-        nearest[s["cell"], :len(got)] = got
-
-    def visits(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
-            matrix = np.array(batch["vector"].tolist(), dtype="float64")
-            d = np.stack([_distances(matrix, p) for p in pivots], axis=1)
-            reach = np.sort((d[:, :, None] + nearest[None]).reshape(len(d), -1), axis=1)[:, kk - 1]
-            hit = (d - radius[None] <= reach[:, None] * (1 + 1e-9) + 1e-12) & (radius >= 0)[None]
-            row, cell = np.nonzero(hit)
-            yield pd.DataFrame({"vector": batch["vector"].iloc[row].to_list(), "uid": batch["uid"].to_numpy()[row],
-                                "cell": cell.astype("int32")})
-
-    asks = materialize(asked.mapInPandas(visits, "vector array<double>, uid long, cell int"), "visits")
-    split = sizes.select("cell", "parts").join(
-        asks.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("qparts")), "cell")
-    left = asks.join(split, "cell").select(
-        "cell", F.pmod("uid", "qparts").alias("qpart"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.lit(True).alias("is_query"), "uid", "vector", F.lit(None).cast("array<long>").alias("ids"))
-    right = cells.join(split, "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qparts") - 1)).alias("qpart"),
-        F.pmod(F.xxhash64("uid"), "parts").alias("part"), F.lit(False).alias("is_query"), "uid", "vector", "ids")
-
-    def search(pdf):
-        q, x = pdf[pdf["is_query"]], pdf[~pdf["is_query"]]
-        out = []
-        if len(q) and len(x):
-            matrix, keys = np.array(x["vector"].tolist(), dtype="float64"), x["uid"].to_numpy()
-            lists = x["ids"].to_list()
-            for uid, vector in zip(q["uid"], q["vector"]):
-                dist = _distances(matrix, np.asarray(vector, dtype="float64"))
-                for i in _best(keys, dist, kk):
-                    out += [(uid, n, dist[i]) for n in lists[i]]
-        return pd.DataFrame(out, columns=["query_id", "neighbour_id", "distance"]).astype(
-            {"query_id": "int64", "neighbour_id": "int64", "distance": "float64"})
-
-    found = left.unionByName(right).groupBy("cell", "part", "qpart").applyInPandas(search, RESULT)
-    best = _ranked(found, kk).drop("rank").withColumnRenamed("query_id", "uid")
-    lists = best.groupBy("uid").agg(F.collect_list(F.struct("neighbour_id", "distance")).alias("_found"))
-    back = (queries.join(asked.join(lists, "uid").select("vector", "_found"), "vector")
-            .select("query_id", F.inline("_found")))
+    q_blocks, v_blocks = max(1, -(-queries.count() // block)), max(1, -(-vectors.count() // block))
+    asked = _copies(_dealt(queries.select("query_id", "vector"), "qb", "query_id", q_blocks), "vb", v_blocks)
+    stored = _copies(_dealt(vectors.select("vec_id", "vector"), "vb", "vec_id", v_blocks), "qb", q_blocks)
+    found = _search_blocks(asked, stored, ["qb", "vb"], kk)
     if exclude_self:
-        back = back.where(F.col("neighbour_id") != F.col("query_id"))
-    return _ranked(back, k)
+        found = found.where(F.col("neighbour_id") != F.col("query_id"))
+    return _ranked(found, k)
 
 
-def knn_approximate(queries, vectors, threshold, bucket_length=1.0, tables=4):
-    """Pairs within ``threshold`` by random-projection hashing (may miss some)."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
+def knn_approximate(queries, vectors, k=5, cells=None, probes=None, block=BLOCK):
+    """k nearest vectors of every query among the cells nearest to it; may miss some.
+
+    A quantizer of about sqrt(n) cells is fitted on at most ``MAX_SAMPLE`` vectors; every vector is indexed in the
+    cell of its nearest centre and every query looks into ``probes`` cells (default: seven
+    tenths, which vectors without clusters need for a recall of 0.9; clustered ones do with far fewer). Cells larger than ``block`` are split.
+    """
+    from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    a = queries.select("query_id", array_to_vector("vector").alias("v"))
-    b = vectors.select("vec_id", array_to_vector("vector").alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length, numHashTables=tables, seed=7).fit(b)
-    pairs = model.approxSimilarityJoin(a, b, threshold, "distance")
-    return pairs.select("datasetA.query_id", F.col("datasetB.vec_id").alias("neighbour_id"), "distance")
+    n = vectors.count()
+    cells = min(cells or max(4, int(n ** 0.5)), max(1, n))
+    probes = min(cells, probes or max(2, -(-cells * 7 // 10)))
+    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MAX_SAMPLE).select(array_to_vector("vector").alias("features"))
+    if n == 0:
+        return queries.select("query_id").limit(0).select("query_id", F.lit(None).cast("long").alias("neighbour_id"),
+                                                          F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("rank"))
+    centres = np.array(KMeans(k=cells, seed=7, maxIter=10).fit(sample).clusterCenters()) if cells > 1 else np.zeros((1, 1))
+
+    def assign(n_cells, schema):
+        def run(batches):
+            for batch in batches:
+                if len(batch):
+                    m = _matrix(batch["vector"])
+                    d = (centres ** 2).sum(axis=1)[None] - 2 * m @ centres.T if len(centres) > 1 else np.zeros((len(m), 1))
+                    near = np.argsort(d, axis=1, kind="stable")[:, :n_cells]
+                    out = batch.loc[batch.index.repeat(near.shape[1])]
+                    yield out.assign(cell=near.ravel().astype("int32"))
+        return run, schema
+
+    stored = vectors.select("vec_id", "vector").mapInPandas(*assign(1, "vec_id long, vector array<double>, cell int"))
+    asked = queries.select("query_id", "vector").mapInPandas(*assign(probes, "query_id long, vector array<double>, cell int"))
+    parts = stored.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    stored = stored.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
+    asked = asked.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return _ranked(_search_blocks(asked, stored, ["cell", "part"], k), k)
+
+
+def recall(found, exact):
+    """Share of the exact neighbours (query_id, neighbour_id) that were found: one row."""
+    hit = found.select("query_id", "neighbour_id").withColumn("_hit", F.lit(1))
+    both = exact.select("query_id", "neighbour_id").join(hit, ["query_id", "neighbour_id"], "left")
+    return both.agg(F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("neighbours"),
+                    (F.count("_hit") / F.count(F.lit(1))).alias("recall"))
 
 
 def knn_regression(neighbours, labels):

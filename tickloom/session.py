@@ -31,19 +31,36 @@ def use_utc(spark):
     return spark
 
 
+_STAGED = []
+
+
 def shared_dir(spark, name):
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    The folder is read from spark.checkpoint.dir; only where nothing is set (a
-    single-machine test run) a temporary folder takes its place.
+    The folder is read from spark.checkpoint.dir. Only in local mode, where driver and executors are
+    one process, a temporary folder takes its place if nothing is set; on a cluster that is an error, since executors
+    would not see each other's files.
     """
     import tempfile
     import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "tickloom-work")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
+
+
+def release_staged(spark):
+    """Delete the shared folders this session has made; call it when no result that reads them is needed any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df, name="table"):

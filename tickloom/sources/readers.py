@@ -49,6 +49,19 @@ def pending(snapshots, column, start=None, end=None):
     return rows
 
 
+def newest_since(df, time, since, limit, tie):
+    """The newest ``limit`` rows after ``since``, the last processed time."""
+    return df.where(F.col(time) > since).orderBy(F.desc(time), F.desc(tie)).limit(limit)
+
+
+def column_fill(df, pattern="%"):
+    """Per column of a LIKE pattern the rows with and without a value: one pass over the table."""
+    names = [r["column_name"] for r in columns_like(df, pattern).collect()]  # the schema's own names
+    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in names])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled"), (F.col("_n") - F.col(c)).alias("empty")) for c in names])
+    return counts.select(F.inline(rows))
+
+
 def columns_like(df, pattern="%"):
     """Column names and types of a frame as rows, filtered by a LIKE pattern."""
     import re

@@ -15,6 +15,12 @@ from tickloom.operators.indicators import stored_indicators
 from tickloom.session import use_utc
 
 
+def _order(n):
+    """Order type, size and comment (absent on every fifth) of the trade of an event."""
+    return [F.when(n % 2 == 0, "BUY").otherwise("SELL").alias("order_type"), ((n % 10 + 1) * 0.25).alias("lot_size"),
+            F.when(n % 5 > 0, F.concat(F.lit("note "), (n % 3).cast("string"))).alias("comment")]
+
+
 class Views:
     def __init__(self, spark, path):
         self.spark = use_utc(spark)
@@ -38,7 +44,7 @@ class Views:
         """Bars of all timeframes, with the source of the last tick."""
         bars = resample.all_timeframes(
             self.ticks,
-            extra_tick=[F.max_by("source", F.struct("ts", "tick_id")).alias("data_source")],
+            extra_tick=[F.max_by("source", resample.tick_position()).alias("data_source")],
             extra_bar=[F.max_by("data_source", "open_time").alias("data_source")])
         return bars.withColumn("spread", classify.bar_spread())
 
@@ -64,7 +70,9 @@ class Views:
         return self.events.where("event_type = 'signup'").select(
             F.col("user_id").cast("string").alias("account_id"), "symbol", F.col("ts").alias("timestamp"),
             (v * 100).alias("balance"), (v * 100 + v).alias("equity"), (v * 10).alias("margin"),
-            (v * 91).alias("free_margin"), (v - 50).alias("profit"), F.lit("USD").alias("currency"))
+            (v * 91).alias("free_margin"), (v - 50).alias("profit"), F.lit("USD").alias("currency"),
+            ((F.col("user_id") % 5 + 1) * 100).cast("int").alias("leverage"), (v + 100).alias("margin_level"),
+            F.when(F.col("event_id") % 4 > 0, F.col("event_id") % 4).cast("int").alias("total_positions"), (v * 0.5).alias("risk_percent"))
 
     @cached_property
     def open_trades(self):
@@ -78,7 +86,7 @@ class Views:
                         "symbol", F.col("user_id").alias("magic_number"), v.alias("open_price"),
                         (v * 0.95).alias("sl"), (v * 1.05).alias("tp"), F.col("ts").alias("open_time"), "close_time",
                         F.when(F.col("close_time").isNull(), "open")
-                        .when(F.col("event_id") % 3 == 0, "pending").otherwise("closed").alias("status")))
+                        .when(F.col("event_id") % 3 == 0, "pending").otherwise("closed").alias("status"), *_order(F.col("event_id"))))
 
     @cached_property
     def closed_trades(self):
@@ -87,7 +95,7 @@ class Views:
         return self.events.where("event_type = 'purchase'").select(
             F.col("event_id").alias("id"), "symbol", F.col("user_id").cast("string").alias("account_id"),
             F.col("ts").alias("time"), v.alias("entry_price"), (v + shift).alias("exit_price"),
-            shift.alias("profit"), F.lit(1.0).alias("volume"))
+            shift.alias("profit"), F.lit(1.0).alias("volume"), *_order(F.col("event_id"))[::2]).withColumnRenamed("order_type", "type")
 
     @cached_property
     def planned_trades(self):

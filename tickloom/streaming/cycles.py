@@ -69,7 +69,8 @@ def health_cycle(path, now=None):
             return
         at = now if now is not None else batch.agg(F.max("open_time")).scalar()
         fresh = monitor.freshness(batch.select("symbol").distinct(), batch, at)
-        row = monitor.report_row(fresh, monitor.spread_anomalies(batch, at), at)
+        connection = monitor.connection_health(batch, at, batch.agg(F.countDistinct("symbol")).scalar())
+        row = monitor.report_row(fresh, monitor.spread_anomalies(batch, at), connection, at)
         row.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return handle
 

@@ -10,7 +10,8 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tickloom.streaming import order
 
 RESULT = ("symbol string, timeframe string, open_time timestamp, n long, atr double, adx double, ema double, macd double, "
-          "macd_signal double, rsi double, obv double, sma double, bb_middle double, stochastic_k double, willr double")
+          "macd_signal double, macd_hist double, rsi double, obv double, sma double, bb_middle double, bb_upper double, bb_lower double, "
+          "cci double, stochastic_k double, stochastic_d double, willr double")
 MEANS = ["atr", "pdm", "mdm", "gain", "loss", "ema", "fast", "slow", "adx", "macd_signal"]
 STATE = ("n long, last_us long, obv double, highs array<double>, lows array<double>, closes array<double>, "
          + ", ".join(f"{m} double" for m in MEANS))
@@ -25,6 +26,27 @@ def _mean(s, name, x):
     return s[name]
 
 
+def _stochastic(s, back=0):
+    """(%K, width) of fourteen bars, ``back`` bars ago; None while there are fewer or where they do not move."""
+    end = len(s["closes"]) - back
+    if end < 14:
+        return None
+    high, low = max(s["highs"][end - 14:end]), min(s["lows"][end - 14:end])
+    return 100 * (s["closes"][end - 1] - low) / (high - low) if high != low else None
+
+
+def _bands(s):
+    """Middle, upper and lower band and the channel index of twenty bars."""
+    if s["n"] < KEEP:
+        return None, None, None, None
+    mean = sum(s["closes"]) / KEEP
+    deviation = (sum((x - mean) ** 2 for x in s["closes"]) / (KEEP - 1)) ** 0.5
+    typical = [(h + l + c) / 3.0 for h, l, c in zip(s["highs"], s["lows"], s["closes"])]
+    middle = sum(typical) / KEEP
+    spread = 0.015 * sum(abs(x - middle) for x in typical) / KEEP
+    return mean, mean + 2 * deviation, mean - 2 * deviation, (typical[-1] - middle) / spread if spread else None
+
+
 def _step(s, bar):
     _, h, l, c, v = bar
     first = s["n"] == 0
@@ -50,10 +72,13 @@ def _step(s, bar):
     last14 = s["n"] >= 14
     high, low = max(s["highs"][-14:]), min(s["lows"][-14:])
     wide = last14 and high != low
-    return {"n": s["n"], "atr": atr, "adx": s["adx"], "ema": ema, "macd": macd, "macd_signal": signal, "rsi": rsi,
+    middle, upper, lower, cci = _bands(s)
+    fast = [_stochastic(s, back) for back in range(3)]
+    return {"n": s["n"], "atr": atr, "adx": s["adx"], "ema": ema, "macd": macd, "macd_signal": signal,
+            "macd_hist": macd - signal, "rsi": rsi,
             "obv": s["obv"], "sma": sum(s["closes"][-14:]) / 14 if last14 else None,
-            "bb_middle": sum(s["closes"]) / 20 if s["n"] >= 20 else None,
-            "stochastic_k": 100 * (c - low) / (high - low) if wide else None,
+            "bb_middle": middle, "bb_upper": upper, "bb_lower": lower, "cci": cci,
+            "stochastic_k": fast[0], "stochastic_d": sum(fast) / 3 if None not in fast else None,
             "willr": -100 * (high - c) / (high - low) if wide else None}
 
 

@@ -4,13 +4,17 @@ from pyspark.sql import functions as F
 from tickloom.session import shared_dir
 
 
+def parse_messages(messages, schema):
+    """Rows of messages whose ``value`` (bytes or text) is JSON; a message that does not parse gives nulls."""
+    return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("v")).select("v.*")
+
+
 def source(spark, kind, schema=None, **options):
     """A stream by name: parquet / csv / json folders, rate, or kafka where its connector
     is installed (brokers and topic as options; the value is parsed as JSON)."""
     reader = spark.readStream.format(kind)
     if kind == "kafka":
-        rows = reader.options(**options).load().select(F.from_json(F.col("value").cast("string"), schema).alias("v"))
-        return rows.select("v.*")
+        return parse_messages(reader.options(**options).load(), schema)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**options).load()
