@@ -1,5 +1,5 @@
 """Byte-level BPE: word splitting in Spark and the encoding of single words in tasks."""
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,32 +39,56 @@ def _byte_letters():
 
 
 class Tokenizer:
-    """A tokenizers file with a fast path for single words."""
+    """A tokenizers file with a fast path for single words; each part is loaded when it is first used."""
 
     def __init__(self, path):
-        import json
+        self.path = path
 
-        import tiktoken
-        from tokenizers import Tokenizer as Loaded
+    @cached_property
+    def _given(self):
+        """(special tokens, bytes of every other piece with its id) of the file."""
+        import json
 
-        self.whole = Loaded.from_file(path)
-        self.whole.no_truncation()
-        self.whole.no_padding()
-        with open(path, encoding="utf-8") as f:
+        with open(self.path, encoding="utf-8") as f:
             given = json.load(f)
         letters = _byte_letters()
-        self.special = {t["content"]: t["id"] for t in given["added_tokens"]}
-        vocab = {k: v for k, v in given["model"]["vocab"].items() if k not in self.special}
-        ranks = {bytes(letters[c] for c in k): v for k, v in vocab.items()}
+        special = {t["content"]: t["id"] for t in given["added_tokens"]}
+        vocab = {k: v for k, v in given["model"]["vocab"].items() if k not in special}
         merges = [m if isinstance(m, list) else m.split(" ") for m in given["model"]["merges"]]
         if [vocab[a + b] for a, b in merges] != sorted(vocab[a + b] for a, b in merges):
             raise ValueError("merges are not in the order of their ids")
-        self.fast = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        self.pieces = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
+        return special, {bytes(letters[c] for c in k): v for k, v in vocab.items()}
+
+    @cached_property
+    def whole(self):
+        """The library's own tokenizer."""
+        from tokenizers import Tokenizer as Loaded
+
+        whole = Loaded.from_file(self.path)
+        whole.no_truncation()
+        whole.no_padding()
+        return whole
+
+    @cached_property
+    def fast(self):
+        """The same merges for single words."""
+        import tiktoken
+        return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=self._given[1], special_tokens={})
+
+    @cached_property
+    def special(self):
+        return dict(zip(special_tokens(self.path), special_ids(self.path)))
+
+    @cached_property
+    def pieces(self):
+        """The bytes of every id."""
+        special, ranks = self._given
+        out = [b""] * (1 + max([*ranks.values(), *special.values()]))
         for piece, i in ranks.items():
-            self.pieces[i] = piece
-        for piece, i in self.special.items():
-            self.pieces[i] = piece.encode()
+            out[i] = piece
+        for piece, i in special.items():
+            out[i] = piece.encode()
+        return out
 
     def words(self, text):
         """The words and special tokens of any text, split by the tokenizer itself."""
@@ -94,11 +118,19 @@ def load(path):
 
 
 @lru_cache(maxsize=2)
-def special_tokens(path):
+def _added(path):
     import json
 
     with open(path, encoding="utf-8") as f:
-        return tuple(t["content"] for t in json.load(f)["added_tokens"])
+        return tuple((t["content"], t["id"]) for t in json.load(f)["added_tokens"])
+
+
+def special_tokens(path):
+    return tuple(text for text, _ in _added(path))
+
+
+def special_ids(path):
+    return tuple(i for _, i in _added(path))
 
 
 def batch_words(batch, tokenizer):

@@ -7,10 +7,10 @@ numbers and joins the ids to them by position. So a word travels once per block,
 neither the vocabulary nor the texts are ever gathered anywhere. Both passes need the same batches, so ``docs``
 must be a stored table (a file scan), whose tasks always read the same rows in the same order.
 """
+import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -24,15 +24,19 @@ from tickloom.llm.common import append, read
 ROW_WORDS = 1 << 19
 
 
-def _numbered(batch, tokenizer):
-    """Rows, words per row, word numbers and distinct words of a batch, the most frequent word first."""
+def _numbered(batch, tokenizer, only_words=False):
+    """Rows, words per row, word numbers and count of distinct words of a batch, or only these words; the most frequent
+    one has number 0."""
     order, flat, counts = batch_words(batch, tokenizer)
     coded = flat.dictionary_encode()
     index = coded.indices.to_numpy(zero_copy_only=False)
     rank = np.argsort(-np.bincount(index, minlength=len(coded.dictionary)), kind="stable")
-    number = np.empty(len(rank), np.int64)
-    number[rank] = np.arange(len(rank))
-    return order, counts, number[index] if len(index) else index.astype(np.int64), coded.dictionary.take(pa.array(rank))
+    words = coded.dictionary.take(pa.array(rank))
+    if only_words:
+        return words
+    number = np.empty(len(rank), np.int32)
+    number[rank] = np.arange(len(rank), dtype=np.int32)
+    return order, counts, number[index] if len(index) else index, len(words)
 
 
 def _pack(numbers):
@@ -87,14 +91,14 @@ def encode(docs, path=None, text="text", doc_id="doc_id", buckets=None, decoded=
 
     def send_words(batches):
         for n, b in enumerate(batches):
-            words = _numbered(b, load(path))[3]
+            words = _numbered(b, load(path), only_words=True)
             if not len(words):
                 continue
-            bucket = pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False) % buckets
+            bucket = np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), np.int64, len(words)) % buckets
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(cuts) - 1, _block(n))), pa.array(bucket[order][cuts[:-1]].astype(np.int64)),
+                [pa.array(np.full(len(cuts) - 1, _block(n))), pa.array(bucket[order][cuts[:-1]]),
                  _lists(cuts, pa.array(order.astype(np.int32))), _lists(cuts, words.take(pa.array(order)))],
                 names=["block", "bucket", "number", "word"])
 
@@ -110,14 +114,14 @@ def encode(docs, path=None, text="text", doc_id="doc_id", buckets=None, decoded=
 
     def send_numbers(batches):
         for k, b in enumerate(batches):
-            order, counts, numbers, words = _numbered(b, load(path))
+            order, counts, numbers, distinct = _numbered(b, load(path))
             ids = b.column("doc_id").take(pa.array(order))
             ends = np.r_[0, np.cumsum(counts)]
             at = 0
             while at < len(counts):
                 to = max(at + 1, int(np.searchsorted(ends, ends[at] + ROW_WORDS, "right")) - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_block(k)], pa.int64()), pa.array([len(words)], pa.int64()), _lists([0, to - at], ids[at:to]),
+                    [pa.array([_block(k)], pa.int64()), pa.array([distinct], pa.int64()), _lists([0, to - at], ids[at:to]),
                      _lists([0, to - at], pa.array(counts[at:to].astype(np.int32))),
                      pa.array([_pack(numbers[ends[at]:ends[to]])], pa.binary())],
                     names=["block", "distinct", "doc_id", "words", "numbers"])
