@@ -28,6 +28,10 @@ def small(stored, rows=SMALL_ROWS):
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
+#: Rows that ``append`` hands to its function at once, to keep the memory of a task low.
+ROWS = 2048
+
+
 def append(df, fn, fields, keep=None):
     """``df[keep]`` with the columns ``fields`` that ``fn`` makes of each Arrow batch.
 
@@ -40,8 +44,10 @@ def append(df, fn, fields, keep=None):
     names = schema.names
 
     def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + list(fn(b)), names=names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
+                yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + list(fn(b)), names=names)
 
     return df.mapInArrow(run, schema)
 

@@ -3,13 +3,14 @@
 The kernel of two words counts common letter triples, also with up to two other letters in between: a triple
 spanning s letters weighs DECAY ** s. Words with letters inserted or left out still share most triples.
 Landmarks are words of the labelled sentences; a word's kernel values at them, whitened by the kernel of the
-landmarks among themselves (Nyström), are its features. A sentence is represented by its worst word, a document
-by its worst sentence: the machine is trained on labelled sentences, re-picking the worst word after each round,
-and a logistic curve fitted on other documents turns the margin into a probability.
+landmarks among themselves (Nyström), are its features. The machine is trained on labelled sentences, which their
+worst words represent, re-picked after each round; a document is judged by the margins of its three worst words, of
+falling weight, and a logistic curve fitted on other documents turns that into a probability.
 
 Because the machine is linear in the kernel values and those are linear in the word's triples, the whole model folds into
 one weight per triple. Scoring a batch is a table lookup per triple of its distinct words in numpy.
 """
+import heapq
 import re
 
 import numpy as np
@@ -17,17 +18,23 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import append, read
+from tickloom.llm.common import append, read, stage
 
-DECAY, SPAN = 0.7, 5
+DECAY, SPAN = 0.8, 5
 STEPS = [(a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
 LETTERS = 64
+#: Words measured at once.
+CHUNK = 20_000
 #: At most so many labelled documents of each class are learned from, longer ones than so many characters not.
 MAX_DOCS, MAX_CHARS = 3000, 20_000
 LANDMARKS, ROUNDS, COST = 192, 6, 10.0
+#: At most so many suspected and so many clean words are learned from; a suspected one is this much more frequent.
+MAX_WORDS, RATIO = 150_000, 8
 #: Clean words that join the negative ones in each round.
 NEGATIVES = 3000
 THRESHOLD = 0.7
+#: Weights of the worst, second and third worst word of a document.
+WORST = (1.0, 0.5, 0.3)
 # Characters that stand in for letters.
 STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
 SPACED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
@@ -78,6 +85,8 @@ def triples(words, alphabet):
 
 def margins(words, model):
     """The machine's value of each word."""
+    if len(words) > CHUNK:
+        return np.concatenate([margins(words[k:k + CHUNK], model) for k in range(0, len(words), CHUNK)])
     owner, code, weight = triples(words, model["alphabet"])
     raw = np.bincount(owner, model["weights"][code] * weight, minlength=len(words))
     mass = _mass([len(w) for w in words])
@@ -131,16 +140,16 @@ def _alphabet(words):
     return out
 
 
-def _speaking(bad, good, n_bad, n_good):
-    """Words that occur in significantly more contexts of bad sentences, strongest first (likelihood ratio).
+def _speaking(words, n_bad, n_good, tried):
+    """Words of (word, bad, good) that occur in significantly more contexts of bad sentences, strongest first
+    (likelihood ratio).
 
     The bar rises with the number of words tried, so that hardly any passes it by chance.
     """
-    found, bar = {}, 2 * np.log(max(10, len(bad)))
+    found, bar = {}, 2 * np.log(max(10, tried))
     part = lambda k, of, q: k * np.log(k / (of * q)) if k else 0.0
-    for u, n in bad.items():
-        m = good.get(u, 0)
-        if n * n_good < 8 * m * n_bad:
+    for u, n, m in words:
+        if n * n_good < RATIO * m * n_bad:
             continue
         p = (n + m) / (n_bad + n_good)
         g = 2 * (part(n, n_bad, p) + part(m, n_good, p) + part(n_bad - n, n_bad, 1 - p) + part(n_good - m, n_good, 1 - p))
@@ -149,66 +158,62 @@ def _speaking(bad, good, n_bad, n_good):
     return sorted(found, key=lambda u: (-found[u], u))
 
 
-def train(documents):
-    """Model from (label, sentences) pairs; a sentence is a list of units. None where nothing can be learned.
+def _disguised(word):
+    """The word with a strange letter at each inner place in turn: insults are to be known with one inserted."""
+    return [word[:k] + "\u0001" + word[k:] for k in range(1, len(word))][:: max(1, len(word) // 4)]
 
-    A word counts once per word before it, so that copies and near copies of a text speak once.
+
+def _features(words, landmarks, alphabet, whiten):
+    """Nyström features of words (without ``whiten`` their largest kernel value), some at a time."""
+    parts = []
+    for k in range(0, len(words), 2000):
+        part = _kernel(words[k:k + 2000], landmarks, alphabet)
+        parts.append((part.max(axis=1) if whiten is None else part @ whiten).astype(np.float32))
+    return np.concatenate(parts)
+
+
+def train(suspects, common, n_bad, n_good, tried):
+    """The machine from (word, bad, good) counts of contexts; None where nothing can be learned.
+
+    ``suspects`` are words that may speak against a text, ``common`` the most frequent clean ones.
     """
-    fit, rest = [d for k, d in enumerate(documents) if k % 3], documents[::3]
-    pairs = {1: set(), 0: set()}
-    for y, doc in fit:
-        for s in doc:
-            pairs[y].update((before, u) for before, u in zip(["", *s], s) if len(u) > 2)
-    counts = {y: {} for y in pairs}
-    for y, some in pairs.items():
-        for _, u in some:
-            counts[y][u] = counts[y].get(u, 0) + 1
-    seeds = _speaking(counts[1], counts[0], len(pairs[1]), len(pairs[0]))
-    if not seeds or not counts[0]:
+    seeds = _speaking(suspects, n_bad, n_good, tried)
+    known = set(seeds)
+    frequent = [u for u, _, _ in common if u not in known]
+    if not seeds or not frequent:
         return None
-    common = sorted(counts[0], key=lambda u: (-counts[0][u], u))
     third = LANDMARKS // 3
-    landmarks = list(dict.fromkeys(seeds[:third] + common[:: max(1, len(common) // third)][:third]))
+    landmarks = list(dict.fromkeys(seeds[:third] + frequent[:: max(1, len(frequent) // third)][:third]))
     alphabet = _alphabet(landmarks)
     # clean words that look most like the seeds
-    like = np.concatenate([_kernel(common[k:k + 20_000], seeds[:third], alphabet).max(axis=1) for k in range(0, len(common), 20_000)])
-    known = set(seeds)
-    near = [common[k] for k in np.argsort(-like, kind="stable")[:third + len(seeds)] if common[k] not in known][:third]
-    landmarks = list(dict.fromkeys(landmarks + near))
+    like = _features(frequent, seeds[:third], alphabet, None)
+    landmarks = list(dict.fromkeys(landmarks + [frequent[k] for k in np.argsort(-like, kind="stable")[:third]]))
     alphabet = _alphabet(landmarks)
     among = _kernel(landmarks, landmarks, alphabet)
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     keep = values > 1e-4 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
 
-    words = sorted(counts[0] | counts[1])
-    features = np.concatenate([_kernel(words[k:k + 20_000], landmarks, alphabet) @ whiten for k in range(0, len(words), 20_000)])
-    clean = np.array([u in counts[0] for u in words])
-    sure = np.isin(words, seeds)
-    clean &= ~sure
+    clean = _features(frequent, landmarks, alphabet, whiten)
+    bad = _features(seeds + [v for u in seeds for v in _disguised(u)], landmarks, alphabet, whiten)
     # bad sentences are represented by their seeds, clean ones by common words at first; each round adds the worst
-    value, pool = np.array([counts[0].get(u, 0) for u in words], float), np.zeros(len(words), bool)
-    pos = np.flatnonzero(sure)
+    value, pool = -np.arange(len(frequent), dtype=float), np.zeros(len(frequent), bool)
     for _ in range(ROUNDS):
-        free = np.flatnonzero(clean & ~pool)
+        free = np.flatnonzero(~pool)
         pool[free[np.argsort(-value[free], kind="stable")[:NEGATIVES]]] = True
-        neg = np.flatnonzero(pool)
-        w = _svm(features[np.r_[pos, neg]], np.r_[np.ones(len(pos)), -np.ones(len(neg))], COST)
-        value = features @ w[:-1] + w[-1]
+        w = _svm(np.r_[bad, clean[pool]], np.r_[np.ones(len(bad)), -np.ones(int(pool.sum()))], COST)
+        value = clean @ w[:-1] + w[-1]
     fold = whiten @ w[:-1] / np.sqrt(np.maximum(_mass([len(u) for u in landmarks]), 1e-12))
     lo, lc, lw = triples(landmarks, alphabet)
     weights = np.zeros(LETTERS ** 3, np.float64)
     np.add.at(weights, lc, fold[lo] * lw)
-    model = {"alphabet": alphabet, "weights": weights.astype(np.float32), "bias": float(w[-1]), "a": 4.0, "b": 0.0}
-    held = [(y, v) for (y, s), v in zip(rest, (_document_margin(s, model) for _, s in rest)) if v is not None]
-    if len({y for y, _ in held}) == 2:
-        model["a"], model["b"] = _curve(np.array([v for _, v in held]), np.array([y for y, _ in held]))
-    return model
+    return {"alphabet": alphabet, "weights": weights.astype(np.float32), "bias": float(w[-1]), "a": 4.0, "b": 0.0}
 
 
-def _document_margin(sentences, model):
-    words = sorted({u for s in sentences for u in s if len(u) > 2})
-    return margins(words, model).max() if words else None
+def _judged(values, least):
+    """The value of a document from those of its distinct words; ``least`` stands for missing ones."""
+    top = [max(v, least) for v in heapq.nlargest(3, values)]
+    return sum(w * v for w, v in zip(WORST, top + [least] * (3 - len(top))))
 
 
 def _curve(v, y):
@@ -226,19 +231,53 @@ def _curve(v, y):
     return float(max(w[0], 0.1)), float(w[1])
 
 
+def _contexts(batches):
+    """(label, word before, word) of the labelled sentences."""
+    for b in batches:
+        seen = set()
+        for y, text in zip(b.column("y").to_pylist(), b.column("t").to_pylist()):
+            for sentence in ENDS.split(text):
+                units = [unit(x) for x in tokens(sentence)]
+                seen.update((y, before, u) for before, u in zip(["", *units], units) if len(u) > 2)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*seen), (pa.int32(), pa.string(), pa.string()))], names=["y", "before", "unit"])
+
+
 def fit(docs, labels, text="text", doc_id="doc_id", label="toxic"):
-    """Model from a bounded sample of the labelled rows: the first MAX_DOCS of each class by a hash of the id."""
+    """Model from a bounded sample of the labelled rows: the first MAX_DOCS of each class by a hash of the id.
+
+    Two thirds of the distinct texts teach the machine, the others the curve. A word counts once per word before
+    it, so that copies and near copies of a text speak once.
+    """
     order = F.xxhash64(F.col(doc_id).cast("string"))
     known = labels.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__y"), order.alias("__o"))
     known = known.groupBy("__id", "__o").agg(F.max("__y").alias("__y"))
     some = known.where("__y = 1").orderBy("__o", "__id").limit(MAX_DOCS).union(known.where("__y = 0").orderBy("__o", "__id").limit(MAX_DOCS))
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("t")).where(F.length("t") <= MAX_CHARS).join(some, "__id")
-    # a bounded number of bounded texts, in an order that does not depend on the plan
-    got = {}
-    for r in sorted(rows.select("__o", "__y", "t").limit(4 * MAX_DOCS).collect()):
-        got.setdefault(r["t"], (r["__o"], r["__y"], r["t"]))  # of equal texts the first
-    got = sorted(got.values())
-    return train([(y, [[unit(x) for x in tokens(s)] for s in ENDS.split(t)]) for _, y, t in got])
+    rows = rows.groupBy("t").agg(F.max("__y").alias("y")).withColumn("third", F.pmod(F.xxhash64("t"), F.lit(3)))
+    rows = stage(rows.repartition(16, "t"), "sample")
+    pairs = rows.where("third > 0").select("y", "t").mapInArrow(_contexts, "y int, before string, unit string").distinct()
+    units = stage(pairs.groupBy("unit").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good")), "units")
+    n_bad, n_good, tried = (x or 0 for x in units.agg(F.sum("bad"), F.sum("good"), F.count_if(F.col("bad") > 0)).first())
+    suspects = units.where(F.col("bad") * n_good >= F.col("good") * RATIO * n_bad).where("bad > 0").orderBy(F.desc("bad"), "unit").limit(MAX_WORDS)
+    common = units.where("good > 0").orderBy(F.desc("good"), "unit").limit(MAX_WORDS)
+    model = train([tuple(r) for r in suspects.collect()], [tuple(r) for r in common.collect()], n_bad, n_good, tried)
+    if model is None:
+        return None
+
+    def measure(batches):
+        for b in batches:
+            for y, t in zip(b.column("y").to_pylist(), b.column("t").to_pylist()):
+                words = sorted({u for u in map(unit, tokens(t)) if len(u) > 2})
+                if words:
+                    value = _judged(margins(words, model).tolist(), model["bias"] - 3)
+                    yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([value])], names=["y", "v"])
+
+    held = rows.where("third = 0").select("y", "t").mapInArrow(measure, "y int, v double").collect()  # a number per text of the sample
+    if len({r["y"] for r in held}) == 2:
+        held = sorted(map(tuple, held))
+        model["a"], model["b"] = _curve(np.array([v for _, v in held]), np.array([y for y, _ in held]))
+    return model
 
 
 def score(docs, model, text="text", keep=None):
@@ -257,10 +296,11 @@ def score(docs, model, text="text", keep=None):
             docs_ = [set(tokens(t)) if t else () for t in texts]
             raw = list(set().union(*docs_)) if docs_ else []
             units = [unit(t) for t in raw]
-            value = np.where(np.fromiter(map(len, units), np.int64, len(units)) > 2, margins(units, m), -np.inf) if raw else np.zeros(0)
-            get = dict(zip(raw, value.tolist())).__getitem__
-            top = np.array([max(map(get, d)) if d else -np.inf for d in docs_], float)
-            top = np.maximum(top, m["bias"] - 3.0)
+            least = m["bias"] - 3
+            value = np.where(np.fromiter(map(len, units), np.int64, len(units)) > 2, margins(units, m), least) if raw else np.zeros(0)
+            get = dict(zip(units, value.tolist())).__getitem__
+            named = dict(zip(raw, units))
+            top = np.array([_judged(map(get, {named[t] for t in d}), least) for d in docs_], float)
             prob = 1 / (1 + np.exp(-np.clip(m["a"] * top + m["b"], -500, 500)))
         return pa.array(prob, pa.float64()), pa.array((prob >= THRESHOLD).astype(np.int32))
 
