@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators.asof import asof_join
-from tickloom.operators.collect import collect_parts
+from tickloom.operators.collect import collect_items, item_rows
 from tickloom.operators.rangejoin import interval_join, range_join
 from tickloom.plans import vectors
 from tickloom.streaming import cycles
@@ -60,21 +60,25 @@ def test_interval_join(spark, sides):
     assert len(got) == ok.sum() and set(map(tuple, got)) == set(zip(m.id[ok], m.x[ok]))
 
 
-def test_collect_parts_keeps_all_rows(sides):
+def test_one_list_per_key_at_any_size(spark, sides):
     _, right, _, r = sides
-    out = collect_parts(r, ["k"], F.col("x"), ["ts", "x"], size=50)
-    rows = out.toPandas()
-    assert sorted(x for items in rows["items"] for x in items) == list(range(700))
-    assert (rows["k"] == "HOT").sum() > 1
+    rows = collect_items(r, ["k"], F.col("x"), ["ts", "x"]).toPandas()
+    assert rows["k"].is_unique and sorted(x for items in rows["items"] for x in items) == list(range(700))
+    order = right.sort_values(["ts", "x"]).groupby("k")["x"].apply(list).to_dict()
+    assert {k: list(v) for k, v in zip(rows["k"], rows["items"])} == order
+    flat = item_rows(r, ["k"], F.col("x"), ["ts", "x"]).toPandas().sort_values(["k", "position"])
+    assert flat.groupby("k")["item"].apply(list).to_dict() == order
+    many = collect_items(spark.range(12_000).withColumn("k", F.lit(1)), ["k"], F.col("id"), ["id"]).collect()
+    assert len(many) == 1 and many[0]["items"] == list(range(12_000))
 
 
-def test_knn_join_exact_with_copies(spark):
+def test_knn_join_exact_with_copies(spark, monkeypatch):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(240, 6))
     x[80:180] = x[0]  # more than a third are copies of one vector
     df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, vector array<double>")
     q = df.select(F.col("vec_id").alias("query_id"), "vector")
-    got = vectors.knn_join(q, df, 4, exclude_self=True, n_pivots=8, block=15).toPandas()
+    got = vectors.knn_join(q, df, 4, exclude_self=True, block=15).toPandas()
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     for i in range(len(x)):
         order = sorted((d[i, j], j) for j in range(len(x)) if j != i)[:4]
@@ -82,5 +86,8 @@ def test_knn_join_exact_with_copies(spark):
         assert mine.neighbour_id.tolist() == [j for _, j in order]
     few = vectors.knn_search(q.where("query_id < 3"), df, 3).toPandas()
     assert len(few) == 9
-    large = vectors.knn_search(q, df, 3, max_values=12).toPandas()  # more queries than may be shipped
-    assert len(large) == 3 * 240
+    monkeypatch.setattr(vectors, "MAX_SENT", 12)  # more queries than may be sent are refused
+    with pytest.raises(ValueError):
+        vectors.knn_search(q, df, 3)
+    found = vectors.recall(vectors.knn_approximate(q, df, 4, cells=8, probes=8), vectors.knn_join(q, df, 4))
+    assert found.first()["recall"] == 1.0
