@@ -15,17 +15,17 @@ Both rounds emit a fixed number of rows per distinct fingerprint, so copies cost
 """
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.common import append, read, small, stage
 from tickloom.llm.graph import components
+from tickloom.llm.nearcopies import clusters as near_copies
+from tickloom.llm.nearcopies import shingle_hashes
 
 RADIUS = 3
 BLOCK = 16
-SEED = 42
 
 
 def _signed(x):
@@ -37,17 +37,10 @@ def fingerprint(raw, width=3):
 
     A text of fewer words has one shingle, a text without words gives zero.
     """
-    words = raw.lower().split()
-    n = len(words) - width + 1
-    if not words:
-        return 0
+    hashes = shingle_hashes(raw, width)
+    n = len(hashes)
     if n < 2:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
-    joined, ends = b" ".join(words), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = [0, *ends[: n - 1].tolist()]
-    stops = (ends[width - 1:] - 1).tolist()
-    digest, seed = xxhash.xxh64_intdigest, SEED
-    hashes = np.array([digest(joined[i:j], seed) for i, j in zip(starts, stops)], np.uint64)
+        return int(hashes[0]) if n else 0
     ones = np.zeros(64, np.int64)
     for k in range(0, n, 1 << 16):
         part = hashes[k:k + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -123,14 +116,16 @@ def near_duplicates(docs, text="text", doc_id="doc_id", keep=None):
 
 
 def one_per_group(docs):
-    """Pipeline stage: of each group of near duplicates the row with the smallest doc_id stays.
+    """Pipeline stage: of each group of near copies (five-word shingles, Jaccard 0.8; see ``nearcopies``) the row
+    with the smallest doc_id stays.
 
     Rows that repeat that doc_id count as copies: the one with the smallest text hash stays. Documents
     without a word have nothing to compare and stay. Columns are those of ``docs``.
     """
     some = F.coalesce(F.col("text"), F.lit("")).rlike("[^ \\t-\\r]")
-    found = near_duplicates(docs.where(some).select("doc_id", F.xxhash64("text").alias("__h"), "text"), keep=["doc_id", "__h"])
-    rows = found.groupBy("component_id", "doc_id", "__h").agg(F.count(F.lit(1)).alias("n"))
+    named = small(near_copies(docs.where(some))).withColumnRenamed("node", "__h")
+    rows = docs.where(some).select("doc_id", F.xxhash64("text").alias("__h")).groupBy("doc_id", "__h").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.join(named, "__h", "left").withColumn("component_id", F.coalesce("root", "__h")).drop("root")
     rows = stage(rows.withColumn("o", F.struct(F.col("doc_id").isNull(), "doc_id", "__h")), "members")
     first = rows.groupBy("component_id").agg(F.min("o").alias("first")).withColumnRenamed("component_id", "__c")
     rows = rows.join(first, F.col("component_id").eqNullSafe(F.col("__c")))
