@@ -50,3 +50,14 @@ def test_clean_texts_stay_and_junk_goes(spark):
     rows = out.join(labels, "doc_id").where("not base_failed").collect()
     clean = [r.kept for r in rows if r.quality == 1]
     assert sum(clean) >= 0.98 * len(clean)
+
+
+def test_third_of_copies_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
+    clean = docs.where("lang = 'en' and quality = 1").orderBy("doc_id").limit(600).select("doc_id", "text").collect()
+    junk = " ".join(f"BUY{k} $$$ ##" for k in range(40))
+    rows = [(r.doc_id, r.text, "en", "s") for r in clean] + [(-k, junk, "en", "s") for k in range(1, 301)]
+    got = outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert not any(r.base_failed for r in got if r.doc_id < 0)
+    assert not any(r.kept for r in got if r.doc_id < 0)
+    assert sum(r.kept for r in got if r.doc_id > 0) >= 0.97 * sum(not r.base_failed for r in got if r.doc_id > 0)

@@ -2,8 +2,8 @@
 
 Word and line statistics of whole texts feed two base rules and, transformed to comparable scales, a vector. For
 every (language, source) the minimum covariance determinant estimate is found over all of its rows: from medians and
-absolute deviations, concentration steps keep the three quarters of the rows with the smallest Mahalanobis
-distance and take their mean and covariance. A document far outside is rejected. All steps are Spark
+absolute deviations, concentration steps keep the (n + d + 1) / 2 rows with the smallest Mahalanobis distance and take their
+mean and covariance, until the determinant stops falling; the best of three starts stays. A document far outside is rejected. All steps are Spark
 aggregations over a narrow table, so a group of any size is never gathered; only the matrix of each group is
 inverted, one row a group. Groups with few rows use the estimate of their language, small languages that of all rows.
 """
@@ -26,8 +26,8 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 VECTOR = {"x_words": 0.6, "x_length": 0.08, "x_symbols": 0.06, "x_lines": 0.12, "x_repeats": 0.15, "x_variety": 0.05, "x_upper": 0.06}
 #: Median and 0.99999 quantile of the chi-square distribution with one degree per part of the vector.
 CHI_MEDIAN, CHI_CUT = 6.346, 35.0
-#: Share of the rows that the estimate rests on, and concentration steps.
-SHARE, STEPS = 0.75, 3
+#: Concentration steps end when no logarithm of a determinant falls by more than this, or after so many.
+FALL, STEPS = 1e-3, 30
 #: Rows a group needs for an estimate of its own.
 MIN_ROWS = 60
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -73,7 +73,8 @@ def _vector():
 
 
 def _invert(moments):
-    """Per group from sums to the centre and the inverse of the covariance with the smallest deviations added."""
+    """Per group and start from sums to the centre, the inverse of the covariance with the smallest deviations added and
+    the logarithm of its determinant."""
     d, floors = len(VECTOR), np.array(list(VECTOR.values()))
 
     def run(frames):
@@ -84,10 +85,41 @@ def _invert(moments):
                 cov = np.zeros((d, d))
                 cov[np.triu_indices(d)] = np.asarray(ss) / n
                 cov = cov + np.triu(cov, 1).T - np.outer(mean, mean) + np.diag(floors ** 2)
-                out.append((mean.tolist(), np.linalg.inv(cov).ravel().tolist()))
-            yield pd.DataFrame({"g": f["g"], "centre": [m for m, _ in out], "inverse": [i for _, i in out]})
+                out.append((mean.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
+            yield pd.DataFrame({"g": f["g"], "start": f["start"], "centre": [m for m, _, _ in out], "inverse": [i for _, i, _ in out], "det": [x for _, _, x in out]})
 
-    return moments.mapInPandas(run, "g string, centre array<double>, inverse array<double>")
+    return moments.mapInPandas(run, "g string, start int, centre array<double>, inverse array<double>, det double")
+
+
+def _sums(rows, names):
+    """Counts, sums and sums of products of the columns ``names`` per group and start."""
+    d = len(names)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    sums = rows.groupBy("g", "start").agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"a{i}") for i, x in enumerate(names)],
+                                          *[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"b{k}") for k, (i, j) in enumerate(pairs)])
+    return sums.select("g", "start", "n", F.array(*[f"a{i}" for i in range(d)]).alias("s"), F.array(*[f"b{k}" for k in range(len(pairs))]).alias("ss"))
+
+
+def _starts(rows, middle, spread):
+    """First centres and scatters: the medians with the squared deviations, with the products of the parts' tanh, and
+    with those of the directions."""
+    names, d = list(VECTOR), len(VECTOR)
+    wide = {f"w{i}": F.sqrt(F.pow(1.4826 * F.col(f"s{i}"), 2) + VECTOR[x] ** 2) for i, x in enumerate(names)}
+    known = stage(middle.join(spread, "g").withColumns(wide), "starts")
+    diagonal = known.select("g", F.lit(0).alias("start"), F.array(*[f"m{i}" for i in range(d)]).alias("centre"), F.array(*[
+        F.pow(f"w{i}", F.lit(-2.0)) if i == j else F.lit(0.0) for i in range(d) for j in range(d)]).alias("inverse"), F.lit(float("inf")).alias("det"))
+    z = {f"z{i}": (F.col(x) - F.col(f"m{i}")) / F.col(f"w{i}") for i, x in enumerate(names)}
+    far = F.sqrt(sum((F.col(c) * F.col(c) for c in z), F.lit(1e-12)))
+    rows = rows.join(known, "g").withColumns(z).withColumn("far", far).select("g", F.explode(F.array(
+        *[F.struct(F.lit(k).alias("start"), *[part(f"z{i}").alias(f"y{i}") for i in range(d)]) for k, part in ((1, F.tanh), (2, lambda c: F.col(c) / F.col("far") * d ** 0.5))])).alias("y")).select("g", "y.*")
+    sums = _sums(rows, [f"y{i}" for i in range(d)]).join(known, "g")
+    # scatter of the centred, scaled parts about zero, brought back to the parts' own scale by the deviations
+    at = {(i, j): k for k, (i, j) in enumerate((i, j) for i in range(d) for j in range(i, d))}
+    back = sums.select("g", "start", F.array(*[f"m{i}" for i in range(d)]).alias("m"), F.lit(1.0).alias("n"), F.array(*[F.lit(0.0)] * d).alias("s"), F.array(*[
+        F.get("ss", F.lit(k)) / F.col("n") * F.col(f"w{i}") * F.col(f"w{j}") for (i, j), k in at.items()]).alias("ss"))
+    back = stage(back, "scatters")
+    made = _invert(back.drop("m")).drop("centre", "det").join(back.select("g", "start", F.col("m").alias("centre")), ["g", "start"])
+    return diagonal.unionByName(made.withColumn("det", F.lit(float("inf"))))
 
 
 def _distance():
@@ -104,7 +136,7 @@ def _distance():
 
 def _measured(rows, estimate):
     off, total = _distance()
-    return rows.join(estimate, "g").withColumns(off).withColumn("d2", total).drop(*off, "centre", "inverse")
+    return rows.join(estimate, "g").withColumns(off).withColumn("d2", total).drop(*off, "centre", "inverse", "det")
 
 
 def estimates(rows):
@@ -118,18 +150,26 @@ def estimates(rows):
     spread = rows.join(middle, "g").groupBy("g").agg(
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 1000).alias(f"s{i}") for i, x in enumerate(names)])
     d = len(names)
-    start = middle.join(spread, "g").select("g", F.array(*[F.col(f"m{i}") for i in range(d)]).alias("centre"), F.array(*[
-        1 / (F.pow(1.4826 * F.col(f"s{i}"), 2) + VECTOR[names[i]] ** 2) if i == j else F.lit(0.0) for i in range(d) for j in range(d)]).alias("inverse"))
-    estimate = stage(start, "estimate")
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    estimate = stage(_starts(rows, middle, spread), "estimate")
+    shares = [0.5 + k / 100 for k in range(51)]
     for _ in range(STEPS):
         measured = _measured(rows, estimate)
-        limit = measured.groupBy("g").agg(F.percentile_approx("d2", SHARE, 1000).alias("limit"))
-        inner = measured.join(limit, "g").where("d2 <= limit")
-        sums = inner.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"a{i}") for i, x in enumerate(names)],
-                                      *[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"b{k}") for k, (i, j) in enumerate(pairs)])
-        sums = sums.select("g", "n", F.array(*[f"a{i}" for i in range(d)]).alias("s"), F.array(*[f"b{k}" for k in range(len(pairs))]).alias("ss"))
-        estimate = stage(_invert(sums), "estimate")
+        limits = measured.groupBy("g", "start").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("d2", shares, 1000).alias("at"))
+        # the share of (n + d + 1) / 2 rows
+        place = F.least(F.lit(50), F.ceil(50 * (d + 1) / F.col("n")).cast("int"))
+        limits = stage(limits.select("g", "start", F.get("at", place).alias("limit")), "limits")
+        inner = measured.join(limits, ["g", "start"]).where("d2 <= limit")
+        new = _invert(_sums(inner, names)).withColumnRenamed("det", "new")
+        both = estimate.select("g", "start", "centre", "inverse", "det").alias("o").join(new.alias("n"), ["g", "start"])
+        falls = F.col("new") < F.col("det") - FALL
+        both = both.select("g", "start", *[F.when(falls, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in ("centre", "inverse")],
+                           F.when(falls, F.col("new")).otherwise(F.col("det")).alias("det"), falls.alias("moved"))
+        both = stage(both, "estimate")
+        estimate = both.drop("moved")
+        if both.where("moved").isEmpty():
+            break
+    best = estimate.groupBy("g").agg(F.min(F.struct("det", "start")).alias("b")).select("g", "b.start")
+    estimate = stage(estimate.join(best, ["g", "start"]).drop("start", "det"), "estimate")
     scale = _measured(rows, estimate).groupBy("g").agg((F.percentile_approx("d2", 0.5, 1000) / CHI_MEDIAN).alias("scale"))
     return stage(estimate.join(scale.withColumn("scale", F.greatest("scale", F.lit(1.0))), "g"), "estimates")
 
