@@ -3,8 +3,8 @@
 The kernel of two words counts common letter triples, also with up to two other letters in between: a triple
 spanning s letters weighs DECAY ** s. Words with letters inserted or left out still share most triples.
 Landmarks are words of the labelled sentences; a word's kernel values at them, whitened by the kernel of the
-landmarks among themselves (Nyström), are its features. The machine is trained on labelled sentences, which their
-worst words represent, re-picked after each round; a document is judged by the margins of its three worst words, of
+landmarks among themselves (Nyström), are its features. The machine is trained on words: bad ones that a
+likelihood-ratio test on labelled sentences chooses once, and clean ones to which each round adds the worst; a document is judged by the margins of its three worst words, of
 falling weight, and a logistic curve fitted on other documents turns that into a probability.
 
 Because the machine is linear in the kernel values and those are linear in the word's triples, the whole model folds into
