@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
-from tickloom.llm import contamination, language, outliers, personal, sharding, simhash, tokenfile, tokens, toxicity, warc
+from tickloom.llm import (capfilters, contamination, language, lexical, outliers, periodicity, personal, sharding, simhash,
+                          tokenfile, tokens, toxicity, warc)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -12,8 +13,13 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_decontamination": contamination.op9_decontamination,
     "op10_simhash": simhash.op10_simhash,
+    "op11_periodic_runs": periodicity.op11_periodic_runs,
+    "op12_embedding_duplicates": capfilters.op12_embedding_duplicates,
+    "op13_lexical_search": lexical.op13_lexical_search,
 }
 ORACLES = {
     "op3_warc": warc.OP3_SQL,
     "op9_decontamination": contamination.OP9_SQL,
+    "op12_embedding_duplicates": capfilters.OP12_SQL,
+    "op13_lexical_search": lexical.OP13_SQL,
 }
