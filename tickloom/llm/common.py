@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tickloom.session import materialize, shared_dir
 
-__all__ = ["append", "content_key", "read", "shared_dir", "small", "stage", "words_of"]
+__all__ = ["append", "content_key", "discard", "read", "shared_dir", "small", "stage", "words_of"]
 
 
 def read(spark, sf_dir, table):
@@ -18,6 +18,16 @@ def stage(df, name):
     return materialize(df, name)
 
 
+def discard(*stored):
+    """Delete the folders of staged tables that nothing reads any more, so that rounds do not pile up on disk."""
+    for df in stored:
+        spark = df.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 #: Rows up to which ``small`` lets a table of a few narrow columns go to every task.
 SMALL_ROWS = 1_000_000
 

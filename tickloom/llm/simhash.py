@@ -19,7 +19,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import append, read, small, stage
+from tickloom.llm.common import append, content_key, read, small, stage
 from tickloom.llm.graph import components
 from tickloom.llm.nearcopies import clusters as near_copies
 from tickloom.llm.nearcopies import shingle_hashes
@@ -123,19 +123,23 @@ def one_per_group(docs):
     without a word have nothing to compare and stay. Columns are those of ``docs``.
     """
     some = F.coalesce(F.col("text"), F.lit("")).rlike("[^ \\t-\\r]")
-    named = small(near_copies(docs.where(some))).withColumnRenamed("node", "__h")
-    rows = docs.where(some).select("doc_id", F.xxhash64("text").alias("__h")).groupBy("doc_id", "__h").agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.join(named, "__h", "left").withColumn("component_id", F.coalesce("root", "__h")).drop("root")
-    rows = stage(rows.withColumn("o", F.struct(F.col("doc_id").isNull(), "doc_id", "__h")), "members")
+    key = ["__k1", "__k2"]
+    named = small(stage(near_copies(docs.where(some)).withColumnsRenamed({"node": "__k1", "check": "__k2"}), "near"))
+    rows = docs.where(some).select("doc_id", *content_key(F.col("text"))).groupBy("doc_id", *key).agg(F.count(F.lit(1)).alias("n"))
+    # a text without near copies is a group of its own, named by both hashes
+    group = F.struct(F.coalesce("root", "__k1").alias("a"), F.when(F.col("root").isNull(), F.col("__k2")).alias("b"))
+    rows = rows.join(named, key, "left").withColumn("component_id", group).drop("root")
+    rows = stage(rows.withColumn("o", F.struct(F.col("doc_id").isNull(), "doc_id", *key)), "members")
     first = rows.groupBy("component_id").agg(F.min("o").alias("first")).withColumnRenamed("component_id", "__c")
     rows = rows.join(first, F.col("component_id").eqNullSafe(F.col("__c")))
     # what does not simply stay: the other members, and of a first one that is repeated all rows but one
-    odd = rows.where("o <> first or n > 1").select(F.col("doc_id").alias("__id"), F.col("__h").alias("__hash"), (F.col("o") == F.col("first")).alias("__first"))
+    odd = rows.where("o <> first or n > 1").select(F.col("doc_id").alias("__id"), F.col("__k1").alias("__h1"), F.col("__k2").alias("__h2"),
+                                                   (F.col("o") == F.col("first")).alias("__first"))
     odd = small(stage(odd, "dropped"))
-    wide = docs.withColumn("__h", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash"))
+    wide = docs.withColumns(dict(zip(key, content_key(F.col("text")))))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__k1") == F.col("__h1")) & (F.col("__k2") == F.col("__h2"))
     plain = wide.where(some).join(odd, same, "left_anti").select(*docs.columns)
-    repeated = wide.where(some).join(odd.where("__first"), same, "left_semi").dropDuplicates(["doc_id", "__h"]).select(*docs.columns)
+    repeated = wide.where(some).join(odd.where("__first"), same, "left_semi").dropDuplicates(["doc_id", *key]).select(*docs.columns)
     return plain.unionByName(repeated).unionByName(docs.where(~some))
 
 
