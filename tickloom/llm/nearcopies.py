@@ -10,8 +10,8 @@ The search is exact (up to equal 64-bit hashes of shingles) and goes in three st
   prefix: near copies have a common shingle in both prefixes, and after the first one enough shingles must remain on
   both sides. A passage that many unlike texts hold is not rare and hence in no prefix.
 * Texts that meet in a prefix shingle are verified on their sets of shingles, not on their texts. Of few texts all pairs are
-  looked at; many are compared with their smallest one first, and links drawn together, as texts of one component need
-  no look any more. What then still meets with different components is compared in pairs that pass the filters.
+  looked at; many are compared first with the one that has fewest rarer shingles (the text that the others were made
+  from, as a rule), and links drawn together, as texts of one component need no look any more. What then still meets with different components is compared in pairs that pass the filters.
 """
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ WIDTH = 5
 #: Similarity 4/5: sets of sizes m and n with c in common reach it if 9 c >= 4 (m + n).
 SHARE = 0.3
 #: Texts that meet in a shingle of which all pairs are looked at; rounds of one text against the others before all are.
-FEW, ROUNDS = 6, 4
+FEW, ROUNDS = 6, 2
 SEED = 42
 _BOUND = np.uint64(int(SHARE * 2 ** 64))
 
@@ -160,7 +160,7 @@ def clusters(docs, text="text"):
         named = met.withColumn("root", F.col("node")) if tops is None else met.join(tops, "node", "left").withColumn("root", F.coalesce("root", "node"))
         named = named.select("h", "node", "m", "at", "root")
         buckets = named.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"),
-                                         F.min(F.struct("node", "root", "m", "at")).alias("first")).where("low <> high")
+                                         F.min(F.struct((F.col("at") / F.col("m")).alias("share"), "node", "root", "m", "at")).alias("first")).where("low <> high")
         named = stage(named.join(buckets.select("h", "n", "first"), "h"), "named")
         if named.isEmpty():
             break
