@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickloom.constants import INDICATOR_COLUMNS
 from tickloom.operators.indicators import stored_indicators
-from tickloom.sources import archive, readers, sinks
+from tickloom.sources import archive, changelog, readers, sinks
 from tickloom.streaming import bars as sbars
 from tickloom.streaming import cycles, indicators, source
 
@@ -119,10 +119,10 @@ def test_alert_cooldown(spark, tmp_path):
 def test_late_bars_merge_twice(spark, small, tmp_path):
     path = str(tmp_path / "table")
     rows = small.bars_of("H4").select(*KEYS, "open_price", "high_price", "low_price", "close_price", "volume", "spread", F.lit(1).alias("ingest_time"))
-    handle = sbars.merge_into(path)
+    handle = changelog.merge_into(path)
     handle(rows, 0)
     late = rows.withColumns({"high_price": F.col("high_price") + 1, "ingest_time": F.lit(2)})
     handle(late, 1)
     handle(late, 1)
-    got = spark.read.parquet(path)
+    got = changelog.read(spark, path)
     assert got.count() == rows.count() and got.where("ingest_time = 2").count() == rows.count()

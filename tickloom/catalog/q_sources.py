@@ -279,10 +279,11 @@ def s30(v):
     return sinks.delete_where(kept, old).select(*KEYS)
 
 
-@query("s31_schema_evolution", "SELECT account_id, timestamp, balance, CAST(NULL AS DOUBLE) AS margin_level, CAST(NULL AS INTEGER) AS total_positions FROM account_state")
+@query("s31_schema_evolution", "SELECT account_id, timestamp, balance, margin_level, CAST(NULL AS DOUBLE) AS risk_score, CAST(NULL AS INTEGER) AS open_orders FROM account_state")
 def s31(v):
-    return sinks.add_columns(v.account_state, {"margin_level": "double", "total_positions": "int", "balance": "double"}).select(
-        "account_id", "timestamp", "balance", "margin_level", "total_positions")
+    """Two columns are new, one is there already and keeps its values."""
+    return sinks.add_columns(v.account_state, {"margin_level": "double", "risk_score": "double", "open_orders": "int"}).select(
+        "account_id", "timestamp", "balance", "margin_level", "risk_score", "open_orders")
 
 
 @query("s32_column_inspection", " UNION ALL ".join(

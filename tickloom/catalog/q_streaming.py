@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 from tickloom.catalog.base import query, r, rs
 from tickloom.catalog.oracle_views import half_up, session
 from tickloom.catalog.q_classify import DEFAULTS
-from tickloom.session import shared_dir
-from tickloom.sources import sinks
+from tickloom.session import materialize, shared_dir
+from tickloom.sources import changelog, sinks
 from tickloom.streaming import bars as sbars
 from tickloom.streaming import cycles, indicators, source
+from tickloom.streaming.tail import BarTail
 
 KEYS = ["symbol", "timeframe", "open_time"]
 OHLC = ["open_price", "high_price", "low_price", "close_price"]
@@ -61,14 +62,24 @@ def t02(v):
     return run_to_frame(v, stream).select(*KEYS, "n", *[r(c) for c in IND])
 
 
+def seeded_tail(v):
+    """(tail of all bars up to a day before the newest, stream of the later ones)."""
+    stored = materialize(v.bars, "stored")
+    cut = v.now(stored) - F.expr("INTERVAL 1 DAY")
+    tail = BarTail(shared_dir(v.spark, "tail"))
+    tail.seed(stored.where(F.col("open_time") <= cut))
+    return tail, stored_stream(v, stored.where(F.col("open_time") > cut))
+
+
 @query("t03_live_exporters", """SELECT symbol, max(open_time) AS snapshot_time, 5 + CAST(max(x) AS INTEGER) AS exported FROM (SELECT m.symbol, m.open_time,
 CAST(EXISTS (SELECT 1 FROM closed_trades c WHERE c.symbol = m.symbol AND c.time > (SELECT max(y.open_time) FROM m1 y WHERE y.symbol = m.symbol) - INTERVAL 1 HOUR) AS INTEGER) AS x FROM m1 m) GROUP BY 1""")
 def t03(v):
+    """The tail is seeded with all bars but those of the last day, which come as a stream."""
     path = shared_dir(v.spark, "snapshots")
-    load = lambda: {"bars": v.indicators, "account_state": v.account_state, "open_trades": v.open_trades,
-                    "closed_trades": v.closed_trades, "planned": v.planned_trades}
-    clock = stored_stream(v, v.m1.select("symbol").distinct())
-    source.finish(source.per_batch(clock, cycles.exporters(load, path)))
+    load = lambda: {"account_state": v.account_state, "open_trades": v.open_trades, "closed_trades": v.closed_trades,
+                    "planned": v.planned_trades}
+    tail, feed = seeded_tail(v)
+    source.finish(source.per_batch(feed, cycles.exporters(tail, load, path)))
     return v.spark.read.parquet(path).select("symbol", "snapshot_time", "exported")
 
 
@@ -77,13 +88,13 @@ close_price + 1e0 AS close_price, volume + 3 AS volume FROM bars WHERE timeframe
 def t05(v):
     """The table holds all H4 bars; a stream of corrected bars is merged into it."""
     path = shared_dir(v.spark, "merged")
-    old = v.bars_of("H4").select(*KEYS, *OHLC, "volume", "spread", F.lit(1).alias("ingest_time"), F.to_date("open_time").alias("day"))
-    old.write.partitionBy("timeframe", "symbol", "day").parquet(path)
+    old = v.bars_of("H4").select(*KEYS, *OHLC, "volume", "spread", F.lit(1).alias("ingest_time"))
+    changelog.create(old, path)
     c = F.col("close_price")
     new = old.select(*KEYS, "open_price", (c + 2).alias("high_price"), (c - 2).alias("low_price"), (c + 1).alias("close_price"),
                      (F.col("volume") + 3).alias("volume"), "spread", F.lit(2).alias("ingest_time"))
-    source.finish(source.per_batch(stored_stream(v, new), sbars.merge_into(path)))
-    return v.spark.read.parquet(path).select(*KEYS, *OHLC, "volume")
+    source.finish(source.per_batch(stored_stream(v, new), changelog.merge_into(path)))
+    return changelog.read(v.spark, path).select(*KEYS, *OHLC, "volume")
 
 
 @query("t05_repeated_bars", "SELECT symbol, timeframe, open_time, close_price FROM bars WHERE timeframe = 'H4'")
@@ -162,15 +173,8 @@ def t13(v):
 @query("v03_live_vectors", """SELECT symbol, max(open_time) AS snapshot_time, CAST(152 AS INTEGER) AS length FROM m1 GROUP BY 1""")
 def v03(v):
     """The vector of each symbol's newest bar, upserted per batch."""
-    from tickloom.plans import documents, vectors
     path = shared_dir(v.spark, "vectors")
-    bars = v.bars.withColumn("atr", F.lit(None).cast("double"))
-
-    def handle(batch, batch_id):
-        points = documents.newest_m1(batch)
-        made = vectors.snapshot_vectors(points, bars).withColumnRenamed("at", "snapshot_time")
-        made.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    source.finish(source.per_batch(stored_stream(v, v.m1), handle))
+    tail, feed = seeded_tail(v)
+    source.finish(source.per_batch(feed, cycles.live_vectors(tail, path)))
     rows = v.spark.read.parquet(path)
     return rows.select("symbol", "snapshot_time", F.size("vector").alias("length"))

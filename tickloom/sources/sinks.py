@@ -102,12 +102,28 @@ def add_columns(table, fields):
 
 # --- writers -----------------------------------------------------------------------
 
-def overwrite_partitions(df, path, by=("timeframe", "symbol"), per_file=5000000):
+PER_FILE = 5000000
+
+
+def write_spread(df, path, by, mode, per_file=PER_FILE, time="open_time"):
+    """Write ``df`` by the columns ``by`` with as few files as its size needs: rows of a partition go to one task, a
+    partition of more than ``per_file`` rows to as many tasks as it has that many rows. Overwriting replaces only
+    partitions that are in ``df``. ``df`` should be stored, as it is counted first."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    parts = -(-sizes // per_file) or 1
+    salt = F.pmod(F.xxhash64(time), F.lit(parts))
+    spread = df.repartition(*by, salt) if by else df.repartition(parts)
+    writer = spread.sortWithinPartitions(*by, time).write.mode(mode)
+    if by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    writer.parquet(path)
+
+
+def overwrite_partitions(df, path, by=("timeframe", "symbol"), per_file=PER_FILE, time=None):
     """Replace the partitions present in ``df``. The result is stored first because it may
     be computed from the very table."""
-    df = materialize(df, "staged")
-    (df.sortWithinPartitions(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", per_file).partitionBy(*by).parquet(path))
+    time = time or ("open_time" if "open_time" in df.columns else next(c for c in df.columns if c not in by))
+    write_spread(materialize(df, "staged"), path, by, "overwrite", per_file, time)
 
 
 def write_bars(bars, path):

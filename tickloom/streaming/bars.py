@@ -1,10 +1,8 @@
 """Ticks to bars, late bars, sliding ranges and the bar feed."""
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tickloom.functions import classify
-from tickloom.sources.sinks import BAR_KEY, merge_bars, overwrite_partitions
+from tickloom.sources.sinks import BAR_KEY
 
 
 def closed_bars(ticks, seconds, timeframe, delay="1 minute"):
@@ -35,24 +33,3 @@ def enriched(bars):
 def without_repeats(bars, delay="1 hour"):
     """Drop repeated deliveries of the same bar inside the watermark."""
     return bars.withWatermark("open_time", delay).dropDuplicatesWithinWatermark(BAR_KEY)
-
-
-def merge_into(path, by=("timeframe", "symbol", "day")):
-    """Micro-batch handler: merge late or corrected bars into the partitions they touch.
-
-    Only the touched partitions are read and rewritten; merging a batch twice changes
-    nothing, so a retried batch is harmless.
-    """
-    def handle(batch, batch_id):
-        spark = batch.sparkSession
-        new = batch.withColumn("day", F.to_date("open_time"))
-        try:
-            old = spark.read.parquet(path)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            old = new.limit(0)
-        touched = old.join(new.select(*by).distinct(), list(by), "left_semi").select(*new.columns)
-        merged = merge_bars(touched, new).withColumn("day", F.to_date("open_time"))
-        overwrite_partitions(merged, path, by)
-    return handle

@@ -5,8 +5,13 @@ taken in time order behind a watermark. A bar not newer than the last one taken
 repeat and ignored; series with fewer than ``minimum`` bars stay silent, as the batch loop does.
 """
 import pandas as pd
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
+from tickloom.constants import TF_SECONDS, TICK_TF_SECONDS
+from tickloom.operators.ewm import HORIZON
+from tickloom.operators.indicators import index_with_obv
+from tickloom.operators.sequence import SERIES
 from tickloom.streaming import order
 
 RESULT = ("symbol string, timeframe string, open_time timestamp, n long, atr double, adx double, ema double, macd double, "
@@ -49,7 +54,7 @@ def _bands(s):
 
 def _step(s, bar):
     _, h, l, c, v = bar
-    first = s["n"] == 0
+    first = not s["closes"]
     ph, pl, pc = (None, None, None) if first else (s["highs"][-1], s["lows"][-1], s["closes"][-1])
     tr = h - l if first else max(h - l, abs(h - pc), abs(l - pc))
     up, down = (0.0, 0.0) if first else (h - ph, pl - l)
@@ -82,34 +87,63 @@ def _step(s, bar):
             "willr": -100 * (high - c) / (high - low) if wide else None}
 
 
-def live_indicators(bars, minimum=150, delay="0 seconds"):
-    """Indicator rows of a stream of closed bars. ``delay`` is how far behind the newest bar
-    the feed may still deliver (0 where every batch holds whole commits of the bar table)."""
-    names = [x.split()[0] for x in STATE.split(", ")]
-    columns = [x.split()[0] for x in RESULT.split(", ")]
-
-    def update(key, frames, state):
-        if state.exists:
-            values = state.get
-            s, waiting = dict(zip(names, values)), order.load(values[len(names):])
-            for name in ("highs", "lows", "closes"):
-                s[name] = list(s[name])
-        else:
-            s, waiting = dict.fromkeys(names), []
-            s.update(n=0, last_us=-1, obv=0.0, highs=[], lows=[], closes=[])
-        ready, waiting = order.take_ready(waiting, frames, state)
+NAMES = [x.split()[0] for x in STATE.split(", ")]
+COLUMNS = [x.split()[0] for x in RESULT.split(", ")]
+BAR = {"high_price": "double", "low_price": "double", "close_price": "double", "volume": "long"}
+
+
+class LiveIndicators(order.InTimeOrder):
+    """State of a series: its means, its running totals and its last twenty bars."""
+
+    def __init__(self, minimum):
+        super().__init__(BAR, "open_time", STATE)
+        self.minimum = minimum
+
+    def span(self, key):
+        seconds = TF_SECONDS.get(key[1]) or TICK_TF_SECONDS.get(key[1])
+        if not seconds:
+            raise ValueError(f"unknown timeframe: {key[1]}")
+        return seconds * order.BLOCK_ROWS * 1000000
+
+    def start(self):
+        s = dict.fromkeys(NAMES)
+        s.update(n=0, last_us=-1, obv=0.0, highs=[], lows=[], closes=[])
+        return tuple(s[n] for n in NAMES)
+
+    def seeded(self, key, stored):
+        """The totals in front of the first stored bar."""
+        s = dict(zip(NAMES, self.start()))
+        return tuple({**s, "n": int(stored["n"].min()), "obv": float(stored["base"].iloc[0])}[n] for n in NAMES)
+
+    def take(self, key, state, rows):
+        s = dict(zip(NAMES, state))
+        for name in ("highs", "lows", "closes"):
+            s[name] = list(s[name])
         out = []
-        for bar in ready:
+        for bar in rows:
             if bar[0] <= s["last_us"]:
                 continue
             row = _step(s, bar)
             s["last_us"] = bar[0]
-            if row["n"] >= minimum:
+            if row["n"] >= self.minimum:
                 out.append({"symbol": key[0], "timeframe": key[1], "open_time": pd.Timestamp(bar[0], unit="us"), **row})
-        state.update((*(s[n] for n in names), *order.store(waiting)))
-        yield pd.DataFrame(out, columns=columns)
+        return tuple(s[n] for n in NAMES), order.frame(out, COLUMNS) if out else None
+
+
+def seed_rows(bars, keep=HORIZON + KEEP):
+    """The last ``keep`` stored bars of each series with the totals in front of them: enough to go on from a stored
+    table, as the weight of older bars in any mean is below the resolution of a double."""
+    last = Window.partitionBy(*SERIES).orderBy(F.desc("_rn"))
+    rows = index_with_obv(bars).withColumn("_k", F.row_number().over(last)).where(F.col("_k") <= keep)
+    first = F.min_by("obv", "_rn").over(Window.partitionBy(*SERIES))
+    return rows.select(*SERIES, "open_time", *[F.col(c).cast(t).alias(c) for c, t in BAR.items()],
+                       F.col("_rn").cast("long").alias("n"), first.alias("base"))
+
 
-    rows = bars.withWatermark("open_time", delay).select("symbol", "timeframe", "open_time", "high_price", "low_price",
-                                                         "close_price", "volume")
-    return rows.groupBy("symbol", "timeframe").applyInPandasWithState(
-        update, RESULT, f"{STATE}, {order.PENDING}", "append", GroupStateTimeout.EventTimeTimeout)
+def live_indicators(bars, minimum=150, delay="0 seconds", stored=None):
+    """Indicator rows of a stream of closed bars. ``delay`` is how far behind the newest bar the feed may still deliver
+    (0 where every batch holds whole commits of the bar table). With ``stored``, a table of older bars, the series go on
+    from there: nothing is emitted for those, and of the stream only later bars count."""
+    rows = bars.withWatermark("open_time", delay).select(
+        *SERIES, "open_time", *[F.col(c).cast(t).alias(c) for c, t in BAR.items()])
+    return order.run(rows, SERIES, LiveIndicators(minimum), RESULT, seed_rows(stored) if stored is not None else None)
