@@ -7,7 +7,7 @@ from tickloom.constants import FULL_LIMITS, PATTERN_LIMITS, TF_SECONDS
 from tickloom.functions import classify
 from tickloom.operators import outcome
 from tickloom.operators.asof import asof_join, context_at
-from tickloom.operators.rangejoin import range_join
+from tickloom.operators.rangejoin import range_join, valid_at
 from tickloom.operators.resample import floor_time
 from tickloom.operators.sequence import epoch
 from tickloom.plans import features, trades
@@ -109,6 +109,15 @@ def j06(v):
         F.max("trade_id").alias("newest_trade"))
 
 
+@query("j06_valid_counts", f"""SELECT p.symbol, p.at, count(o.trade_id) AS n_open, round(coalesce(sum(o.open_price), 0), 4) + 0e0 AS price_sum
+FROM {MINUTE_POINTS} p LEFT JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at AND (o.close_time IS NULL OR o.close_time > p.at) GROUP BY 1, 2""")
+def j06_counts(v):
+    """Number and price sum of the trades open at every M1 time, by a sweep over starts and ends."""
+    held = v.open_trades.withColumnRenamed("open_time", "trade_time")
+    counts = valid_at(minute_points(v), held, ["symbol"], "at", "trade_time", "close_time", ["open_price"], "n_open")
+    return counts.select("symbol", "at", "n_open", (F.round("open_price_sum", 4) + 0.0).alias("price_sum"))
+
+
 STOPS = ("SELECT magic_number, arg_min(sl, timestamp) AS original_sl, arg_min(tp, timestamp) AS original_tp FROM planned_trades "
          "WHERE sl IS NOT NULL AND tp IS NOT NULL GROUP BY 1")
 
