@@ -8,6 +8,7 @@ from tickloom.catalog.oracle_views import full as sql_full
 from tickloom.constants import TICK_TF_SECONDS
 from tickloom.functions import classify
 from tickloom.operators import outcome, resample
+from tickloom.operators.ewm import ewm
 from tickloom.operators.indicators import on_balance_volume, ratio, stored_indicators
 from tickloom.operators.sequence import SERIES, block_window, full, ranged, rolling, rows_back, running_total, with_row_index
 from tickloom.plans import features
@@ -50,6 +51,17 @@ def w05(v):
     return running_total(v.bars, F.col("volume"), "running_volume").select(*KEYS, "running_volume")
 
 
+@query("w06_ewm_any_smoothing", """SELECT * FROM (WITH RECURSIVE s AS (SELECT symbol, timeframe, open_time, close_price AS x, row_number() OVER (PARTITION BY symbol, timeframe ORDER BY open_time) AS i FROM bars),
+e AS (SELECT symbol, timeframe, open_time, i, x + 0e0 AS fast, x + 0e0 AS slow FROM s WHERE i = 1 UNION ALL
+SELECT s.symbol, s.timeframe, s.open_time, s.i, 0.7e0 * e.fast + 0.3e0 * s.x, (199e0 / 201e0) * e.slow + (2e0 / 201e0) * s.x
+FROM e JOIN s ON s.symbol = e.symbol AND s.timeframe = e.timeframe AND s.i = e.i + 1)
+SELECT symbol, timeframe, open_time, round(fast, 6) + 0e0 AS fast, round(slow, 6) + 0e0 AS slow FROM e)""")
+def w06_any(v):
+    """Means of a quick and a slow smoothing, beyond those that fit the halo of a block."""
+    out = ewm(ewm(v.bars.select(*KEYS, "close_price"), "close_price", 0.3, "fast"), "close_price", 2 / 201, "slow")
+    return out.select(*KEYS, r("fast"), r("slow"))
+
+
 @query("e01_ewm_rows", f"SELECT {KEYSQL}, {rs('ema', 'atr', 'adx')} FROM ind WHERE timeframe IN ('M1', 'H1')")
 def e01(v):
     return stored_indicators(v.bars_of("M1", "H1"), ["ema", "atr", "adx"]).select(*KEYS, r("ema"), r("atr"), r("adx"))
