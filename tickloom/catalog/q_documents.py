@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from tickloom.catalog.base import query, r, rs
 from tickloom.catalog.oracle_views import session
-from tickloom.catalog.q_joins import (HOUR_POINTS, MARKET_SQL, MINUTE_POINTS, ONE_SIDED, STOPS, context_sql, hour_points,
-                                      limits_sql, minute_points)
+from tickloom.catalog.q_joins import (MARKET_SQL, MINUTE_POINTS, ONE_SIDED, STOPS, context_sql, limits_sql,
+                                      minute_points)
 from tickloom.catalog.q_quality import SPREAD_A
 from tickloom.constants import COMPACT_LIMITS, DOCUMENT_TIMEFRAMES, FULL_LIMITS, INDICATOR_COLUMNS, PATTERN_LIMITS
 from tickloom.functions.scalar import first_present, json_number, json_text, utc_text
@@ -95,9 +95,9 @@ def ohlc_sql(inner, m1="M1"):
     return f'SELECT symbol, "at", {sizes}, round(sum(close_sum), 3) + 0e0 AS close_sum, {last} FROM ({inner}) GROUP BY symbol, "at"'
 
 
-@query("d03_history_ohlc", ohlc_sql(context_sql(FULL_LIMITS, HOUR_POINTS).replace("round(c.close_sum, 4)", "c.close_sum")))
+@query("d03_history_ohlc", ohlc_sql(context_sql(FULL_LIMITS, MINUTE_POINTS).replace("round(c.close_sum, 4)", "c.close_sum")))
 def d03(v):
-    return ohlc_digest(d.history_ohlc(hour_points(v), v.indicators))
+    return ohlc_digest(d.history_ohlc(minute_points(v), v.indicators))
 
 
 @query("d03_live_ohlc", ohlc_sql(f"""SELECT l.symbol, l.at, k.timeframe, k.k AS n_candles, k.cs AS close_sum,
@@ -185,17 +185,17 @@ def d05_live_fields(v):
 @query("d05_history_trade_fields", f"""SELECT p.symbol, p.at, {place('o.open_time, o.trade_id', 'p.symbol, p.at')}, o.trade_id AS t_trade_id, o.symbol AS t_symbol, o.order_type AS t_type,
 o.lot_size AS t_volume, o.open_price AS t_open_price, o.sl AS t_stop_loss, o.tp AS t_take_profit, 0e0 AS t_profit, 0e0 AS t_commission, 0e0 AS t_swap,
 {ISO.format(t='o.open_time')} AS t_open_time, coalesce(o.comment, '') AS t_comment, o.magic_number AS t_magic
-FROM {HOUR_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at AND (o.close_time IS NULL OR o.close_time > p.at)""")
+FROM {MINUTE_POINTS} p JOIN open_trades o ON p.symbol = o.symbol AND o.open_time <= p.at AND (o.close_time IS NULL OR o.close_time > p.at)""")
 def d05_history_fields(v):
-    return trade_rows(trades.open_trade_documents(hour_points(v), v.open_trades), "symbol", "at")
+    return trade_rows(trades.open_trade_documents(minute_points(v), v.open_trades), "symbol", "at")
 
 
 @query("d06_history_trade_fields", f"""SELECT p.symbol, p.at, {place('c.time DESC, c.id DESC', 'p.symbol, p.at')}, c.id AS t_trade_id, c.symbol AS t_symbol, c.type AS t_type, c.volume AS t_volume,
 c.entry_price AS t_open_price, c.exit_price AS t_close_price, CAST(NULL AS DOUBLE) AS t_stop_loss, CAST(NULL AS DOUBLE) AS t_take_profit, c.profit AS t_profit,
 0e0 AS t_commission, 0e0 AS t_swap, {ISO.format(t='c.time')} AS t_open_time, {ISO.format(t='c.time')} AS t_close_time, coalesce(c.comment, '') AS t_comment, 0 AS t_magic
-FROM {HOUR_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at AND c.time > p.at - INTERVAL 24 HOUR""")
+FROM {MINUTE_POINTS} p JOIN closed_trades c ON p.symbol = c.symbol AND c.time <= p.at AND c.time > p.at - INTERVAL 24 HOUR""")
 def d06_history_fields(v):
-    return trade_rows(trades.closed_trade_documents(hour_points(v), v.closed_trades), "symbol", "at")
+    return trade_rows(trades.closed_trade_documents(minute_points(v), v.closed_trades), "symbol", "at")
 
 
 SINCE = "(SELECT symbol, max(open_time) - INTERVAL 1 HOUR AS since FROM m1 GROUP BY 1)"

@@ -13,7 +13,6 @@ from tickloom.operators.sequence import epoch
 from tickloom.plans import features, trades
 
 KEYS = ["symbol", "timeframe", "open_time"]
-HOUR_POINTS = "(SELECT symbol, open_time AS at FROM bars WHERE timeframe = 'H1')"
 
 
 def limits_sql(limits):
@@ -23,10 +22,6 @@ def limits_sql(limits):
 MINUTE_POINTS = "(SELECT symbol, open_time AS at FROM m1)"
 
 
-def hour_points(v):
-    return v.bars_of("H1").select("symbol", F.col("open_time").alias("at"))
-
-
 def minute_points(v):
     return v.m1.select("symbol", F.col("open_time").alias("at"))
 
@@ -63,9 +58,9 @@ def j01_closed(v):
     return context_digest(context_at(minute_points(v), v.bars, CANDLE, PATTERN_LIMITS, visible="closed"))
 
 
-@query("j01_asof_last_n_full", context_sql(FULL_LIMITS, HOUR_POINTS))
+@query("j01_asof_last_n_full", context_sql(FULL_LIMITS, MINUTE_POINTS))
 def j01_full(v):
-    return context_digest(context_at(hour_points(v), v.bars, CANDLE, FULL_LIMITS))
+    return context_digest(context_at(minute_points(v), v.bars, CANDLE, FULL_LIMITS))
 
 
 @query("j02_asof_latest", """SELECT p.symbol, p.at, a.timestamp AS state_time, a.balance, a.profit

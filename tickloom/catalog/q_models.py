@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tickloom.catalog.base import query, r, rs
 from tickloom.catalog.oracle_views import SERIES as OVER
-from tickloom.catalog.q_joins import HOUR_POINTS, hour_points, limits_sql, minute_points
+from tickloom.catalog.q_joins import MINUTE_POINTS, limits_sql, minute_points
 from tickloom.constants import PATTERN_LIMITS
 from tickloom.operators.indicators import ratio
 from tickloom.operators.sequence import block_window, rolling, rows_back
@@ -38,9 +38,9 @@ def with_atr(v):
     return v.bars.withColumn("atr", F.lit(None).cast("double"))
 
 
-@query("v01_snapshot_vectors", vector_sql(HOUR_POINTS))
+@query("v01_snapshot_vectors", vector_sql(MINUTE_POINTS))
 def v01(v):
-    return vector_digest(vectors.snapshot_vectors(hour_points(v), with_atr(v)))
+    return vector_digest(vectors.snapshot_vectors(minute_points(v), with_atr(v)))
 
 
 @query("v02_vector_backfill", vector_sql(MINUTES))
@@ -50,18 +50,18 @@ def v02(v):
 
 @query("v01_vectors_zscore")
 def v01_z(v):
-    return vector_digest(vectors.snapshot_vectors(hour_points(v), v.indicators, ("close", "rsi"), mode="zscore"))
+    return vector_digest(vectors.snapshot_vectors(minute_points(v), v.indicators, ("close", "rsi"), mode="zscore"))
 
 
 @query("v01_vectors_atr")
 def v01_atr(v):
-    return vector_digest(vectors.snapshot_vectors(hour_points(v), v.indicators, ("high", "low", "close"), mode="atr"))
+    return vector_digest(vectors.snapshot_vectors(minute_points(v), v.indicators, ("high", "low", "close"), mode="atr"))
 
 
-@query("v04_vector_checks", "SELECT count(*) AS vectors, CAST(0 AS BIGINT) AS wrong_length, CAST(0 AS BIGINT) AS with_nan, CAST(0 AS BIGINT) AS missing FROM bars WHERE timeframe = 'H1'")
+@query("v04_vector_checks", "SELECT count(*) AS vectors, CAST(0 AS BIGINT) AS wrong_length, CAST(0 AS BIGINT) AS with_nan, CAST(0 AS BIGINT) AS missing FROM m1")
 def v04(v):
-    made = vectors.snapshot_vectors(hour_points(v), with_atr(v))
-    return vectors.check_vectors(made, hour_points(v), vectors.vector_length())
+    made = vectors.snapshot_vectors(minute_points(v), with_atr(v))
+    return vectors.check_vectors(made, minute_points(v), vectors.vector_length())
 
 
 @query("v06_outcome_labels", """SELECT symbol, open_time AS "at", CAST(152 AS INTEGER) AS length,

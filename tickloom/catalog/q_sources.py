@@ -150,6 +150,71 @@ def s14(v):
     return v.spark.read.option("header", True).schema("time string, open string, close string, high string, low string").csv(path)
 
 
+RANGE = """concat(symbol, '-', strftime(make_timestamp(epoch_us({t}) // {us} * {us}), '%Y_%m_%d'), '-',
+strftime(make_timestamp(epoch_us({t}) // {us} * {us} + {us} - 86400000000), '%Y_%m_%d'), '.csv')"""
+
+
+def read_files(v, path, schema):
+    """The lines of all files with their file's name and their place in it."""
+    rows = v.spark.read.option("header", True).schema(schema).csv(path)
+    return rows.select(F.col("_metadata.file_name").alias("file_name"), "*")
+
+
+@query("s14_candle_files", f"""SELECT {RANGE.format(t='open_time', us=7 * 86400000000)} AS file_name, strftime(open_time, '%Y-%m-%d %H:%M:%S') AS time, format('{{:.5f}}', open_price) AS open,
+format('{{:.5f}}', close_price) AS close, format('{{:.5f}}', high_price) AS high, format('{{:.5f}}', low_price) AS low FROM bars WHERE timeframe = 'M15'""")
+def s14_candles(v):
+    """Candle files of a week per symbol, read back."""
+    path = shared_dir(v.spark, "candles")
+    sinks.write_candle_files(v.bars_of("M15"), path, days=7, header=True)
+    return read_files(v, path, "time string, open string, close string, high string, low string")
+
+
+@query("s14_tick_files", f"""SELECT {RANGE.format(t='ts', us=86400000000)} AS file_name, strftime(ts, '%Y-%m-%d %H:%M:%S.') || lpad(CAST(epoch_us(ts) // 1000 % 1000 AS VARCHAR), 3, '0') AS time,
+format('{{:.5f}}', price) AS ask, format('{{:.5f}}', price - 0.5e0) AS bid, tick_id % 7 AS ask_volume, tick_id % 5 AS bid_volume FROM ticks""")
+def s14_ticks(v):
+    """Tick files of a day per symbol, read back."""
+    path = shared_dir(v.spark, "ticks")
+    ticks = v.ticks.select("symbol", F.col("ts").alias("time"), F.col("price").alias("ask"), (F.col("price") - 0.5).alias("bid"),
+                           (F.col("tick_id") % 7).alias("ask_volume"), (F.col("tick_id") % 5).alias("bid_volume"), "tick_id")
+    sinks.write_tick_files(ticks, path, header=True, tie=["tick_id"])
+    return read_files(v, path, "time string, ask string, bid string, ask_volume long, bid_volume long")
+
+
+@query("s08_bar_file_folder", f"""SELECT symbol, timeframe, open_time, {OHLCSQL}, CAST(0 AS BIGINT) AS volume, CAST(NULL AS VARCHAR) AS reason FROM bars WHERE timeframe IN ('H1', 'H4', 'D1')
+UNION ALL SELECT symbol, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'columns' FROM (SELECT DISTINCT symbol FROM bars)
+UNION ALL SELECT 'notes', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'name' UNION ALL SELECT 'import', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'name'""")
+def s08(v):
+    """A folder of bar files of all symbols and three timeframes, beside it files without the close column, a file with a
+    bad name and one that an earlier import wrote: good files are read, the others listed with the reason."""
+    folder = shared_dir(v.spark, "folder")
+    bars = v.bars_of("H1", "H4", "D1")
+    lines = bars.select(F.concat(F.lower("symbol"), F.lit("-"), F.lower("timeframe")).alias("symbol"), F.col("open_time"),
+                        (F.unix_seconds("open_time") * 1000).alias("timestamp"), F.col("open_price").alias("open"),
+                        F.col("high_price").alias("high"), F.col("low_price").alias("low"), F.col("close_price").alias("close"))
+    values = ["timestamp", "open", "high", "low", "close"]
+    whole = 36500
+    sinks._named_files(lines.withColumn("symbol", F.concat("symbol", F.lit("-bid"))), "open_time", values, folder, whole, True)
+    short = lines.where("symbol like '%-d1'").withColumn("symbol", F.regexp_replace("symbol", "d1$", "m30-bid"))
+    sinks._named_files(short, "open_time", values[:4], folder, whole, True)
+    one = lines.where("symbol = 's0-d1'")
+    for name in ("notes", "s0-d1-bid-1-2-import"):
+        made = shared_dir(v.spark, "one")
+        sinks._named_files(one.withColumn("symbol", F.lit("x")), "open_time", values, made, whole, True)
+        rename(v.spark, made, f"{folder}/{name}.csv")
+    good, bad = readers.read_bar_folder(v.spark, folder)
+    name = F.when(F.col("reason") == "columns", F.upper(F.split("file_name", "-")[0])).when(
+        F.col("file_name").endswith("-import.csv"), "import").otherwise(F.split("file_name", "\\.")[0])
+    return good.select(*KEYS, *OHLC, "volume").withColumn("reason", F.lit(None).cast("string")).unionByName(
+        bad.select(name.alias("symbol"), "reason"), allowMissingColumns=True)
+
+
+def rename(spark, folder, target):
+    """Give the only file of a folder its name."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.rename(fs.globStatus(path(f"{folder}/*.csv"))[0].getPath(), path(target))
+
+
 # --- merges ------------------------------------------------------------------------
 
 def snapshot_halves(v):

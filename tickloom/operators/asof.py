@@ -11,7 +11,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.constants import PATTERN_LIMITS
-from tickloom.operators.sequence import SERIES, block_window, literal_map, rolling, tf_seconds
+from tickloom.operators.sequence import SERIES, block_window, epoch, literal_map, rolling, tf_seconds, with_row_index
+from tickloom.session import materialize
 
 BLOCK = 4 * 3600  # span of the (key, time) blocks
 
@@ -64,22 +65,60 @@ def last_bars(bars, limits, fields, name="candles"):
     return rolling(chosen, {name: F.collect_list(F.struct(*fields)).over(frame)}, halo=max(limits.values()) - 1)
 
 
-def context_at(points, bars, fields, limits=PATTERN_LIMITS, visible="open"):
-    """For each (symbol, at) the last N bars of every timeframe at that time.
+#: Seconds of points that share one stretch of bars, and bars of a stored block.
+CHUNK, STRETCH = 6 * 3600, 256
+
+
+def contexts(points, bars, fields, limits=PATTERN_LIMITS, visible="open"):
+    """For each (symbol, at) the last N bars of every timeframe at that time: the points with ``context``, an array of
+    (timeframe, ref_time, candles) in the order of ``limits``; no bar yet: null ref_time and candles.
+
+    ``visible='open'`` takes bars whose open time is not after ``at`` (the newest may still be forming); ``'closed'``
+    only takes bars that had ended by then. Points are distinct.
 
-    ``visible='open'`` takes bars whose open time is not after ``at`` (the newest may
-    still be forming); ``'closed'`` only takes bars that had ended by then.
-    The as-of step moves keys only; the arrays are attached by an equi join.
-    Result: points x timeframes, with ``ref_time`` and ``candles`` (null if none).
+    A point only looks up positions in its series. Bars are stored once, in blocks of ``STRETCH`` rows; the points of a
+    time chunk get the stretch of blocks that they refer to, once, and each slices its candles from it by position. So
+    bars that no point refers to are never collected, and nothing is shuffled once the candles are copied.
     """
+    series = bars.where(F.col("timeframe").isin(*limits)).transform(with_row_index).select(*SERIES, "open_time", "_rn", F.struct(*fields).alias("_v"))
+    series = materialize(series, "indexed")  # positions and candles are two reads
+    opened = F.col("open_time") if visible == "open" else F.timestamp_seconds(F.unix_seconds("open_time") + tf_seconds())
+    known = series.select(*SERIES, F.col("open_time").alias("ref_time"), "_rn", opened.alias("_known"))
     wanted = points.withColumn("timeframe", F.explode(F.array(*[F.lit(t) for t in limits])))
-    known = bars.where(F.col("timeframe").isin(*limits)).select(
-        *SERIES, F.col("open_time").alias("ref_time"),
-        (F.col("open_time") if visible == "open" else
-         F.timestamp_seconds(F.unix_seconds("open_time") + tf_seconds())).alias("_known"))
-    keyed = asof_join(wanted, known, SERIES, "at", "_known", ["ref_time"])
-    arrays = last_bars(bars, limits, fields).select(*SERIES, F.col("open_time").alias("ref_time"), "candles")
-    return keyed.join(arrays, [*SERIES, "ref_time"], "left")
+    found = asof_join(wanted, known, SERIES, "at", "_known", ["ref_time", "_rn"])
+    place = F.struct("timeframe", F.struct("ref_time", "_rn").alias("v"))
+    rows = found.groupBy(*points.columns, F.floor(epoch("at") / CHUNK).cast("long").alias("_chunk")).agg(
+        F.map_from_entries(F.collect_list(place)).alias("_at"))
+    rows = materialize(rows, "positions")  # stretches and slices are two reads
+    n = literal_map(limits)[F.col("timeframe")]
+    placed = rows.select("symbol", "_chunk", F.explode("_at").alias("timeframe", "_v")).select("symbol", "_chunk", "timeframe", "_v._rn")
+    spans = placed.where(F.col("_rn").isNotNull()).groupBy(*SERIES, "_chunk").agg(
+        F.greatest(F.min("_rn") - n + 1, F.lit(0)).alias("_base"), F.max("_rn").alias("_end"))
+    block = lambda c: F.floor(F.col(c) / STRETCH).cast("long")
+    needed = spans.withColumn("_blk", F.explode(F.sequence(block("_base"), block("_end"))))
+    item = F.struct("_rn", "_v")
+    blocks = series.groupBy(*SERIES, block("_rn").alias("_blk")).agg(F.sort_array(F.collect_list(item)).alias("_l"))
+    blocks = blocks.select(*SERIES, "_blk", F.transform("_l", lambda x: x["_v"]).alias("_l"))
+    cut = F.slice("_l", (F.greatest(F.col("_base") - F.col("_blk") * STRETCH, F.lit(0)) + 1).cast("int"), F.lit(STRETCH))
+    pieces = needed.join(blocks, [*SERIES, "_blk"]).select(*SERIES, "_chunk", "_base", F.struct("_blk", cut.alias("_l")).alias("_p"))
+    stretch = pieces.groupBy(*SERIES, "_chunk", "_base").agg(F.sort_array(F.collect_list("_p")).alias("_p"))
+    entry = F.struct("timeframe", F.struct("_base", F.flatten(F.transform("_p", lambda x: x["_l"])).alias("_l")).alias("v"))
+    stretch = stretch.groupBy("symbol", "_chunk").agg(F.map_from_entries(F.collect_list(entry)).alias("_bars"))
+    rows = rows.join(stretch.withColumnsRenamed({"symbol": "_s", "_chunk": "_c"}),
+                     F.col("symbol").eqNullSafe(F.col("_s")) & F.col("_chunk").eqNullSafe(F.col("_c")), "left")
+    parts = []
+    for tf, size in limits.items():
+        at, held = F.try_element_at("_at", F.lit(tf)), F.try_element_at("_bars", F.lit(tf))
+        first = F.greatest(at["_rn"] - (size - 1), F.lit(0))
+        candles = F.slice(held["_l"], (first - held["_base"] + 1).cast("int"), (at["_rn"] - first + 1).cast("int"))
+        parts.append(F.struct(F.lit(tf).alias("timeframe"), at["ref_time"].alias("ref_time"), candles.alias("candles")))
+    return rows.select(*points.columns, F.array(*parts).alias("context"))
+
+
+def context_at(points, bars, fields, limits=PATTERN_LIMITS, visible="open"):
+    """``contexts`` as rows: points x timeframes, with ``ref_time`` and ``candles`` (null if none)."""
+    rows = contexts(points, bars, fields, limits, visible)
+    return rows.select(*[c for c in points.columns], F.explode("context").alias("_c")).select(*points.columns, "_c.*")
 
 
 def latest_per_key(df, keys, time, tie=None, columns=None):

@@ -13,7 +13,7 @@ from tickloom.constants import (COMPACT_LIMITS, DOCUMENT_TIMEFRAMES, FULL_LIMITS
 from tickloom.functions import classify
 from tickloom.functions.scalar import json_text, non_snake_case_fields, utc_text
 from tickloom.operators import outcome
-from tickloom.operators.asof import context_at, last_per_timeframe, latest_per_key
+from tickloom.operators.asof import contexts, last_per_timeframe, latest_per_key
 from tickloom.operators.sequence import SERIES, block_window, literal_map, ranged
 from tickloom.plans import trades
 
@@ -45,9 +45,12 @@ def _by_timeframe(rows, keys):
 
 
 def _history_context(points, bars, limits, fields, visible):
-    rows = context_at(points, bars, fields, limits, visible)
-    empty = rows.select("candles").schema[0].dataType
-    return _by_timeframe(rows.withColumn("candles", F.coalesce("candles", F.array().cast(empty))), ["symbol", "at"])
+    """Map timeframe -> candles of every point, in document order; no bar yet: no candles."""
+    ordered = {t: limits[t] for t in DOCUMENT_TIMEFRAMES if t in limits}
+    rows = contexts(points.select("symbol", "at"), bars, fields, ordered, visible)
+    empty = rows.select(F.col("context")[0]["candles"]).schema[0].dataType
+    entries = F.transform("context", lambda c: F.struct(c["timeframe"], F.coalesce(c["candles"], F.array().cast(empty))))
+    return rows.select("symbol", "at", F.map_from_entries(entries).alias("context"))
 
 
 def _live_context(bars, limits, fields):

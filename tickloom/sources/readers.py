@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.asof import top_n
 from tickloom.operators.sequence import SERIES
+from tickloom.session import materialize
 
 REQUIRED_COLUMNS = ["timestamp", "open", "high", "low", "close"]
 
@@ -106,18 +107,32 @@ def _good_name(path):
     return (F.size(_file_parts(path)) >= 5) & ~path.endswith("-import.csv")
 
 
+def _heads(spark, path, required):
+    """(file, reason, missing) of every CSV file of a folder; a good one has no reason."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_n"))
+    heads = lines.groupBy("_file").agg(F.min_by("value", "_n").alias("_first")).select(
+        "_file", F.transform(F.split("_first", ","), lambda c: F.trim(c)).alias("_head"))
+    lost = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("_head"))
+    return heads.select("_file", F.when(~_good_name(F.col("_file")), "name").when(F.size(lost) > 0, "columns").alias("reason"),
+                        F.concat_ws(",", F.array_sort(lost)).alias("missing"))
+
+
 def rejected_files(spark, path, required=REQUIRED_COLUMNS):
     """File names left out, with the reason: bad name or missing columns (header line).
 
     The header is the first line of a file's first block; it is found with a map-side
     combining aggregate, so large files are never held whole.
     """
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).where("_metadata.file_block_start = 0").select(
-        F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_n"))
-    heads = lines.groupBy("_file").agg(F.min_by("value", "_n").alias("_first")).select(
-        "_file", F.transform(F.split("_first", ","), lambda c: F.trim(c)).alias("_head"))
-    lost = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("_head"))
-    return (heads.select(F.regexp_extract("_file", r"([^/]+)$", 1).alias("file_name"),
-                         F.when(~_good_name(F.col("_file")), "name").when(F.size(lost) > 0, "columns").alias("reason"),
-                         F.concat_ws(",", F.array_sort(lost)).alias("missing"))
-            .where("reason is not null"))
+    return _heads(spark, path, required).where("reason is not null").select(
+        F.regexp_extract("_file", r"([^/]+)$", 1).alias("file_name"), "reason", "missing")
+
+
+def read_bar_folder(spark, path, required=REQUIRED_COLUMNS):
+    """(bars of the good files, rejected files) of a folder that may hold anything named *.csv. The names of the good files come
+    to the driver, which lists the folder anyway; a folder without any gives no bars."""
+    heads = materialize(_heads(spark, path, required), "heads")
+    good = [r["_file"] for r in heads.where("reason is null").select("_file").collect()]
+    rejected = heads.where("reason is not null").select(F.regexp_extract("_file", r"([^/]+)$", 1).alias("file_name"), "reason", "missing")
+    bars = read_bar_files(spark, good) if good else read_bar_files(spark, path).where(F.lit(False))
+    return bars, rejected

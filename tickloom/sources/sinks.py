@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.constants import INDICATOR_COLUMNS
 from tickloom.functions.classify import any_null
-from tickloom.session import materialize
+from tickloom.session import materialize, shared_dir
 
 SNAPSHOT_KEY = ["symbol", "snapshot_time"]
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -150,16 +150,60 @@ def fixed(c, digits=5):
     return F.format_string(f"%.{digits}f", F.col(c)).alias(c)
 
 
-def write_tick_csv(ticks, path, header=False):
-    """time, ask, bid, ask_volume, bid_volume with 5 decimals, in time order."""
-    (ticks.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSS").alias("time"), fixed("ask"), fixed("bid"),
-                  "ask_volume", "bid_volume")
-     .sort("time").write.mode("overwrite").option("header", header).csv(path))
+def _tick_lines():
+    return [F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSS").alias("time"), fixed("ask"), fixed("bid"), "ask_volume", "bid_volume"]
+
+
+def _candle_lines():
+    price = lambda c, name: F.format_string("%.5f", F.col(c)).alias(name)
+    return [F.date_format("open_time", "yyyy-MM-dd HH:mm:ss").alias("time"), price("open_price", "open"), price("close_price", "close"),
+            price("high_price", "high"), price("low_price", "low")]
+
+
+#: File name of a symbol and a range of days.
+RANGE_NAME = "{symbol}-{first}-{last}.csv"
+
+
+def _named_files(rows, time, lines, folder, days, header, tie=()):
+    """One file per symbol and range of ``days`` days, its lines in time order, named by both.
+
+    The rows of a file go to one task, which sorts them; ranges are counted from 1970, so the size of a file follows
+    ``days`` and not the history. Spark writes the files in folders by range; then each is given its name, which
+    moves no data. Rows without a symbol or a time belong to no file and are left out.
+    """
+    span = days * 86400
+    first = F.timestamp_seconds(F.floor(F.unix_seconds(time) / span) * span)
+    text = lambda t: F.date_format(t, "yyyy_MM_dd")
+    last = F.timestamp_seconds(F.unix_seconds(first) + span - 86400)
+    cut = rows.where(F.col("symbol").isNotNull() & F.col(time).isNotNull()).withColumns({"_first": text(first), "_last": text(last)})
+    by = ["symbol", "_first", "_last"]
+    made = (cut.repartition(*by).sortWithinPartitions(*by, time, *tie)
+            .select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(by)], *lines))
+    spark = rows.sparkSession
+    staged = shared_dir(spark, "files")
+    made.write.option("header", header).partitionBy("_0", "_1", "_2").csv(staged)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for status in fs.globStatus(path(f"{staged}/_0=*/_1=*/_2=*/part-*")):
+        source = status.getPath()
+        values = [unescape(p.split("=", 1)[1]) for p in source.getParent().toString().rsplit("/", 3)[1:]]
+        target = path(f"{folder}/{RANGE_NAME.format(symbol=values[0], first=values[1], last=values[2])}")
+        fs.delete(target, False)
+        fs.rename(source, target)
+
+
+def write_tick_files(ticks, folder, days=1, header=False, tie=()):
+    """Tick files: time, ask, bid, ask_volume, bid_volume with 5 decimals; ``tie`` orders ticks of equal time."""
+    _named_files(ticks, "time", _tick_lines(), folder, days, header, tie)
+
+
+def write_candle_files(bars, folder, days=31, header=False):
+    """Candle files: time, open, close, high, low with 5 decimals."""
+    _named_files(bars, "open_time", _candle_lines(), folder, days, header)
 
 
 def write_candle_csv(bars, path, header=False):
-    """time, open, close, high, low with 5 decimals, in time order."""
-    (bars.select(F.date_format("open_time", "yyyy-MM-dd HH:mm:ss").alias("time"), F.col("open_price").alias("open"),
-                 F.col("close_price").alias("close"), F.col("high_price").alias("high"), F.col("low_price").alias("low"))
-     .select("time", *[fixed(c) for c in ("open", "close", "high", "low")])
-     .sort("time").write.mode("overwrite").option("header", header).csv(path))
+    """All bars as one ordered set of files: time, open, close, high, low with 5 decimals."""
+    bars.sort("open_time").select(*_candle_lines()).write.mode("overwrite").option("header", header).csv(path)
