@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tickloom.session import materialize, shared_dir
 
-__all__ = ["append", "content_key", "discard", "read", "shared_dir", "small", "stage", "words_of"]
+__all__ = ["append", "bound_batches", "content_key", "discard", "read", "shared_dir", "small", "stage", "words_of"]
 
 
 def read(spark, sf_dir, table):
@@ -38,6 +38,18 @@ def small(stored, rows=SMALL_ROWS):
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
+#: Bytes of an Arrow batch between the JVM and Python; by default only its rows are bounded, whatever the texts' length.
+BATCH_BYTES = 8 << 20
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark):
+    """Keep Arrow batches of this session to BATCH_BYTES, unless a smaller bound is set."""
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BYTES))
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(_BYTES, str(BATCH_BYTES))
+
+
 #: Rows that ``append`` hands to its function at once, to keep the memory of a task low.
 ROWS = 2048
 
@@ -50,6 +62,7 @@ def append(df, fn, fields, keep=None):
     """
     new = {f.name.lower() for f in fields}
     keep = [c for c in (keep or df.columns) if c.lower() not in new]
+    bound_batches(df.sparkSession)
     schema = T.StructType([df.schema[c] for c in keep] + list(fields))
     names = schema.names
 
