@@ -1,11 +1,13 @@
 """Helpers the operators of this subpackage share."""
+import ctypes
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.session import materialize, shared_dir
 
-__all__ = ["append", "content_key", "discard", "read", "shared_dir", "small", "stage", "words_of"]
+__all__ = ["append", "content_key", "discard", "give_back", "read", "shared_dir", "small", "stage", "words_of"]
 
 
 def read(spark, sf_dir, table):
@@ -38,6 +40,15 @@ def small(stored, rows=SMALL_ROWS):
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
+def give_back():
+    """Return freed memory to the system. Python workers serve one task after another, and their allocators would keep
+    what a batch of long texts needed once, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 #: Rows that ``append`` hands to its function at once, to keep the memory of a task low.
 ROWS = 2048
 
@@ -55,9 +66,12 @@ def append(df, fn, fields, keep=None):
 
     def run(batches):
         for whole in batches:
+            b = None
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
                 yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + list(fn(b)), names=names)
+            del whole, b
+            give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import append, read, stage
+from tickloom.llm.common import append, give_back, read, stage
 
 BUCKETS = 1 << 15
 ORDERS = (2, 3)
@@ -94,6 +94,8 @@ def fit(docs, text="text", lang="lang", buckets=BUCKETS, orders=ORDERS, alpha=0.
                 have[1] += int(rows[k])
             if len(total) > MAX_LANGUAGES:
                 raise ValueError(f"more than {MAX_LANGUAGES} languages")
+            del b, texts
+            give_back()
         for name, (sums, rows) in total.items():
             some = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays(

@@ -21,7 +21,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import ROWS, append, content_key, discard, small, stage
+from tickloom.llm.common import ROWS, append, content_key, discard, give_back, small, stage
 from tickloom.llm.graph import components
 
 WIDTH = 5
@@ -57,6 +57,9 @@ def _slices(batches):
             b = whole.slice(at, ROWS)
             raw = b.column("t").cast(pa.binary()).to_pylist()
             yield b.column("node").to_numpy(), [np.unique(shingle_hashes(x or b"", WIDTH)) for x in raw]
+            del b, raw
+        del whole
+        give_back()
 
 
 def _sample_rows(texts):

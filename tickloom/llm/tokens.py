@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.bytebpe import batch_words, default_tokenizer, load, special_tokens, split_columns, spread
-from tickloom.llm.common import append, read
+from tickloom.llm.common import append, give_back, read
 
 #: Word numbers in one row of a block, cut between documents.
 ROW_WORDS = 1 << 19
@@ -101,6 +101,8 @@ def encode(docs, path=None, text="text", doc_id="doc_id", buckets=None, decoded=
                 [pa.array(np.full(len(cuts) - 1, _block(n))), pa.array(bucket[order][cuts[:-1]]),
                  _lists(cuts, pa.array(order.astype(np.int32))), _lists(cuts, words.take(pa.array(order)))],
                 names=["block", "bucket", "number", "word"])
+            del words, bucket, order, b
+            give_back()
 
     def encode_words(table):
         words = table.column("word").combine_chunks()
@@ -126,6 +128,8 @@ def encode(docs, path=None, text="text", doc_id="doc_id", buckets=None, decoded=
                      pa.array([_pack(numbers[ends[at]:ends[to]])], pa.binary())],
                     names=["block", "distinct", "doc_id", "words", "numbers"])
                 at = to
+            del order, counts, numbers, ids, b
+            give_back()
 
     def put_back(numbers, coded):
         number = coded.column("number").combine_chunks().flatten().to_numpy(zero_copy_only=False)
