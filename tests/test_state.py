@@ -148,6 +148,8 @@ def test_tail_gives_the_documents_of_the_whole_history(spark, small, tmp_path):
     made = documents.live_pattern(tail.with_indicators(read)).orderBy("symbol").collect()
     flat = lambda x: [flat(y) for y in x] if isinstance(x, (list, tuple)) else {k: flat(y) for k, y in sorted(x.items())} if isinstance(x, dict) else round(x, 7) if isinstance(x, float) else x
     assert [flat(r.asDict(True)) for r in whole] == [flat(r.asDict(True)) for r in made]
+    recent = documents.live_pattern(documents.recent_with_indicators(bars)).orderBy("symbol").collect()
+    assert [flat(r.asDict(True)) for r in whole] == [flat(r.asDict(True)) for r in recent]
     obv = read.join(stored_indicators(bars).select(*KEYS, F.col("obv").alias("_obv")), KEYS)
     assert obv.count() == read.count() and obv.where(F.abs(F.col("obv") - F.col("_obv")) > 1e-6).count() == 0
 

@@ -74,7 +74,7 @@ any_value(price_range_1h) AS price_range_1h, any_value(price_range_4h) AS price_
 CAST(NULL AS DOUBLE) AS max_gain_pct_1h
 FROM {RANGES} g JOIN {LIVE_K.format(lims=limits_sql(PATTERN_LIMITS))} k ON k.symbol = g.symbol GROUP BY g.symbol""")
 def d01(v):
-    docs = d.live_pattern(v.indicators)
+    docs = d.live_pattern(d.recent_with_indicators(v.bars))
     return docs.select("symbol", "snapshot_time", d.total_candles().cast("long").alias("candles"),
                        close_sum(), F.round(_inner("rsi", "M5"), 6).alias("rsi_m5"),
                        "volatility_metrics.price_range_1h", "volatility_metrics.price_range_4h", "spread", "session",
@@ -355,7 +355,7 @@ count(*) FILTER (b.rsi > 70) AS overbought, count(*) FILTER (b.atr > 0) AS atr_p
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol, timeframe ORDER BY open_time DESC) AS rk FROM ind) b
 JOIN {limits_sql(PATTERN_LIMITS).replace('lims(', 'k(')} ON k.timeframe = b.timeframe AND b.rk <= k.lim GROUP BY 1""")
 def a41(v):
-    rows = d.live_pattern(v.indicators).select(F.explode("context").alias("timeframe", "candles")).select(
+    rows = d.live_pattern(d.recent_with_indicators(v.bars)).select(F.explode("context").alias("timeframe", "candles")).select(
         "timeframe", F.explode("candles").alias("c"))
     return rows.groupBy("timeframe").agg(
         F.count(F.lit(1)).alias("candles"), F.count_if(F.col("c.rsi").isNull()).alias("rsi_null"),

@@ -14,6 +14,8 @@ from tickloom.functions import classify
 from tickloom.functions.scalar import json_text, non_snake_case_fields, utc_text
 from tickloom.operators import outcome
 from tickloom.operators.asof import contexts, last_per_timeframe, latest_per_key
+from tickloom.operators.ewm import HORIZON
+from tickloom.operators.indicators import stored_indicators
 from tickloom.operators.sequence import SERIES, block_window, literal_map, ranged
 from tickloom.plans import trades
 
@@ -25,6 +27,8 @@ BROKER = {"name": "Fusion Markets", "min_stop": 0.0, "commission_per_lot": 4.0,
 DAILY_LOSS_LIMIT_PCT = 6.0
 REQUIRED_KEYS = ["symbol", "snapshot_time", "context", "indicators", "session", "volatility"]
 MAX_CANDLES = 200
+#: M1 bars of the four-hour range, both ends included.
+RANGE_BARS = 241
 # ----------------------------------------------------------------------------
 
 
@@ -106,6 +110,15 @@ def history_pattern(points, bars, visible="open"):
                       classify.volatility_pattern(_atrs()).alias("volatility"))
 
 
+def recent_with_indicators(bars, limits=PATTERN_LIMITS, indicators=KEY_INDICATORS):
+    """Of stored bars what a live document looks at, with indicators: the last N bars of each timeframe (and of M1 the four
+    hours of its ranges), computed from these and the HORIZON bars before them. Running totals need the whole series."""
+    if "obv" in indicators:
+        raise ValueError("on-balance volume is a total of the whole series: use a BarTail")
+    rows = {tf: max(n, RANGE_BARS if tf == "M1" else 0) + HORIZON for tf, n in limits.items()}
+    return stored_indicators(last_per_timeframe(bars, rows), indicators)
+
+
 def live_pattern(bars):
     """Pattern document of every symbol at its newest M1 bar. Higher timeframes have
     no time cut; missing values stay null; spread and trailing ranges are added."""

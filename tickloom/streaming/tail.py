@@ -13,11 +13,9 @@ from tickloom.operators.asof import last_per_timeframe
 from tickloom.operators.ewm import HORIZON
 from tickloom.operators.indicators import on_balance_volume, stored_indicators
 from tickloom.operators.sequence import SERIES
+from tickloom.plans.documents import RANGE_BARS
 from tickloom.sources.sinks import BAR_KEY
 
-#: M1 bars that the four-hour ranges of a live document look back on.
-RANGE_BARS = 241
-
 
 class BarTail:
     """Versions of the tail under ``path``; ``limits`` are the bars per timeframe that documents show."""
