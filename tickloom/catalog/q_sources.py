@@ -10,9 +10,10 @@ from tickloom.catalog.q_quality import ANYNULL, IND, NOW, STORED, stored
 from tickloom.constants import COMPACT_LIMITS, FULL_LIMITS, PATTERN_LIMITS
 from tickloom.catalog.q_joins import limits_sql
 from tickloom.operators.asof import last_per_timeframe, top_n
+from tickloom.operators.incomplete import incomplete_indicators
 from tickloom.operators.sequence import literal_map
 from tickloom.plans import documents
-from tickloom.session import shared_dir
+from tickloom.session import materialize, shared_dir
 from tickloom.sources import archive, readers, sinks
 
 KEYS = ["symbol", "timeframe", "open_time"]
@@ -255,7 +256,7 @@ def s17(v):
 @query("s18_update_incomplete", f"SELECT {KEYSQL}, {rs(*IND)} FROM ind")
 def s18(v):
     """Filling the incomplete stored rows from the computed ones gives the full table."""
-    out = sinks.update(stored(v), v.indicators, only_incomplete=True)
+    out = sinks.fill_incomplete(materialize(stored(v), "bars"))
     return out.select(*KEYS, *[r(c) for c in IND])
 
 
@@ -268,13 +269,14 @@ def s19(v):
 @query("s20_update_set", f"SELECT i.symbol, i.timeframe, i.open_time, round(i.rsi, 6) + 0e0 AS rsi, round(i.adx, 6) + 0e0 AS adx FROM ind i JOIN {STORED} ON "
        f"st.symbol = i.symbol AND st.timeframe = i.timeframe AND st.open_time = i.open_time WHERE {ANYNULL.replace('(', '(st.', 1).replace(' OR ', ' OR st.')}")
 def s20(v):
-    return sinks.update_set(stored(v), v.indicators).select(*KEYS, r("rsi"), r("adx"))
+    base = materialize(stored(v), "bars")
+    return sinks.update_set(base, incomplete_indicators(base)).select(*KEYS, r("rsi"), r("adx"))
 
 
 @query("j09_update_from_temp_set", f"SELECT {KEYSQL}, {rs('atr', 'obv')} FROM ind")
 def j09(v):
-    base = stored(v)
-    return sinks.update(base, sinks.update_set(base, v.indicators)).select(*KEYS, r("atr"), r("obv"))
+    base = materialize(stored(v), "bars")
+    return sinks.update(base, sinks.update_set(base, incomplete_indicators(base))).select(*KEYS, r("atr"), r("obv"))
 
 
 @query("j10_left_join_computed", f"""SELECT s.symbol, s.timeframe, s.open_time, round(i.ema, 6) + 0e0 AS ema FROM (SELECT * FROM bars WHERE spread > 0) s

@@ -27,6 +27,17 @@ def ratio(a, b):
     return F.try_divide(F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b)
 
 
+def obv_moves(rows, inner):
+    """Signed volume of each row inside its time block, and its running sum there."""
+    move = F.coalesce(F.signum(F.col("close_price") - F.lag("close_price").over(inner)) * F.col("volume"), F.lit(0.0))
+    return rows.withColumn("_move", move).withColumn("_obv", F.sum("_move").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def obv_step(over):
+    """Signed volume of the first row of a time block against the last close of the block before."""
+    return F.coalesce(F.signum(F.col("_first") - F.lag("_last").over(over)) * F.col("_first_v"), F.lit(0.0))
+
+
 def index_with_obv(bars):
     """Dense row index plus on-balance volume in one two-level scan.
 
@@ -36,17 +47,12 @@ def index_with_obv(bars):
     """
     cut = bars.withColumn("_tb", time_block("open_time", tf_seconds() * BLOCK_ROWS))
     inner = Window.partitionBy(*SERIES, "_tb").orderBy("open_time")
-    run = inner.rowsBetween(Window.unboundedPreceding, 0)
-    rows = (cut.withColumn("_pos", F.row_number().over(inner))
-            .withColumn("_move", F.coalesce(F.signum(F.col("close_price") - F.lag("close_price").over(inner))
-                                            * F.col("volume"), F.lit(0.0)))
-            .withColumn("_obv", F.sum("_move").over(run)))
+    rows = obv_moves(cut.withColumn("_pos", F.row_number().over(inner)), inner)
     edges = (rows.groupBy(*SERIES, "_tb")
              .agg(F.count(F.lit(1)).alias("_n"), F.sum("_move").alias("_moved"),
                   F.min_by("close_price", "open_time").alias("_first"), F.min_by("volume", "open_time").alias("_first_v"),
                   F.max_by("close_price", "open_time").alias("_last")))
-    over = Window.partitionBy(*SERIES).orderBy("_tb")
-    step = F.coalesce(F.signum(F.col("_first") - F.lag("_last").over(over)) * F.col("_first_v"), F.lit(0.0))
+    step = obv_step(Window.partitionBy(*SERIES).orderBy("_tb"))
     edges = edges.withColumn("_step", step).withColumn("_moved", F.col("_moved") + F.col("_step"))
     carry = prefix_over_blocks(edges, SERIES, "_tb", {"_n": "_before", "_moved": "_carry"}, keep=["_step"])
     return (join_blocks(rows, carry, [*SERIES, "_tb"])
@@ -151,6 +157,12 @@ def stored_indicators(bars, columns=INDICATOR_COLUMNS):
     else:
         indexed = with_row_index(bars)
     df = row_blocks(indexed, HORIZON if need & {*MEANS, *SECOND_MEANS} else 32)
+    return block_indicators(df, bars.columns, columns)
+
+
+def block_indicators(df, kept, columns=INDICATOR_COLUMNS):
+    """Columns ``kept`` and the chosen indicators of the own rows of a frame of row blocks with their halo."""
+    need = _closure(columns)
     pick = lambda stage: {n: x for n, x in stage.items() if n in need}
     for step in (_first_stage, _second_stage, _third_stage, _cci, MEANS, _after_means, _direction_index, SECOND_MEANS):
         if callable(step):
@@ -161,7 +173,7 @@ def stored_indicators(bars, columns=INDICATOR_COLUMNS):
             df = ewm_columns(df, found) if found else df
     if "macd_hist" in need:
         df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-    return drop_halo(df.select(*bars.columns, *[c for c in columns if c not in bars.columns], "_halo"))
+    return drop_halo(df.select(*kept, *[c for c in columns if c not in kept], "_halo"))
 
 
 def on_balance_volume(bars):

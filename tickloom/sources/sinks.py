@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.constants import INDICATOR_COLUMNS
 from tickloom.functions.classify import any_null
+from tickloom.operators.incomplete import incomplete_indicators
 from tickloom.session import materialize, shared_dir
 
 SNAPSHOT_KEY = ["symbol", "snapshot_time"]
@@ -53,11 +54,12 @@ def skip_existing(new, old, keys=SNAPSHOT_KEY, overwrite=False):
 
 
 def update(old, new, keys=BAR_KEY, columns=INDICATOR_COLUMNS, only_incomplete=False):
-    """Set ``columns`` from ``new`` on matching rows, optionally only where one is null."""
+    """Set ``columns`` from ``new`` on matching rows, optionally only where one is null: then complete rows pass by without a join."""
+    if only_incomplete:
+        rest = any_null(columns)
+        return old.where(~rest).unionByName(update(old.where(rest), new, keys, columns))
     rows = _sides(old, new, keys, "left")
     hit = F.coalesce(F.col("_new"), F.lit(False))
-    if only_incomplete:
-        hit = hit & any_null(columns)
     return rows.select(*[F.when(hit, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
                          for c in old.columns])
 
@@ -67,6 +69,11 @@ def update_set(stored, computed, keys=BAR_KEY, columns=INDICATOR_COLUMNS):
     return stored.where(any_null(columns)).select(*keys).join(computed.select(*keys, *columns), keys, "left")
 
 
+def fill_incomplete(stored, columns=INDICATOR_COLUMNS):
+    """A stored table with the indicators of its incomplete rows filled in, computed from the blocks around those rows."""
+    return update(stored, incomplete_indicators(stored, columns), BAR_KEY, columns, only_incomplete=True)
+
+
 def merge_bars(old, new, order="ingest_time", keys=BAR_KEY):
     """Conflicting bars: highest high, lowest low, newest close / volume / spread, first open."""
     both = old.unionByName(new, allowMissingColumns=True)
