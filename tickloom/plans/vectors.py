@@ -8,6 +8,7 @@ from tickloom.constants import DOCUMENT_TIMEFRAMES, PATTERN_LIMITS
 from tickloom.operators import outcome
 from tickloom.operators.asof import context_at
 from tickloom.operators.sequence import literal_map
+from tickloom.plans.neighbours import NeighbourIndex
 
 CLIP = 4.0
 PRICES = ("open", "high", "low", "close")
@@ -105,8 +106,6 @@ RESULT = "query_id long, neighbour_id long, distance double"
 BLOCK = 20_000
 #: Numbers (queries times width) that ``knn_search`` sends to every task at most.
 MAX_SENT = 4_000_000
-#: Vectors the quantizer of ``knn_approximate`` is fitted on at most.
-MAX_SAMPLE = 20_000
 
 
 def _matrix(column):
@@ -207,42 +206,9 @@ def knn_join(queries, vectors, k=5, exclude_self=False, block=BLOCK):
     return _ranked(found, k)
 
 
-def knn_approximate(queries, vectors, k=5, cells=None, probes=None, block=BLOCK):
-    """k nearest vectors of every query among the cells nearest to it; may miss some.
-
-    A quantizer of about sqrt(n) cells is fitted on at most ``MAX_SAMPLE`` vectors; every vector is indexed in the
-    cell of its nearest centre and every query looks into ``probes`` cells (default: seven
-    tenths, which vectors without clusters need for a recall of 0.9; clustered ones do with far fewer). Cells larger than ``block`` are split.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    n = vectors.count()
-    cells = min(cells or max(4, int(n ** 0.5)), max(1, n))
-    probes = min(cells, probes or max(2, -(-cells * 7 // 10)))
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MAX_SAMPLE).select(array_to_vector("vector").alias("features"))
-    if n == 0:
-        return queries.select("query_id").limit(0).select("query_id", F.lit(None).cast("long").alias("neighbour_id"),
-                                                          F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("rank"))
-    centres = np.array(KMeans(k=cells, seed=7, maxIter=10).fit(sample).clusterCenters()) if cells > 1 else np.zeros((1, 1))
-
-    def assign(n_cells, schema):
-        def run(batches):
-            for batch in batches:
-                if len(batch):
-                    m = _matrix(batch["vector"])
-                    d = (centres ** 2).sum(axis=1)[None] - 2 * m @ centres.T if len(centres) > 1 else np.zeros((len(m), 1))
-                    near = np.argsort(d, axis=1, kind="stable")[:, :n_cells]
-                    out = batch.loc[batch.index.repeat(near.shape[1])]
-                    yield out.assign(cell=near.ravel().astype("int32"))
-        return run, schema
-
-    stored = vectors.select("vec_id", "vector").mapInPandas(*assign(1, "vec_id long, vector array<double>, cell int"))
-    asked = queries.select("query_id", "vector").mapInPandas(*assign(probes, "query_id long, vector array<double>, cell int"))
-    parts = stored.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    stored = stored.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
-    asked = asked.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return _ranked(_search_blocks(asked, stored, ["cell", "part"], k), k)
+def knn_approximate(queries, vectors, k=5, cells=None, probes=None):
+    """k nearest vectors of every query by an index built for this call (see ``NeighbourIndex``); may miss some."""
+    return NeighbourIndex.build(vectors, cells=cells).search(queries, k, probes)
 
 
 def recall(found, exact):
