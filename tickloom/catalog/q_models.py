@@ -6,8 +6,8 @@ from tickloom.catalog.oracle_views import SERIES as OVER
 from tickloom.catalog.q_joins import MINUTE_POINTS, limits_sql, minute_points
 from tickloom.constants import PATTERN_LIMITS
 from tickloom.operators.indicators import ratio
-from tickloom.operators.sequence import block_window, rolling, rows_back
-from tickloom.plans import documents, features, models, vectors
+from tickloom.operators.sequence import SERIES, block_window, rolling, rows_back
+from tickloom.plans import documents, features, linear, models, scaling, vectors
 from tickloom.session import materialize
 
 # --- vectors -------------------------------------------------------------------------
@@ -194,6 +194,83 @@ def m13(v):
     return models.tree_importance(fitted["rf"], FEATURES, v.spark)
 
 
+# three features of the bars of all timeframes, gaps filled, and the gain target of the next 12 bars
+THREE = ["price_change", "volume_ratio", "sma_50_ratio"]
+FILLED = f"""(SELECT symbol, timeframe, open_time, close_price, high_price, {FILL.format(x='pc')} AS price_change, {FILL.format(x='vr')} AS volume_ratio,
+{FILL.format(x='sr')} AS sma_50_ratio FROM (SELECT *, CASE WHEN count(volume) OVER w = 20 THEN volume / avg(volume) OVER w END AS vr,
+(close_price - open_price) / nullif(open_price, 0e0) * 100e0 AS pc, CASE WHEN count(*) OVER w50 = 50 THEN close_price / nullif(avg(close_price) OVER w50, 0e0) - 1e0 END AS sr
+FROM bars WINDOW w AS ({OVER} ROWS 19 PRECEDING), w50 AS ({OVER} ROWS 49 PRECEDING)))"""
+SCALES = "SELECT timeframe, " + ", ".join(
+    f"quantile_cont({c}, 0.5) AS med_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS iqr_{c}, avg({c}) AS avg_{c}, stddev_pop({c}) AS dev_{c}"
+    for c in THREE) + f" FROM {FILLED} GROUP BY 1"
+
+
+def one_scale(name):
+    return f"CASE WHEN {name} = 0 THEN 1e0 ELSE {name} END"
+
+
+@query("m03_exact_scaling", "SELECT f.symbol, f.timeframe, f.open_time, " + ", ".join(
+    f"round((f.{c} - s.med_{c}) / {one_scale(f's.iqr_{c}')}, 6) + 0e0 AS robust_{c}, round((f.{c} - s.avg_{c}) / {one_scale(f's.dev_{c}')}, 6) + 0e0 AS standard_{c}"
+    for c in THREE) + f" FROM {FILLED} f JOIN ({SCALES}) s ON s.timeframe = f.timeframe")
+def m03_exact(v):
+    """Robust and standard scaling by exact quantiles and moments of each timeframe."""
+    table = materialize(features.feature_table(v.bars).select(*SERIES, "open_time", *THREE), "features")
+    out = scaling.scaled_columns(table, scaling.scales(table, THREE, ["timeframe"]), THREE, ["timeframe"])
+    return out.select(*SERIES, "open_time", *[r(f"{kind}_{c}") for c in THREE for kind in ("robust", "standard")])
+
+
+PAIR = ["price_change", "sma_50_ratio"]
+TARGETS = f"""(SELECT * FROM (SELECT *, CASE WHEN count(*) OVER w = 12 THEN (max(high_price) OVER w - close_price) / nullif(close_price, 0e0) * 100e0 END AS y
+FROM {FILLED} WINDOW w AS ({OVER} ROWS BETWEEN 1 FOLLOWING AND 12 FOLLOWING)) WHERE y IS NOT NULL)"""
+LINE = f"""(SELECT timeframe, b1, b2, my - b1 * m1 - b2 * m2 AS a FROM (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
+(s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM (SELECT timeframe, avg(y) AS my, avg(price_change) AS m1, avg(sma_50_ratio) AS m2, var_pop(price_change) AS s11,
+var_pop(sma_50_ratio) AS s22, covar_pop(price_change, sma_50_ratio) AS s12, covar_pop(price_change, y) AS s1y, covar_pop(sma_50_ratio, y) AS s2y FROM {TARGETS} GROUP BY 1)
+WHERE s11 > 0 AND s22 > 0))"""
+
+
+def gain_table(v):
+    """The three features with the gain target, bars of all timeframes that have later bars enough and vary in both features."""
+    from tickloom.operators.outcome import row_targets
+    rows = row_targets(features.feature_table(v.bars), 12).where("target_gain is not null").select(*SERIES, "open_time", *THREE, "target_gain")
+    rows = materialize(rows, "gains")
+    varied = rows.groupBy("timeframe").agg(*[F.var_pop(c).alias(c) for c in PAIR]).where(" and ".join(f"{c} > 0" for c in PAIR))
+    return rows.join(varied.select("timeframe"), "timeframe", "left_semi")
+
+
+@query("m04_least_squares", f"""SELECT timeframe, 'price_change' AS feature, round(b1, 6) + 0e0 AS coefficient FROM {LINE} UNION ALL
+SELECT timeframe, 'sma_50_ratio', round(b2, 6) + 0e0 FROM {LINE} UNION ALL SELECT timeframe, 'intercept', round(a, 6) + 0e0 FROM {LINE}""")
+def m04_least_squares(v):
+    """Least squares of the gain on two features per timeframe, by normal equations."""
+    return linear.fit_linear(gain_table(v), PAIR, "target_gain", ["timeframe"]).select("timeframe", "feature", r("coefficient"))
+
+
+@query("m04_elastic_net")
+def m04_elastic_net(v):
+    """The elastic net of the survey's settings on all features and timeframes; a test compares it with the regressor of pyspark.ml."""
+    from tickloom.operators.outcome import row_targets
+    table = row_targets(features.feature_table(v.bars), 12).where("target_gain is not null").select(*SERIES, "open_time", *FEATURES, "target_gain")
+    return linear.fit_linear(materialize(table, "gains"), FEATURES, "target_gain", ["timeframe"], penalty=0.1, l1_ratio=0.5)
+
+
+def shuffled_sql(f):
+    """Growth of the error when one feature is dealt to other rows."""
+    guess = " + ".join(f"{b} * {'o' if c == f else 'm'}.{c}" for b, c in zip(("b1", "b2"), PAIR))
+    place = "row_number() OVER (PARTITION BY timeframe ORDER BY md5(concat_ws('|', '{}', symbol, timeframe, CAST(epoch_us(open_time) AS VARCHAR)))) AS i"
+    return (f"SELECT m.timeframe, '{f}' AS feature, round(avg(pow(m.y - a - ({guess}), 2)) / avg(pow(m.y - a - b1 * m.{PAIR[0]} - b2 * m.{PAIR[1]}, 2)) - 1e0, 6) + 0e0 AS growth "
+            f"FROM (SELECT *, {place.format(42)} FROM {TARGETS}) m JOIN (SELECT *, {place.format(43)} FROM {TARGETS}) o "
+            f"ON o.timeframe = m.timeframe AND o.i = m.i JOIN {LINE} l ON l.timeframe = m.timeframe GROUP BY 1")
+
+
+@query("m13_permutation_importance", " UNION ALL ".join(shuffled_sql(f) for f in PAIR))
+def m13_permutation(v):
+    """By how much the error of the linear fit grows when a feature's values are dealt to other rows."""
+    rows = gain_table(v)
+    model = materialize(linear.fit_linear(rows, PAIR, "target_gain", ["timeframe"]), "model")
+    key = F.concat_ws("|", *SERIES, F.unix_micros("open_time").cast("string"))
+    out = linear.permutation_importance(rows, PAIR, "target_gain", lambda d: linear.predict_linear(d, model, PAIR, ["timeframe"]), key, ["timeframe"])
+    return out.select("timeframe", "feature", r("growth"))
+
+
 @query("m14_random_split", """SELECT CASE WHEN substr(md5(concat_ws('|', '42', symbol, timeframe, CAST(epoch_us(open_time) AS VARCHAR))), 1, 8) < 'cccccccd' THEN 'train' ELSE 'test' END AS part,
 count(*) AS n FROM bars GROUP BY 1""")
 def m14(v):
