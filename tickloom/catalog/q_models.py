@@ -159,10 +159,10 @@ def m01_fill(v):
 
 @query("m02_targets", f"""SELECT symbol, timeframe, open_time, round((hi - close_price) / nullif(close_price, 0e0) * 100e0, 6) + 0e0 AS target_gain,
 round((lo - close_price) / nullif(close_price, 0e0) * 100e0, 6) + 0e0 AS target_loss FROM (SELECT *, count(*) OVER w AS k, max(high_price) OVER w AS hi,
-min(low_price) OVER w AS lo FROM bars WHERE timeframe = 'M5' WINDOW w AS ({OVER} ROWS BETWEEN 1 FOLLOWING AND 12 FOLLOWING)) WHERE k = 12""")
+min(low_price) OVER w AS lo FROM bars WINDOW w AS ({OVER} ROWS BETWEEN 1 FOLLOWING AND 12 FOLLOWING)) WHERE k = 12""")
 def m02(v):
     from tickloom.operators.outcome import row_targets
-    return row_targets(v.bars_of("M5"), 12).select("symbol", "timeframe", "open_time", r("target_gain"), r("target_loss"))
+    return row_targets(v.bars, 12).select("symbol", "timeframe", "open_time", r("target_gain"), r("target_loss"))
 
 
 def training_table(v):
@@ -279,7 +279,7 @@ def m14(v):
 
 
 # prediction rows: last change as the prediction of the next one, several simple "models"
-CHANGE = f"(SELECT *, (close_price - lag(close_price) OVER ({OVER})) / nullif(lag(close_price) OVER ({OVER}), 0e0) * 1e0 AS actual FROM bars WHERE timeframe = 'H1')"
+CHANGE = f"(SELECT *, (close_price - lag(close_price) OVER ({OVER})) / nullif(lag(close_price) OVER ({OVER}), 0e0) * 1e0 AS actual FROM bars)"
 PRED = f"""(SELECT * FROM (SELECT symbol, timeframe, open_time, volume, actual, lag(actual) OVER ({OVER}) AS prediction, lag(actual) OVER ({OVER}) AS knn,
 avg(actual) OVER ({OVER} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS linear, avg(actual) OVER ({OVER} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS rf,
 lag(actual, 2) OVER ({OVER}) AS xgb, 0.5e0 + least(volume, 5) / 10e0 AS confidence, CASE WHEN volume > 3 THEN 'high' WHEN volume < 2 THEN 'low' ELSE 'medium' END AS regime
@@ -290,7 +290,7 @@ def predictions(v):
     w = block_window()
     prev = F.lag("close_price").over(w)
     back = lambda n: F.avg("actual").over(w.rowsBetween(-n, -1))
-    out = rolling(v.bars_of("H1"), {
+    out = rolling(v.bars, {
         "actual": ratio(F.col("close_price") - prev, prev), "prediction": F.lag("actual").over(w), "knn": F.lag("actual").over(w),
         "linear": back(5), "rf": back(10), "xgb": F.lag("actual", 2).over(w), "confidence": 0.5 + F.least(F.col("volume"), F.lit(5)) / 10.0,
         "regime": F.when(F.col("volume") > 3, "high").when(F.col("volume") < 2, "low").otherwise("medium")}, 12)
@@ -302,9 +302,9 @@ ENS = f"({' + '.join(f'({w}) * {m}' for m, w in W.items())}) / ({' + '.join(f'({
 STD = "sqrt((" + " + ".join(f"pow({m} - (knn + linear + rf + xgb) / 4e0, 2)" for m in W) + ") / 4e0)"
 
 
-@query("m06_ensemble", f"SELECT symbol, open_time, round({ENS}, 6) + 0e0 AS ensemble, round({STD}, 6) + 0e0 AS uncertainty, round({ENS} - 1.96e0 * {STD}, 6) + 0e0 AS lower_bound FROM {PRED}")
+@query("m06_ensemble", f"SELECT symbol, timeframe, open_time, round({ENS}, 6) + 0e0 AS ensemble, round({STD}, 6) + 0e0 AS uncertainty, round({ENS} - 1.96e0 * {STD}, 6) + 0e0 AS lower_bound FROM {PRED}")
 def m06(v):
-    return models.ensemble(predictions(v), list(W)).select("symbol", "open_time", r("ensemble"), r("uncertainty"), r("lower_bound"))
+    return models.ensemble(predictions(v), list(W)).select(*SERIES, "open_time", r("ensemble"), r("uncertainty"), r("lower_bound"))
 
 
 @query("m06_model_performance", " UNION ALL ".join(f"SELECT '{m}' AS model, round(1e0 / (1e0 + avg(abs({m} - actual))), 6) AS performance FROM {PRED}" for m in W))
@@ -312,25 +312,25 @@ def m06_perf(v):
     return models.model_performance(predictions(v), list(W)).select("model", r("performance"))
 
 
-@query("m07_safe_prediction", f"SELECT symbol, open_time, round(CASE WHEN confidence >= 0.7e0 AND abs(prediction) <= 10 THEN prediction ELSE linear END, 6) + 0e0 AS safe FROM {PRED}")
+@query("m07_safe_prediction", f"SELECT symbol, timeframe, open_time, round(CASE WHEN confidence >= 0.7e0 AND abs(prediction) <= 10 THEN prediction ELSE linear END, 6) + 0e0 AS safe FROM {PRED}")
 def m07(v):
-    return predictions(v).select("symbol", "open_time", F.round(models.safe_prediction("prediction", "confidence", "linear", minimum=0.7), 6).alias("safe"))
+    return predictions(v).select(*SERIES, "open_time", F.round(models.safe_prediction("prediction", "confidence", "linear", minimum=0.7), 6).alias("safe"))
 
 
-@query("m08_blend", f"SELECT symbol, open_time, round(0.6e0 * linear + 0.4e0 * rf, 6) + 0e0 AS blended FROM {PRED}")
+@query("m08_blend", f"SELECT symbol, timeframe, open_time, round(0.6e0 * linear + 0.4e0 * rf, 6) + 0e0 AS blended FROM {PRED}")
 def m08(v):
-    return predictions(v).select("symbol", "open_time", F.round(models.blend("linear", "rf"), 6).alias("blended"))
+    return predictions(v).select(*SERIES, "open_time", F.round(models.blend("linear", "rf"), 6).alias("blended"))
 
 
-METRICS = f"""SELECT symbol, count(*) AS n, avg(abs(prediction - actual)) AS mae, sqrt(avg(pow(prediction - actual, 2))) AS rmse,
+METRICS = f"""SELECT symbol, timeframe, count(*) AS n, avg(abs(prediction - actual)) AS mae, sqrt(avg(pow(prediction - actual, 2))) AS rmse,
 avg(CASE WHEN sign(prediction) = sign(actual) THEN 1e0 ELSE 0e0 END) AS directional_accuracy,
 sum(CASE WHEN sign(prediction) * actual > 0 THEN sign(prediction) * actual END) / abs(sum(CASE WHEN sign(prediction) * actual < 0 THEN sign(prediction) * actual END)) AS profit_factor
-FROM {PRED} GROUP BY 1"""
+FROM {PRED} GROUP BY 1, 2"""
 
 
-@query("m09_metrics", f"SELECT symbol, n, {rs('mae', 'rmse', 'directional_accuracy', 'profit_factor')} FROM ({METRICS})")
+@query("m09_metrics", f"SELECT symbol, timeframe, n, {rs('mae', 'rmse', 'directional_accuracy', 'profit_factor')} FROM ({METRICS})")
 def m09(v):
-    return models.metrics(predictions(v)).select("symbol", "n", r("mae"), r("rmse"), r("directional_accuracy"), r("profit_factor"))
+    return models.metrics(predictions(v), SERIES).select(*SERIES, "n", r("mae"), r("rmse"), r("directional_accuracy"), r("profit_factor"))
 
 
 @query("m10_drawdown", """SELECT symbol, round(any_value(total), 6) + 0e0 AS total_return, round(-min(c - peak), 6) + 0e0 AS max_drawdown, round(any_value(total) / any_value(n) / any_value(sd), 6) + 0e0 AS sharpe_ratio,
@@ -366,15 +366,15 @@ def k08(v):
     return models.top_features(scores, 3)
 
 
-@query("m16_acceptance", f"SELECT symbol, mae < 0.015e0 AS accepted, mae > 2 AS degraded FROM ({METRICS})")
+@query("m16_acceptance", f"SELECT symbol, timeframe, mae < 0.015e0 AS accepted, mae > 2 AS degraded FROM ({METRICS})")
 def m16(v):
-    return models.acceptance(models.metrics(predictions(v))).select("symbol", "accepted", "degraded")
+    return models.acceptance(models.metrics(predictions(v), SERIES)).select(*SERIES, "accepted", "degraded")
 
 
-@query("w10_rolling_quality", f"""SELECT symbol, open_time, round(e, 6) + 0e0 AS avg_error, round(h, 6) AS hit_rate, e > 0.02e0 AS error_alert, h < 0.45e0 AS direction_alert FROM (
-SELECT symbol, open_time, CASE WHEN count(*) OVER w = 100 THEN avg(abs(prediction - actual)) OVER w END AS e,
+@query("w10_rolling_quality", f"""SELECT symbol, timeframe, open_time, round(e, 6) + 0e0 AS avg_error, round(h, 6) AS hit_rate, e > 0.02e0 AS error_alert, h < 0.45e0 AS direction_alert FROM (
+SELECT symbol, timeframe, open_time, CASE WHEN count(*) OVER w = 100 THEN avg(abs(prediction - actual)) OVER w END AS e,
 CASE WHEN count(*) OVER w = 100 THEN avg(CASE WHEN sign(prediction) = sign(actual) THEN 1e0 ELSE 0e0 END) OVER w END AS h
-FROM {PRED} WINDOW w AS (PARTITION BY symbol ORDER BY open_time ROWS 99 PRECEDING))""")
+FROM {PRED} WINDOW w AS (PARTITION BY symbol, timeframe ORDER BY open_time ROWS 99 PRECEDING))""")
 def w10(v):
     out = models.rolling_quality(predictions(v))
-    return out.select("symbol", "open_time", r("avg_error"), r("hit_rate"), "error_alert", "direction_alert")
+    return out.select(*SERIES, "open_time", r("avg_error"), r("hit_rate"), "error_alert", "direction_alert")
