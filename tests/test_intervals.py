@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import rangejoin
+from tickloom.plans import documents, trades
 
 ZERO = dt.datetime(2024, 1, 1)
 
@@ -68,3 +69,32 @@ def test_without_rows(spark, sides):
     assert rangejoin.interval_join(p.limit(0), s, ["symbol"], "at", "start", "until").count() == 0
     assert rangejoin.interval_join(p, s.limit(0), ["symbol"], "at", "start", "until").count() == 0
     assert rangejoin.valid_at(p, s.limit(0), ["symbol"], "at", "start", "until").agg(F.sum("n_valid")).first()[0] == 0
+
+
+@pytest.mark.parametrize("width", [4 * 3600, 600])
+def test_lists_of_valid_intervals(spark, sides, width):
+    p, s = frames(spark, sides)
+    got = rangejoin.collect_valid(p, s, ["symbol"], "at", "start", "until", F.col("trade"), ["start", "trade"], "held", width)
+    assert got.columns == ["id", "symbol", "at", "held"]
+    pairs = by_hand(sides)
+    want = {a[0]: [b[0] for _, b in sorted(((b[2], b[0]), b) for x, b in pairs if x == a)] for a in sides[0]}
+    assert {r.id: r.held for r in got.collect()} == want
+    assert rangejoin.collect_valid(p, s.limit(0), ["symbol"], "at", "start", "until", F.col("trade"), ["trade"]).where("size(items) > 0").count() == 0
+
+
+def test_trade_lists_are_not_grouped_from_pairs(small):
+    """Lists are made once per time block; no pair of a point and a trade goes through a shuffle."""
+    points = small.m1.select("symbol", F.col("open_time").alias("at"))
+    for docs in (trades.open_trade_documents(points, small.open_trades), trades.closed_trade_documents(points, small.closed_trades)):
+        plan = docs._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join") < plan.index("Aggregate")
+
+
+def test_texts_of_trade_lists_are_not_joined(small):
+    """A snapshot's lists become JSON after all joins, in the task that has the snapshot."""
+    points = small.m1.select("symbol", F.col("open_time").alias("at"))
+    rows = documents.history_snapshots(points, small.bars, small.account_state, small.open_trades, small.closed_trades,
+                                       parts=["account", "open_trades", "closed_trades"])
+    assert rows.columns == ["symbol", "snapshot_time", "account_state_json", "open_trades_json", "closed_trades_json"]
+    plan = rows.select("open_trades_json", "closed_trades_json")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("StructsToJson") < plan.index("Join") and plan.count("StructsToJson") == 2
