@@ -1,12 +1,14 @@
 """Exact quantiles, scalers, linear fits and permutation importance against numpy."""
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.plans import linear, scaling
+from tickloom.functions import scalar
+from tickloom.plans import linear, models, scaling
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
 
@@ -115,3 +117,15 @@ def test_permutation_importance(spark, monkeypatch):
             moved = mine.assign(**{f: other[f].to_numpy()})
             assert got[g, f] == pytest.approx(np.mean((mine["y"].to_numpy() - guess(moved)) ** 2) - base, rel=1e-6, abs=1e-9)
         assert got[g, "x3"] < got[g, "x1"] and got[g, "x3"] < got[g, "x2"]
+
+
+def test_correlation_with_a_side_that_does_not_vary(spark):
+    rows = [(float(i), 0.7, 3.0 * i, None if i == 3 else float(-i)) for i in range(6)]
+    df = spark.createDataFrame(rows, "prediction double, confidence double, actual double, part double").repartition(3)
+    assert math.isnan(models.confidence_correlation(df).first().correlation)
+    assert models.confidence_correlation(df.limit(0)).first().correlation is None
+    scores = {r.feature: r.score for r in models.correlation_scores(df, ["prediction", "confidence", "part"], "actual").collect()}
+    want = abs(np.corrcoef([0.0, -1, -2, 0, -4, -5], [r[2] for r in rows])[0, 1])
+    assert scores["confidence"] == 0 and abs(scores["prediction"] - 1) < 1e-12 and abs(scores["part"] - want) < 1e-12
+    pairs = df.agg(scalar.pearson("part", "actual").alias("c")).first().c
+    assert abs(pairs + 1) < 1e-12

@@ -21,6 +21,15 @@ def safe_int(x):
     return F.coalesce(_col(x).try_cast("int"), F.lit(0))
 
 
+def pearson(x, y):
+    """Correlation over the pairs without nulls as an aggregate: NaN where a side does not vary (``corr`` divides by zero
+    there, an error in ANSI mode), null without pairs."""
+    x, y = _col(x).cast("double"), _col(y).cast("double")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    shared = F.covar_pop(x, y)
+    return F.when(shared.isNotNull(), F.coalesce(F.try_divide(shared, spread), F.lit(float("nan"))))
+
+
 def utc_text(time):
     """2025-08-08T12:30:00+00:00, null stays null."""
     return F.date_format(_col(time), "yyyy-MM-dd'T'HH:mm:ssxxx")

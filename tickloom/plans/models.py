@@ -4,6 +4,7 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalar import pearson
 from tickloom.operators.sequence import rolling, rows_back, time_block
 from tickloom.plans.quality import unpivot_row
 
@@ -141,7 +142,7 @@ def confidence_bins(df, prediction="prediction", actual="actual", confidence="co
 
 
 def confidence_correlation(df, prediction="prediction", actual="actual", confidence="confidence"):
-    return df.agg(F.corr(confidence, F.abs(F.col(prediction) - F.col(actual))).alias("correlation"))
+    return df.agg(pearson(confidence, F.abs(F.col(prediction) - F.col(actual))).alias("correlation"))
 
 
 def rolling_quality(df, n=WINDOW):
@@ -157,9 +158,9 @@ def rolling_quality(df, n=WINDOW):
 
 
 def correlation_scores(df, columns, target):
-    """|Pearson correlation| of every feature with the target, nulls as 0; one pass."""
-    row = df.agg(*[F.abs(F.coalesce(F.corr(F.coalesce(F.col(c), F.lit(0.0)), F.col(target)), F.lit(0.0))).alias(f"{c}__score")
-                   for c in columns])
+    """|Pearson correlation| of every feature with the target, nulls as 0; 0 where it is undefined; one pass."""
+    score = lambda c: F.nanvl(pearson(F.coalesce(F.col(c), F.lit(0.0)), target), F.lit(0.0))
+    row = df.agg(*[F.abs(F.coalesce(score(c), F.lit(0.0))).alias(f"{c}__score") for c in columns])
     return unpivot_row(row, columns, ["score"]).withColumnRenamed("indicator", "feature")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tickloom.constants import INDICATOR_COLUMNS, TF_SECONDS
 from tickloom.functions.classify import any_null, is_flat, session_pattern, status_tier
+from tickloom.functions.scalar import pearson
 from tickloom.operators.sequence import SERIES, literal_map
 
 
@@ -277,4 +278,4 @@ def return_correlations(bars, pairs):
     x = back.select(F.col("symbol").alias("a"), "timeframe", "open_time", F.col("_return").alias("_x")).join(pairs, "a")
     y = back.select(F.col("symbol").alias("b"), "timeframe", "open_time", F.col("_return").alias("_y"))
     return x.join(y, ["b", "timeframe", "open_time"]).groupBy("a", "b", "timeframe").agg(
-        F.corr("_x", "_y").alias("correlation"), F.count(F.lit(1)).alias("n"))
+        pearson("_x", "_y").alias("correlation"), F.count(F.lit(1)).alias("n"))

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.constants import DOCUMENT_TIMEFRAMES, PATTERN_LIMITS
+from tickloom.functions.scalar import pearson
 from tickloom.operators import outcome
 from tickloom.operators.asof import context_at
 from tickloom.operators.sequence import literal_map
@@ -235,4 +236,4 @@ def similarity_outcome(neighbours, labels):
     b = labels.select(F.col("vec_id").alias("neighbour_id"), F.col("label").alias("_b"))
     rows = neighbours.join(a, "query_id").join(b, "neighbour_id")
     return rows.agg(F.count(F.lit(1)).alias("pairs"),
-                    F.corr(1.0 / (1.0 + F.col("distance")), -F.abs(F.col("_a") - F.col("_b")).cast("double")).alias("correlation"))
+                    pearson(1.0 / (1.0 + F.col("distance")), -F.abs(F.col("_a") - F.col("_b"))).alias("correlation"))
