@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.catalog import load
 from tickloom.operators import rangejoin
 from tickloom.plans import documents, trades
 
@@ -98,3 +99,20 @@ def test_texts_of_trade_lists_are_not_joined(small):
     assert rows.columns == ["symbol", "snapshot_time", "account_state_json", "open_trades_json", "closed_trades_json"]
     plan = rows.select("open_trades_json", "closed_trades_json")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("StructsToJson") < plan.index("Join") and plan.count("StructsToJson") == 2
+
+
+@pytest.mark.parametrize("width, levels", [(60, 11), (600, 4), (7 * 86400, 2)])
+def test_folds_of_valid_intervals(spark, sides, monkeypatch, width, levels):
+    monkeypatch.setattr(rangejoin, "LEVELS", levels)
+    p, s = frames(spark, sides)
+    got = rangejoin.fold_valid(p, s, ["symbol"], "at", "start", "until", {
+        "n": (F.lit(1), F.sum), "total": (F.col("price"), F.sum), "last": (F.col("trade"), F.max)}, width).collect()
+    held = {a[0]: [b for x, b in by_hand(sides) if x == a] for a in sides[0]}
+    assert {r.id: (r.n, r.last) for r in got} == {i: (len(b), max(x[0] for x in b)) for i, b in held.items() if b}
+    assert all(abs((r.total or 0) - sum(x[4] or 0 for x in held[r.id])) < 1e-9 for r in got)
+
+
+def test_totals_of_trades_fold_before_points_look_them_up(small):
+    for name in ("j05_backward_range", "j06_interval_join"):
+        plan = load()[0][name](small.spark, small.path)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" in plan and plan.count("Aggregate [_r_symbol") >= 1
