@@ -73,3 +73,22 @@ def test_empty_null_and_odd_vectors(spark):
     got = [tuple(r) for r in NeighbourIndex.build(odd).search(q, 3).orderBy("query_id", "rank").collect()]
     assert got == [(1, 1, 0.0, 1), (1, 6, 5.0, 2)]
     assert vectors.knn_approximate(q, none).columns == ["query_id", "neighbour_id", "distance", "rank"]
+
+
+def test_a_block_of_a_search_needs_little_more_than_its_vectors():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    points = draw.normal(size=(12_000, 8))
+    column = pa.chunked_array([pa.array(points.tolist(), pa.list_(pa.float64()))])
+    assert (vectors._flat_matrix(column) == points).all()
+    for odd in ([[1.0], [1.0, 2.0]], [[1.0], None]):
+        with pytest.raises(ValueError):
+            vectors._flat_matrix(pa.array(odd, pa.list_(pa.float64())))
+    tracemalloc.start()
+    found = vectors._nearest(points[:300], np.arange(12_000), points, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6 and all(n[0] == i and d[0] == 0 for i, (n, d) in enumerate(found))

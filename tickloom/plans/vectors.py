@@ -1,6 +1,8 @@
 """Snapshot vectors and nearest-neighbour search."""
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -105,6 +107,8 @@ def vectorization_ready(docs):
 RESULT = "query_id long, neighbour_id long, distance double"
 #: Vectors in one block of a search.
 BLOCK = 20_000
+#: Queries that one matrix product takes.
+STEP = 64
 #: Numbers (queries times width) that ``knn_search`` sends to every task at most.
 MAX_SENT = 4_000_000
 
@@ -113,13 +117,25 @@ def _matrix(column):
     return np.array(column.tolist(), dtype="float64").reshape(len(column), -1)
 
 
+def _flat_matrix(column):
+    """A column of equally long Arrow lists as a matrix, without an object per list."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    width = pc.unique(column.value_lengths()).to_pylist()
+    if len(width) > 1 or None in width:
+        raise ValueError("vectors must all have the same number of numbers")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def _nearest(queries, ids, matrix, k):
     """Per query the k smallest (distance, id): a matrix product finds the candidates, exact distances rank them."""
-    norms = (matrix ** 2).sum(axis=1)
+    norms = np.einsum("ij,ij->i", matrix, matrix)
     found = []
-    for at in range(0, len(queries), 256):
-        some = queries[at:at + 256]
-        rough = norms[None] + (some ** 2).sum(axis=1)[:, None] - 2 * some @ matrix.T
+    for at in range(0, len(queries), STEP):
+        some = queries[at:at + STEP]
+        rough = some @ matrix.T
+        rough *= -2
+        rough += norms[None]
+        rough += (some ** 2).sum(axis=1)[:, None]
         scale = 1e-9 * (1 + norms.max())
         for row, q in zip(rough, some):
             near = np.arange(len(ids)) if len(ids) <= k else np.flatnonzero(row <= np.partition(row, k - 1)[k - 1] + scale)
@@ -173,13 +189,14 @@ def _search_blocks(asked, stored, keys, k):
     both = asked.select(*keys, F.lit(True).alias("asks"), F.col("query_id").alias("id"), "vector").unionByName(
         stored.select(*keys, F.lit(False).alias("asks"), F.col("vec_id").alias("id"), "vector"))
 
-    def search(pdf):
-        q, x = pdf[pdf["asks"]], pdf[~pdf["asks"]]
-        if not len(q) or not len(x):
-            return _rows([], [])
-        return _rows(q["id"].to_numpy(), _nearest(_matrix(q["vector"]), x["id"].to_numpy(), _matrix(x["vector"]), k))
+    def search(table):
+        q, x = table.filter(table["asks"]), table.filter(pc.invert(table["asks"]))
+        out = _rows([], [])
+        if len(q) and len(x):
+            out = _rows(q["id"].to_numpy(), _nearest(_flat_matrix(q["vector"]), x["id"].to_numpy(), _flat_matrix(x["vector"]), k))
+        return pa.Table.from_pandas(out[[f.split()[0] for f in RESULT.split(", ")]], preserve_index=False)
 
-    return both.groupBy(*keys).applyInPandas(search, RESULT)
+    return both.groupBy(*keys).applyInArrow(search, RESULT)
 
 
 def _dealt(df, name, key, n):
