@@ -25,3 +25,19 @@ def test_no_rows_no_files(spark, tmp_path):
     bars = spark.createDataFrame([], "symbol string, open_time timestamp, open_price double, high_price double, low_price double, close_price double")
     sinks.write_candle_files(bars, str(tmp_path / "none"))
     assert os.listdir(tmp_path / "none") == []
+
+
+def test_ticks_of_an_archive_come_in_pieces():
+    import lzma
+
+    import numpy as np
+    import pandas as pd
+
+    from tickloom.sources import archive
+
+    rec = np.zeros(3 * 20_000 + 5, dtype=archive.RECORD)
+    rec["ms"] = np.arange(len(rec)) % 3_600_000
+    files = pd.DataFrame({"symbol": ["EURUSD"], "day": ["2024-01-02"], "content": [lzma.compress(rec.tobytes(), lzma.FORMAT_ALONE)]})
+    got = list(archive._decode([files]))
+    assert max(map(len, got)) <= 20_000
+    assert (pd.concat(got)["seq"].to_numpy() == np.arange(len(rec))).all() and (pd.concat(got)["ms"].to_numpy() == rec["ms"]).all()

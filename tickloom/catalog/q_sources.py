@@ -2,7 +2,8 @@
 import lzma
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tickloom.catalog.base import query, r, rs
@@ -84,14 +85,15 @@ def s09(v):
 
 # --- tick archive ----------------------------------------------------------------
 
-def _pack(pdf):
-    rec = np.zeros(len(pdf), dtype=archive.RECORD)
-    pdf = pdf.sort_values(["ts", "tick_id"])
-    rec["ms"], rec["ask"], rec["bid"] = pdf["ms"], pdf["ask"], pdf["bid"]
+def _pack(table):
+    rec = np.zeros(len(table), dtype=archive.RECORD)
+    order = pc.sort_indices(table, sort_keys=[("ts", "ascending"), ("tick_id", "ascending")]).to_numpy()
+    for name in ("ms", "ask", "bid"):
+        rec[name] = table[name].to_numpy()[order]
     rec["ask_volume"], rec["bid_volume"] = 1.5, 0.25
     half = len(rec) // 2
     content = lzma.compress(rec[:half].tobytes(), lzma.FORMAT_ALONE) + lzma.compress(rec[half:].tobytes(), lzma.FORMAT_XZ)
-    return pd.DataFrame({"symbol": [pdf["symbol"].iloc[0]], "day": [pdf["day"].iloc[0]], "content": [content]})
+    return pa.table([table["symbol"][:1], table["day"][:1], pa.array([content], pa.binary())], names=["symbol", "day", "content"])
 
 
 def archive_files(v):
@@ -100,7 +102,7 @@ def archive_files(v):
     points = lambda x: F.round(F.col("price") * 100000 + x).cast("long")
     rows = v.ticks.select("symbol", F.to_date("ts").alias("day"), "ts", "tick_id", F.floor(F.pmod(us, F.lit(3600000000)) / 1000).alias("ms"),
                           points(0).alias("ask"), points(5).alias("bid"))
-    return rows.groupBy("symbol", "day").applyInPandas(_pack, "symbol string, day date, content binary")
+    return rows.groupBy("symbol", "day").applyInArrow(_pack, "symbol string, day date, content binary")
 
 
 @query("s10_tick_archive", """SELECT symbol, epoch_ms(CAST(epoch_ms(day) + 3600000 * (wraps + start) + ms AS BIGINT)) AS time, price AS ask,

@@ -11,6 +11,8 @@ from tickloom.functions.scalar import is_us_dst
 
 # big-endian record: millisecond in the hour, ask, bid, ask volume, bid volume
 RECORD = np.dtype([("ms", ">u4"), ("ask", ">u4"), ("bid", ">u4"), ("ask_volume", ">f4"), ("bid_volume", ">f4")])
+#: Ticks of a file that are handed on at once.
+ROWS = 20_000
 TICKS = "symbol string, day date, seq long, ms long, ask_points long, bid_points long, ask_raw double, bid_raw double"
 
 
@@ -35,12 +37,14 @@ def _decode(batches):
     for batch in batches:
         for symbol, day, content in zip(batch["symbol"], batch["day"], batch["content"]):
             raw = _unpack(bytes(content))
-            rec = np.frombuffer(raw[:len(raw) // RECORD.itemsize * RECORD.itemsize], dtype=RECORD)
-            yield pd.DataFrame({
-                "symbol": symbol, "day": day, "seq": np.arange(len(rec), dtype="int64"),
-                "ms": rec["ms"].astype("int64"), "ask_points": rec["ask"].astype("int64"),
-                "bid_points": rec["bid"].astype("int64"), "ask_raw": rec["ask_volume"].astype("float64"),
-                "bid_raw": rec["bid_volume"].astype("float64")})
+            whole = np.frombuffer(raw, dtype=RECORD, count=len(raw) // RECORD.itemsize)
+            for at in range(0, len(whole), ROWS):
+                rec = whole[at:at + ROWS]
+                yield pd.DataFrame({
+                    "symbol": symbol, "day": day, "seq": np.arange(at, at + len(rec), dtype="int64"),
+                    "ms": rec["ms"].astype("int64"), "ask_points": rec["ask"].astype("int64"),
+                    "bid_points": rec["bid"].astype("int64"), "ask_raw": rec["ask_volume"].astype("float64"),
+                    "bid_raw": rec["bid_volume"].astype("float64")})
 
 
 def decode(files):
