@@ -116,3 +116,62 @@ def test_totals_of_trades_fold_before_points_look_them_up(small):
     for name in ("j05_backward_range", "j06_interval_join"):
         plan = load()[0][name](small.spark, small.path)._jdf.queryExecution().optimizedPlan().toString()
         assert "Union" in plan and plan.count("Aggregate [_r_symbol") >= 1
+
+
+@pytest.fixture(scope="module")
+def dense():
+    """Points of two days minute by minute, some twice, without a key or without a time, and intervals of minutes to months."""
+    rng = random.Random(4)
+    minute = lambda k: ZERO + dt.timedelta(minutes=k)
+    points = [(k, rng.choice("AB"), minute(k // 2)) for k in range(900)] + [(k, "A", minute(2000 + k % 7)) for k in range(900, 930)]
+    points += [(930, "A", None), (931, None, ZERO), (932, None, None), (933, "Z", ZERO)]
+    spans = []
+    for i in range(160):
+        start = minute(rng.randint(-600, 2100)) + dt.timedelta(seconds=rng.choice([0, 0, 7]))
+        end = rng.choice([None, start, start - dt.timedelta(hours=1), *[start + dt.timedelta(minutes=rng.randint(1, 1500)) for _ in range(5)], start + dt.timedelta(days=90)])
+        spans.append((i, rng.choice("ABC"), start, end, rng.randint(0, 9) * 1.5))
+    return points, spans + [(200, "A", None, None, 1.0), (201, None, ZERO, None, 1.0), (202, "A", ZERO, None, None), (202, "A", ZERO, None, None)]
+
+
+@pytest.mark.parametrize("width", [4 * 3600, 600])
+def test_two_lists_at_a_time(spark, dense, width):
+    p, s = frames(spark, dense)
+    day = s.withColumn("until", F.timestamp_micros(F.unix_micros("start") + 86400 * 1000000))
+    lists = {"held": (s, "start", "until", F.col("trade"), ["start", "trade"]),
+             "recent": (day, "start", "until", F.struct("trade", "price"), [(-F.unix_micros("start")).alias("t"), (-F.col("trade")).alias("i")])}
+    spans = [(*x[:3], x[2] + dt.timedelta(days=1) if x[2] else None, x[4]) for x in dense[1]]
+    want = {a[0]: ([], []) for a in dense[0]}
+    for a, b in sorted(by_hand(dense), key=lambda x: (x[1][2], x[1][0])):
+        want[a[0]][0].append(b[0])
+    for a, b in sorted(by_hand((dense[0], spans)), key=lambda x: (x[1][2], x[1][0]), reverse=True):
+        want[a[0]][1].append((b[0], b[4]))
+    got = rangejoin.collect_valid_lists(p, lists, ["symbol"], "at", width)
+    assert got.columns == ["id", "symbol", "at", "held", "recent"]
+    assert {r.id: (r.held, [tuple(x) for x in r.recent]) for r in got.collect()} == want and got.count() == len(want)
+    some = rangejoin.collect_valid_lists(p, lists, ["symbol"], "at", width, some=True)
+    assert {r.id for r in some.select("id").collect()} == {i for i, (a, b) in want.items() if a or b}
+    texts = rangejoin.collect_valid_lists(p, {"recent": lists["recent"]}, ["symbol"], "at", width, text=True).select("id", F.concat_ws(",", "recent").alias("t"))
+    shown = lambda t, x: f'{{"trade":{t},"price":{"null" if x is None else x}}}'
+    assert {r.id: r.t for r in texts.collect()} == {i: ",".join(shown(*x) for x in b) for i, (_, b) in want.items()}
+
+
+def test_blocks_last_as_long_as_intervals(spark):
+    """An interval is copied to about two blocks, and never to more than a 32nd of the span of the points asks for."""
+    at = lambda hours: ZERO + dt.timedelta(hours=hours)
+    points = spark.createDataFrame([("A", at(0)), ("A", at(3200))], "symbol string, at timestamp")
+    for hours, open_ones, wide in ((1, 0, 4), (50, 0, 50), (50, 40, 100), (90000, 0, 100)):
+        rows = [("A", at(k), at(k + hours)) for k in range(40)] + [("A", at(0), None)] * open_ones
+        s = spark.createDataFrame(rows, "symbol string, start timestamp, until timestamp")
+        limits = rangejoin._limits(points, {"x": (s, "start", "until", F.lit(1), ["start"])}, "at", 4 * 3600)
+        assert spark.range(1).select(limits).first()[0].wide == wide * 3600
+
+
+def test_lists_are_made_once_and_not_sorted(small):
+    """The join hashes the points, no condition on a list makes it again, and items become JSON before points take them."""
+    for name in ("d05_history_trade_fields", "d06_history_trade_fields", "d05_open_trades_history", "d12_history_backfill"):
+        plan = load()[0][name](small.spark, small.path)._jdf.queryExecution()
+        lists = 2 if name.startswith("d12") else 1
+        assert plan.optimizedPlan().toString().count("flatten(filter(") == lists
+        assert plan.executedPlan().toString().count("LeftOuter, BuildLeft") == lists
+        if lists == 2:
+            assert "StructsToJsonEvaluator(Map(ignoreNullFields -> false),ArrayType" not in plan.optimizedPlan().toString()
